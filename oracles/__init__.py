@@ -1 +1,10 @@
+"""DuckDB statements each registered query is compared with."""
 
+from oracles import retail
+
+
+def all_sql() -> dict[str, str]:
+    out: dict[str, str] = {}
+    for family in (retail,):
+        out.update(family.SQL)
+    return out

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def _c(col: Column | str) -> Column:
@@ -50,13 +52,32 @@ def tier(col: Column | str, steps: Sequence[tuple[float, str]], default: str) ->
     return out.otherwise(default)
 
 
-def benefit_text(kind: Column | str, need_amount, need_count, reduce_amount, discount) -> Column:
-    """Readable rule of an activity or coupon: full-amount cut, full-count discount, or direct cut."""
-    k = _c(kind)
+# Rule type codes and the texts they are shown with.
+ACTIVITY_AMOUNT, ACTIVITY_COUNT, ACTIVITY_DISCOUNT = "3101", "3102", "3103"
+COUPON_AMOUNT, COUPON_COUNT, COUPON_DIRECT = "3201", "3202", "3203"
+
+
+def _text(*parts) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def activity_benefit(kind: str, amount: str, count: str, cut: str, discount: str) -> Column:
+    """Readable rule of an activity."""
+    k, cut, discount = F.col(kind), F.col(cut), F.col(discount)
+    return (
+        F.when(k == ACTIVITY_AMOUNT, _text("满", F.col(amount), "元减", cut, "元"))
+        .when(k == ACTIVITY_COUNT, _text("满", F.col(count), "件打", discount, "折"))
+        .when(k == ACTIVITY_DISCOUNT, _text("打", discount, "折"))
+    )
+
+
+def coupon_benefit(kind: str, amount: str, count: str, cut: str, discount: str) -> Column:
+    """Readable rule of a coupon."""
+    k, cut, discount = F.col(kind), F.col(cut), F.col(discount)
     return (
-        F.when(k == "amount_cut", F.concat(F.lit("spend "), _c(need_amount), F.lit(" save "), _c(reduce_amount)))
-        .when(k == "count_discount", F.concat(F.lit("buy "), _c(need_count), F.lit(" get "), _c(discount), F.lit(" off")))
-        .otherwise(F.concat(F.lit("save "), _c(reduce_amount)))
+        F.when(k == COUPON_AMOUNT, _text("满", F.col(amount), "元减", cut, "元"))
+        .when(k == COUPON_COUNT, _text("满", F.col(count), "件打", discount, "折"))
+        .when(k == COUPON_DIRECT, _text("减", cut, "元"))
     )
 
 
@@ -100,29 +121,48 @@ def hash_sensitive(col: Column | str) -> Column:
     return F.md5(_c(col).cast("string"))
 
 
-def hash_bucket(col: Column | str, buckets: int, overrides: Mapping[str, str] | None = None) -> Column:
-    """Four-digit bucket from the last three hex digits of the md5; named hot keys get fixed buckets."""
+# Hot addresses with a bucket of their own.
+HOT_ADDRESS_BUCKETS = {
+    "0x0000000000000000000000000000000000000000": "9001",
+    "0xdac17f958d2ee523a2206206994597c13d831ec7": "9002",
+    "0x7a250d5630b4cf539739df2c5dacb4c659f2488d": "9003",
+    "0xea674fdde714fd979de3edf0f56aa9716b898ec8": "9004",
+    "0xc02aaa39b223fe8d0a0e5c4f27ead9083c756cc2": "9005",
+    "0x0000000000000000000000000000000000000001": "9006",
+    "0xa0b86991c6218b36c1d19d4a2e9eb0ce3606eb48": "9007",
+}
+
+
+def hash_bucket(col: Column | str, buckets: int = 128, overrides: Mapping[str, str] | None = None) -> Column:
+    """Four-digit bucket from the last three hex digits of the md5; named hot keys get buckets of their own."""
     c = _c(col).cast("string")
     tail = F.conv(F.right(F.md5(c), F.lit(3)), 16, 10).cast("bigint")
     bucket = F.lpad((tail % buckets).cast("string"), 4, "0")
-    for key, fixed in (overrides or {}).items():
-        bucket = F.when(c == key, F.lit(fixed)).otherwise(bucket)
-    return bucket
+    if not overrides:
+        return bucket
+    return F.coalesce(code_to_name(F.lower(c), overrides), bucket)
+
+
+@F.pandas_udf(StringType())
+def _plain_number(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: str(int(t, 16)) if t.startswith("0x") else t, na_action="ignore")
+
+
+def hex_to_plain(col: Column | str) -> Column:
+    """``0x…`` of any length or decimal text as plain decimal text; NULL gives "0"."""
+    return F.coalesce(_plain_number(_c(col)), F.lit("0"))
 
 
 def hex_to_number(col: Column | str, divide: bool = False) -> Column:
-    """``0x…`` or decimal text as decimal(38,0), up to 120 bits; optionally divided by 10^18.
+    """The same as decimal(38,0) without leaving the JVM, for up to 30 hex digits; ``divide`` scales by 10^18.
 
-    ``conv`` holds 64 bits, so longer values are put together from two parts of 15 hex digits.
+    ``conv`` holds 64 bits, so the value is put together from two parts of 15 hex digits.
     """
-    c = F.lower(F.trim(_c(col)))
-    digits = F.regexp_replace(c, "^0x", "")
-    wide = F.lpad(digits, 30, "0")
+    c = F.coalesce(F.lower(F.trim(_c(col))), F.lit("0"))
+    wide = F.lpad(F.regexp_replace(c, "^0x", ""), 30, "0")
     part = lambda start: F.conv(F.substring(wide, start, 15), 16, 10).cast("decimal(20,0)")
-    value = F.when(
-        c.startswith("0x"),
-        (part(1) * F.lit("1152921504606846976").cast("decimal(19,0)") + part(16)).cast("decimal(38,0)"),
-    ).otherwise(c.try_cast("decimal(38,0)"))
+    whole = part(1) * F.lit("1152921504606846976").cast("decimal(19,0)") + part(16)
+    value = F.when(c.startswith("0x"), whole.cast("decimal(38,0)")).otherwise(c.try_cast("decimal(38,0)"))
     return value.cast("double") / F.lit(1e18) if divide else value
 
 
