@@ -1,10 +1,10 @@
 """DuckDB statements each registered query is compared with."""
 
-from oracles import retail
+from oracles import parcel, retail
 
 
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for family in (retail,):
+    for family in (retail, parcel):
         out.update(family.SQL)
     return out

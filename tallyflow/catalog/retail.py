@@ -159,5 +159,5 @@ QUERIES = {
         w.events.where("event_type = 'purchase' and value >= 20").groupBy("user_id", "dt").count(), EVENTS_AS_OF, "view", "click"),
     "user_change": lambda w: reports.user_change(
         sums.login_td(w.logins, EVENTS_AS_OF), sums.login_td(w.logins, DAY_BEFORE[EVENTS_AS_OF]), EVENTS_AS_OF),
-    "user_retention": lambda w: reports.user_retention(sums.login_td(w.logins, EVENTS_AS_OF), EVENTS_AS_OF),
+    "user_retention": lambda w: reports.user_retention(sums.login_td(w.logins, "2024-01-05"), "2024-01-05"),
 }

@@ -17,8 +17,16 @@ def align_union(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
 
 
 def align_join(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """The same by chained full outer joins."""
-    return reduce(lambda a, b: a.join(b, list(keys), "full"), parts)
+    """The same by chained full outer joins; NULL keys meet each other, as they do in the union form."""
+
+    def full(a: DataFrame, b: DataFrame) -> DataFrame:
+        right = b.withColumnsRenamed({k: f"_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        both = a.join(right, reduce(lambda x, y: x & y, same), "full")
+        measures = [c for c in [*a.columns, *b.columns] if c not in keys]
+        return both.select(*[F.coalesce(k, f"_{k}").alias(k) for k in keys], *measures)
+
+    return reduce(full, parts)
 
 
 def signed_balance(plus: DataFrame, minus: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:

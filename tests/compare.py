@@ -77,7 +77,7 @@ def main() -> int:
                 note = None if n else "no rows"
                 n = f"rows only: {n}"
         except Exception as e:  # noqa: BLE001
-            note, n = f"{type(e).__name__}: {str(e)[:700]}", ""
+            note, n = f"{type(e).__name__}: {' '.join(str(e).split())[:600]}", ""
         bad += note is not None
         print(f"{'FAIL' if note else 'ok  '} {name} {time.time() - t:.1f}s {n} {note or ''}", flush=True)
     print("failed", bad)
