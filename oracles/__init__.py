@@ -1,10 +1,10 @@
 """DuckDB statements each registered query is compared with."""
 
-from oracles import parcel, retail
+from oracles import goods, pages, parcel, retail
 
 
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for family in (retail, parcel):
+    for family in (retail, parcel, goods, pages):
         out.update(family.SQL)
     return out

@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyflow.catalog import parcel, retail
+from tallyflow.catalog import goods, pages, parcel, retail
 from tallyflow.catalog.shape import plain
 
-FAMILIES = [(retail.RetailWarehouse, retail.QUERIES), (parcel.ParcelWarehouse, parcel.QUERIES)]
+FAMILIES = [
+    (retail.RetailWarehouse, retail.QUERIES),
+    (parcel.ParcelWarehouse, parcel.QUERIES),
+    (goods.GoodsWarehouse, goods.GOODS_QUERIES),
+    (goods.NewGoodsWarehouse, goods.NEW_QUERIES),
+    (goods.OfferWarehouse, goods.OFFER_QUERIES),
+    (pages.PathWarehouse, pages.PATH_QUERIES),
+    (pages.AnalyticsWarehouse, pages.ANALYTICS_QUERIES),
+]
 
 
 def _runner(warehouse, build) -> Callable[[SparkSession, str], DataFrame]:

@@ -42,10 +42,10 @@ def rank_whole(df: DataFrame, by: str, out: str = "rk", descending: bool = True,
     """
     counts = df.groupBy(F.col(by).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
     cuts = counts.agg(F.percentile_approx("_value", [i / slices for i in range(1, slices)], 10000).alias("cuts"))
-    held = F.coalesce(cuts.scalar(), F.array())
-    position = F.size(F.filter(held, lambda c: c < F.col("_value")))
+    position = F.size(F.filter("_cuts", lambda c: c < F.col("_value")))
     ordered = F.lit(slices) - position if descending else position
-    sliced = counts.withColumn("_slice", F.when(F.col("_value").isNull(), slices + 1).otherwise(ordered))
+    last = F.col("_value").isNull() | F.col("_cuts").isNull()
+    sliced = counts.withColumn("_cuts", cuts.scalar()).withColumn("_slice", F.when(last, slices + 1).otherwise(ordered)).drop("_cuts")
 
     totals = sliced.groupBy("_slice").agg(F.sum("_n").alias("_total"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
