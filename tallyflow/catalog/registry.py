@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyflow.catalog import goods, pages, parcel, retail
+from tallyflow.catalog import goods, pages, parcel, retail, streams, tables
 from tallyflow.catalog.shape import plain
 
 FAMILIES = [
@@ -17,6 +17,8 @@ FAMILIES = [
     (goods.OfferWarehouse, goods.OFFER_QUERIES),
     (pages.PathWarehouse, pages.PATH_QUERIES),
     (pages.AnalyticsWarehouse, pages.ANALYTICS_QUERIES),
+    (streams.StreamWarehouse, streams.QUERIES),
+    (tables.TableWarehouse, tables.QUERIES),
 ]
 
 

@@ -43,7 +43,8 @@ def differences(spark_df, con, sql) -> str | None:
     if not want:
         return "both sides empty"
     if len(got) != len(want):
-        extra = [r for r in got if r not in set(want)][:2]
+        known = set(want)
+        extra = [r for r in got if r not in known][:2]
         return f"rows {len(got)} != {len(want)}; extra {extra}"
     for g, w in zip(got, want):
         if g != w:
