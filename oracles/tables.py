@@ -32,9 +32,9 @@ SELECT id, c_name[1] || '*' short_name, c_name[1] || repeat('*', length(c_name)
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_orderkey * 100 + l_linenumber AS number, cast(l_orderkey * 100 + l_linenumber AS varchar) plain FROM lineitem""",
         ints="l_linenumber"),
     "text_helpers": sql(
-        """SELECT event_id, CASE WHEN k % 2 = 0 THEN date_trunc('second', ts) ELSE ts END AS at, strftime(ts, '%Y-%m-%d %H:%M:%S') iso,
+        """SELECT event_id, CASE WHEN k % 2 = 0 THEN date_trunc('second', ts) ELSE ts END AS moment, strftime(ts, '%Y-%m-%d %H:%M:%S') iso,
            CASE WHEN k % 3 <> 0 THEN '["a","' || event_type || '"]' ELSE '["' || event_type || '"]' END list, CASE WHEN k % 4 = 0 THEN 1 ELSE 0 END blank, event_type stripped,
-           user_id || '_' || strftime(ts, '%Y%m%d%H%M%S') event_key FROM ev""", seconds="at", ints="blank"),
+           user_id || '_' || strftime(ts, '%Y%m%d%H%M%S') event_key FROM ev""", seconds="moment", ints="blank"),
     "part_attribute_sets": sql(
         """SELECT p_brand, '[' || string_agg('{"p_type":"' || p_type || '","p_size":' || p_size || '}', ',' ORDER BY p_type, p_size) || ']' kinds, max(p_partkey) p_partkey, max(p_retailprice) p_retailprice
            FROM (SELECT DISTINCT p.p_brand, p_type, p_size, b.p_partkey, b.p_retailprice FROM part p
@@ -51,7 +51,7 @@ SELECT id, c_name[1] || '*' short_name, c_name[1] || repeat('*', length(c_name)
     "signed_balance": sql(
         """SELECT o_orderpriority priority, count(*) FILTER (o_orderstatus <> 'F') n, sum(cast(o_totalprice AS decimal(16,2))) FILTER (o_orderstatus <> 'F') amount
            FROM orders GROUP BY o_orderpriority""", money="amount"),
-    "sink_partitions": RETAIL_SQL["province_order_1d"],
+    "sink_partitions": RETAIL_SQL["sku_favor_add_1d"],
     "sink_report": RETAIL_SQL["order_by_province"],
     "sink_report_text": sql(
         f"SELECT date '{E}' dt, n_nationkey, n_name, CASE WHEN n_nationkey % 2 = 0 THEN n_regionkey END region FROM nation", days="dt", ints="n_nationkey region"),

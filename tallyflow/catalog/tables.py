@@ -83,7 +83,7 @@ def text_helpers(w: TableWarehouse) -> DataFrame:
     ms = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").cast("string")
     raw = e.withColumn("raw", F.when(F.col("k") % 2 == 0, F.substring(ms, 1, 10)).otherwise(ms)).withColumn("list", F.when(F.col("k") % 3 != 0, F.lit('["a"]')))
     return raw.select(
-        "event_id", epoch_any("raw").alias("at"), iso_text(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("iso"), clean.append_json("list", "event_type").alias("list"),
+        "event_id", epoch_any("raw").alias("moment"), iso_text(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("iso"), clean.append_json("list", "event_type").alias("list"),
         clean.is_blank(F.when(F.col("k") % 4 == 0, F.lit("  ")).otherwise(F.col("event_type"))).alias("blank"),
         clean.strip_control(F.concat(F.lit(" \u0001"), "event_type", F.lit("\u007f "))).alias("stripped"), clean.event_id("user_id", time=F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("event_key"),
     )
@@ -124,11 +124,11 @@ def signed_stock(w: TableWarehouse) -> DataFrame:
 
 def sink_partitions(w: TableWarehouse) -> DataFrame:
     """All days written by dynamic partition, one day replaced twice, then read back: other days are untouched."""
-    path = scratch_path(w.spark, "province-1d")
-    daily = w.province_1d
+    path = scratch_path(w.spark, "favor-1d")
+    daily = w.favor_1d
     sinks.replace_partitions(daily, path)
     for _ in range(2):
-        sinks.replace_day(daily.where(F.col("dt") == day(ORDERS_AS_OF)), path, ORDERS_AS_OF)
+        sinks.replace_day(daily.where(F.col("dt") == day(EVENTS_AS_OF)), path, EVENTS_AS_OF)
     return readers.parquet_day(w.spark, path)
 
 

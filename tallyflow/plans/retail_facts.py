@@ -105,8 +105,11 @@ def trade_flow_daily(held: DataFrame, info: DataFrame, payments: DataFrame, stat
 
 
 def page_view(log: DataFrame, zone: str = "UTC") -> DataFrame:
-    """Page log rows, parsed once with a fixed schema; rows without a page are other kinds of log."""
-    parsed = log.select(F.from_json("log", LOG).alias("l")).where("l.page is not null")
+    """Page log rows, parsed once with a fixed schema; rows without a page are other kinds of log.
+
+    The parse goes through an explode: a filter on its result would otherwise be pushed below it and parse every line twice.
+    """
+    parsed = log.select(F.explode(F.array(F.from_json("log", LOG))).alias("l")).where("l.page is not null")
     c = parsed.select(
         F.col("l.common.ar").alias("province_id"), F.col("l.common.ba").alias("brand"), F.col("l.common.ch").alias("channel"),
         F.col("l.common.is_new").alias("is_new"), F.col("l.common.md").alias("model"), F.col("l.common.mid").alias("mid_id"),

@@ -16,9 +16,13 @@ from tallyflow.streaming.run import each_batch
 
 
 def replace_partitions(df: DataFrame, path: str, by: str = "dt", fmt: str = "parquet", self_read: bool = False) -> None:
-    """Replace exactly the partitions present in ``df``. With ``self_read`` (df reads the table it replaces) it is materialised first."""
+    """Replace exactly the partitions present in ``df``. With ``self_read`` (df reads the table it replaces) it is materialised first.
+
+    Rebalanced on the partition column: small days share a file writer, and a day that holds a large part of the rows is
+    split over several tasks by AQE.
+    """
     out = materialise(df, "replace") if self_read else df
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).format(fmt).save(path)
+    out.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).format(fmt).save(path)
 
 
 def replace_day(df: DataFrame, path: str, dt: str, fmt: str = "parquet") -> None:
@@ -39,7 +43,7 @@ def report(df: DataFrame, path: str) -> None:
 def report_text(df: DataFrame, path: str) -> None:
     """Tab-separated report files, one folder per report date."""
     text = df.select("dt", *[F.col(c).cast("string").alias(c) for c in df.columns if c != "dt"])
-    text.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("sep", "\t").option("nullValue", "\\N").partitionBy("dt").csv(path)
+    text.hint("rebalance", F.col("dt")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("sep", "\t").option("nullValue", "\\N").partitionBy("dt").csv(path)
 
 
 def load_and_verify(jobs: Mapping[str, Callable[[], DataFrame]], folder: str, as_of: str) -> dict[str, int | str]:

@@ -12,7 +12,9 @@ ENVELOPE = "op string, before map<string,string>, after map<string,string>, sour
 
 def parse(values: DataFrame, column: str = "value") -> DataFrame:
     """JSON text to envelope; empty payloads (tombstones) and unreadable texts are left out here, see ``logs.split_dirty``."""
-    parsed = values.where(F.col(column).isNotNull()).select(F.from_json(F.col(column).cast("string"), ENVELOPE).alias("e"))
+    envelope = F.from_json(F.col(column).cast("string"), ENVELOPE)
+    # through an explode, so that the filter on the result does not parse a second time below it
+    parsed = values.where(F.col(column).isNotNull()).select(F.explode(F.array(envelope)).alias("e"))
     return parsed.where("e.op is not null").select("e.*")
 
 

@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -32,15 +32,11 @@ class NewestOnly(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", T.StructType().add("at", "long"))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = None
-        for pdf in rows:
-            top = pdf.loc[[pdf[self.order].idxmax()]]
-            if best is None or int(top[self.order].iloc[0]) > int(best[self.order].iloc[0]):
-                best = top
-        at = int(best[self.order].iloc[0])
-        if not self.last.exists() or at > self.last.get()[0]:
-            self.last.update((at,))
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best = max(rows, key=lambda r: r[self.order])
+        held = self.last.get()
+        if not held or best[self.order] > held[0]:
+            self.last.update((best[self.order],))
             yield best
 
     def close(self) -> None:
@@ -50,7 +46,7 @@ class NewestOnly(StatefulProcessor):
 def newest_only(df: DataFrame, key: str, order: str) -> DataFrame:
     """Rows newer than anything passed before for their key; of one micro-batch only the newest."""
     few = keep_edge(df, [key], [order], last=True)
-    return few.groupBy(key).transformWithStateInPandas(NewestOnly(order), few.schema, "Append", "None")
+    return few.groupBy(key).transformWithState(NewestOnly(order), few.schema, "Append", "None")
 
 
 class Retract(StatefulProcessor):
@@ -62,22 +58,17 @@ class Retract(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.held = handle.getValueState("held", self.schema)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = None
-        for pdf in rows:
-            top = pdf.loc[[pdf[self.order].idxmax()]]
-            if best is None or top[self.order].iloc[0] > best[self.order].iloc[0]:
-                best = top
-        names = self.schema.names
-        if self.held.exists():
-            old = dict(zip(names, self.held.get()))
-            if best[self.order].iloc[0] <= pd.Timestamp(old[self.order]):
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best = max(rows, key=lambda r: r[self.order])
+        state = self.held.get()
+        if state:
+            old = dict(zip(self.schema.names, state))
+            if best[self.order] <= old[self.order]:
                 return
             for a in self.amounts:
                 old[a] = -old[a] if old[a] is not None else None
-            yield pd.DataFrame([old], columns=names)
-        row = best.iloc[0]
-        self.held.update(tuple(row[n].to_pydatetime() if isinstance(row[n], pd.Timestamp) else (row[n].item() if hasattr(row[n], "item") else row[n]) for n in names))
+            yield Row(**old)
+        self.held.update(tuple(best[n] for n in self.schema.names))
         yield best
 
     def close(self) -> None:
@@ -87,7 +78,7 @@ class Retract(StatefulProcessor):
 def retract(df: DataFrame, key: str, ts: str, amounts: Sequence[str], lateness: str = "0 seconds") -> DataFrame:
     """Replaces earlier versions of a key in later sums. Versions inside one micro-batch cancel out, so only the last is kept there."""
     few = keep_edge(df, [key], [ts], last=True).withWatermark(ts, lateness)
-    return few.groupBy(key).transformWithStateInPandas(Retract(few.schema, ts, amounts), few.schema, "Append", "EventTime", eventTimeColumnName=ts)
+    return few.groupBy(key).transformWithState(Retract(few.schema, ts, amounts), few.schema, "Append", "EventTime", eventTimeColumnName=ts)
 
 
 class HoldBack(StatefulProcessor):
@@ -100,24 +91,24 @@ class HoldBack(StatefulProcessor):
         self.handle = handle
         self.held = handle.getValueState("held", self.schema)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = None
-        for pdf in rows:
-            top = pdf.loc[pdf[self.ts].idxmax()]
-            if best is None or top[self.ts] > best[self.ts]:
-                best = top
-        if not self.held.exists() or pd.Timestamp(dict(zip(self.schema.names, self.held.get()))[self.ts]) < best[self.ts]:
-            row = tuple(best[n].to_pydatetime() if isinstance(best[n], pd.Timestamp) else (best[n].item() if hasattr(best[n], "item") else best[n]) for n in self.schema.names)
-            self.held.update(row)
-            self.handle.registerTimer(int(best[self.ts].timestamp() * 1000) + self.hold_ms)
+    def due(self, row) -> int:
+        return int(row[self.ts].timestamp() * 1000) + self.hold_ms
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best = max(rows, key=lambda r: r[self.ts])
+        state = self.held.get()
+        if not state or dict(zip(self.schema.names, state))[self.ts] < best[self.ts]:
+            self.held.update(tuple(best[n] for n in self.schema.names))
+            self.handle.registerTimer(self.due(best))
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.held.exists():
-            row = dict(zip(self.schema.names, self.held.get()))
-            if int(pd.Timestamp(row[self.ts]).timestamp() * 1000) + self.hold_ms <= expiredTimerInfo.getExpiryTimeInMs():
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        state = self.held.get()
+        if state:
+            row = dict(zip(self.schema.names, state))
+            if self.due(row) <= expiredTimerInfo.getExpiryTimeInMs():
                 self.held.clear()
-                yield pd.DataFrame([row], columns=self.schema.names)
+                yield Row(**row)
 
     def close(self) -> None:
         pass
@@ -125,7 +116,7 @@ class HoldBack(StatefulProcessor):
 
 def hold_back(df: DataFrame, key: str, ts: str, hold_ms: int = 5000, lateness: str = "0 seconds") -> DataFrame:
     few = keep_edge(df, [key], [ts], last=True).withWatermark(ts, lateness)
-    return few.groupBy(key).transformWithStateInPandas(HoldBack(few.schema, ts, hold_ms), few.schema, "Append", "EventTime")
+    return few.groupBy(key).transformWithState(HoldBack(few.schema, ts, hold_ms), few.schema, "Append", "EventTime")
 
 
 def bloom_size(expected: int, error: float) -> tuple[int, int]:

@@ -30,7 +30,7 @@ def split_log(lines: DataFrame, column: str = "log") -> DataFrame:
     actions are unrolled with common and page copied. Written with ``partitionBy("kind")`` or to the topic of the kind.
     """
     p = F.from_json(F.col(column), LOG)
-    rows = lines.select(p.alias("p")).where("p is not null")
+    rows = lines.select(F.explode(F.array(p)).alias("p")).where("p is not null")
     item = lambda kind, body: F.struct(F.lit(kind).alias("kind"), body.alias("body"))
     none = F.array().cast("array<struct<kind: string, body: string>>")
     many = lambda kind, field: F.coalesce(F.transform(F.col(f"p.{field}"), lambda x: item(kind, x)), none)
@@ -99,28 +99,30 @@ KINDS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def _record(kind: str, column: str) -> tuple[Column, list[str]]:
-    """The kind's fields, each read as text and then cast; text that does not fit a type becomes NULL."""
-    fields = [part.split(" ", 1) for part in (f.strip() for f in re.split(r",(?![^(]*\))", KINDS[kind][1]))]
-    raw = F.from_json(F.col(column), ", ".join(f"{name} string" for name, _ in fields))
-    return F.struct(*[raw[name].try_cast(kind_type).alias(name) for name, kind_type in fields]), [name for name, _ in fields]
+def _fields(kind: str) -> list[list[str]]:
+    return [f.strip().split(" ", 1) for f in re.split(r",(?![^(]*\))", KINDS[kind][1])]
+
+
+def _typed(kind: str, texts: Column) -> Column:
+    """The kind's fields taken from a map of texts and cast; text that does not fit a type becomes NULL."""
+    return F.struct(*[F.try_element_at(texts, F.lit(name)).try_cast(to).alias(name) for name, to in _fields(kind)])
 
 
 def clean_kind(lines: DataFrame, kind: str, column: str = "value") -> DataFrame:
     """Records of one kind as a typed table; rows without a required field are dropped."""
-    record, names = _record(kind, column)
-    return lines.select(record.alias("r")).select(*[F.col(f"r.{n}") for n in names]).dropna(subset=list(KINDS[kind][0]))
+    texts = lines.select(F.from_json(F.col(column), "map<string,string>").alias("m"))
+    return texts.select(_typed(kind, F.col("m")).alias("r")).select("r.*").dropna(subset=list(KINDS[kind][0]))
 
 
 def clean_all(lines: DataFrame, kind: str = "kind", column: str = "value") -> DataFrame:
-    """Records of all kinds in one pass: kind and the cleaned record as JSON; incomplete records are dropped."""
+    """Records of all kinds in one pass, each parsed once: kind and the cleaned record as JSON; incomplete records are dropped."""
+    texts = lines.select(kind, F.explode(F.array(F.from_json(F.col(column), "map<string,string>"))).alias("m"))
     cleaned = None
     for name, (required, _) in KINDS.items():
-        record, _names = _record(name, column)
-        whole = reduce(lambda a, b: a & b, [F.get_json_object(column, f"$.{r}").isNotNull() for r in required])
-        branch = (F.col(kind) == name) & whole
-        cleaned = F.when(branch, F.to_json(record)) if cleaned is None else cleaned.when(branch, F.to_json(record))
-    return lines.select(kind, cleaned.alias("record")).where(F.col("record").isNotNull())
+        whole = reduce(lambda a, b: a & b, [F.try_element_at("m", F.lit(r)).isNotNull() for r in required])
+        hit, record = (F.col(kind) == name) & whole, F.to_json(_typed(name, F.col("m")))
+        cleaned = F.when(hit, record) if cleaned is None else cleaned.when(hit, record)
+    return texts.select(kind, F.explode(F.array(cleaned)).alias("record")).where(F.col("record").isNotNull())
 
 
 def keywords(text: Column | str) -> Column:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from datetime import date, datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -13,6 +13,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from tallyflow.streaming.combine import keep_edge
 
 DAY_MS = 86_400_000
+EPOCH = date(1970, 1, 1)
 SALTS = 16
 
 
@@ -26,25 +27,21 @@ class FirstPerDay(StatefulProcessor):
         self.handle = handle
         self.seen = handle.getMapState("seen", T.StructType().add("mark", "string"), T.StructType().add("end_ms", "long"))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first: dict[str, pd.Series] = {}
-        for pdf in rows:
-            for _, row in pdf.sort_values("ts").drop_duplicates(["kind", "day"]).iterrows():
-                mark = f"{row.kind}|{row.day}"
-                if mark not in first or row.ts < first[mark].ts:
-                    first[mark] = row
-        fresh = []
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        first: dict[str, Row] = {}
+        for row in rows:
+            mark = f"{row.kind}|{row.day}"
+            if mark not in first or row.ts < first[mark].ts:
+                first[mark] = row
         for mark, row in first.items():
             if self.seen.containsKey((mark,)):
                 continue
-            end_ms = int(pd.Timestamp(row.day).timestamp() * 1000) + 2 * DAY_MS
+            end_ms = (date.fromisoformat(row.day) - EPOCH).days * DAY_MS + 2 * DAY_MS
             self.seen.updateValue((mark,), (end_ms,))
             self.handle.registerTimer(end_ms)
-            fresh.append(row)
-        if fresh:
-            yield pd.DataFrame(fresh)
+            yield row
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = expiredTimerInfo.getExpiryTimeInMs()
         for (mark,), (end_ms,) in list(self.seen.iterator()):
             if end_ms <= now:
@@ -61,7 +58,7 @@ def first_per_day(events: DataFrame, key: str, kind: str | None = None, keep: Se
         F.col(key).cast("string").alias("key"), (F.col(kind) if kind else F.lit("")).cast("string").alias("kind"), F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts", *keep
     )
     few = keep_edge(rows, ["key", "kind", "day"], ["ts"]).withWatermark("ts", lateness)
-    return few.groupBy("key").transformWithStateInPandas(FirstPerDay(), few.schema, "Append", "EventTime", eventTimeColumnName="ts")
+    return few.groupBy("key").transformWithState(FirstPerDay(), few.schema, "Append", "EventTime", eventTimeColumnName="ts")
 
 
 class LoginGap(StatefulProcessor):
@@ -73,22 +70,20 @@ class LoginGap(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", T.StructType().add("day", "string"))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        days: dict[str, pd.Timestamp] = {}
-        for pdf in rows:
-            for day, ts in pdf.groupby("day").ts.min().items():
-                days[day] = min(days.get(day, ts), ts)
-        held = self.last.get()[0] if self.last.exists() else None
-        out = []
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        days: dict[str, datetime] = {}
+        for row in rows:
+            days[row.day] = min(days.get(row.day, row.ts), row.ts)
+        state = self.last.get()
+        before = held = state[0] if state else None
         for day in sorted(days):
             if held is not None and day <= held:
                 continue
-            away = (pd.Timestamp(day) - pd.Timestamp(held)).days if held else 0
-            out.append((key[0], day, days[day], 1, int(away >= self.gap)))
+            away = (date.fromisoformat(day) - date.fromisoformat(held)).days if held else 0
             held = day
-        if out:
+            yield Row(key=key[0], day=day, ts=days[day], uu_ct=1, back_ct=int(away >= self.gap))
+        if held != before:
             self.last.update((held,))
-            yield pd.DataFrame(out, columns=["key", "day", "ts", "uu_ct", "back_ct"])
 
     def close(self) -> None:
         pass
@@ -99,7 +94,7 @@ def login_return(logins: DataFrame, key: str, gap: int = 8, lateness: str = "0 s
     rows = logins.select(F.col(key).cast("string").alias("key"), F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts")
     few = keep_edge(rows, ["key", "day"], ["ts"]).withWatermark("ts", lateness)
     out = "key string, day string, ts timestamp, uu_ct int, back_ct int"
-    return few.groupBy("key").transformWithStateInPandas(LoginGap(gap), out, "Append", "EventTime", eventTimeColumnName="ts")
+    return few.groupBy("key").transformWithState(LoginGap(gap), out, "Append", "EventTime", eventTimeColumnName="ts")
 
 
 class FirstSeen(StatefulProcessor):
@@ -108,24 +103,20 @@ class FirstSeen(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", T.StructType().add("new_day", "string").add("told", "string"))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first: dict[str, pd.Series] = {}
-        for pdf in rows:
-            for _, row in pdf.sort_values("ts").drop_duplicates("day").iterrows():
-                if row.day not in first or row.ts < first[row.day].ts:
-                    first[row.day] = row
-        new_day, told = self.state.get() if self.state.exists() else (None, "")
-        out = []
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        first: dict[str, Row] = {}
+        for row in rows:
+            if row.day not in first or row.ts < first[row.day].ts:
+                first[row.day] = row
+        state = self.state.get()
+        new_day, told = state if state else (None, "")
         for day in sorted(first):
-            row = first[day]
             if new_day is None:
-                new_day = day if row.is_new == "1" else str((pd.Timestamp(day) - pd.Timedelta(days=1)).date())
+                new_day = day if first[day].is_new == "1" else str(date.fromisoformat(day) - timedelta(days=1))
             if day > told:
-                out.append((key[0], day, row.ts, new_day))
                 told = day
+                yield Row(key=key[0], day=day, ts=first[day].ts, new_day=new_day)
         self.state.update((new_day, told))
-        if out:
-            yield pd.DataFrame(out, columns=["key", "day", "ts", "new_day"])
 
     def close(self) -> None:
         pass
@@ -140,7 +131,7 @@ def fix_is_new(log: DataFrame, key: str, lateness: str = "1 day") -> DataFrame:
     rows = log.select(F.col(key).alias("key"), F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts", "is_new")
     few = keep_edge(rows, ["key", "day"], ["ts"]).withWatermark("ts", lateness)
     out = "key string, day string, ts timestamp, new_day string"
-    told = few.groupBy("key").transformWithStateInPandas(FirstSeen(), out, "Append", "EventTime", eventTimeColumnName="ts")
+    told = few.groupBy("key").transformWithState(FirstSeen(), out, "Append", "EventTime", eventTimeColumnName="ts")
     told = told.select("key", F.col("day").alias("_day"), F.col("ts").alias("_ts"), "new_day", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
 
     salted = log.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).withColumn("salt", F.pmod(F.hash("ts"), F.lit(SALTS))).withWatermark("ts", lateness)
