@@ -66,7 +66,24 @@ def path(body: str, **kw) -> str:
 
 PERIOD = "* EXCLUDE (recent_days), recent_days || 'd' period_type"
 
+
+
+def history(table: str, key: str, now: dict[str, str], ints: str = "") -> str:
+    """Current rows ∪ closed rows that differ; ``now`` gives each tracked column's new value."""
+    fresh = ", ".join(f"{e} AS {c}" for c, e in now.items())
+    differs = " OR ".join(f"{c} IS DISTINCT FROM ({e})" for c, e in now.items())
+    return path(
+        f"""SELECT {key}, {fresh}, {D} start_date, date '9999-12-31' end_date, 1 is_current FROM {table}
+            UNION ALL SELECT {key}, {', '.join(now)}, date '2024-01-01', {D} - 1, 0 FROM {table} WHERE {differs}""",
+        days="start_date end_date", ints=f"is_current {ints}")
+
+
 SQL = {
+    "path_user_history": history("customer", "c_custkey", {"c_mktsegment": "CASE WHEN c_custkey % 4 = 0 THEN 'NEW' ELSE c_mktsegment END", "c_nationkey": "c_nationkey"}, "c_nationkey"),
+    "path_product_history": history(
+        "part", "p_partkey", {"p_retailprice": "CASE WHEN p_partkey % 5 = 0 THEN p_retailprice + 1 ELSE p_retailprice END", "p_type": "nullif(p_type, 'PROMO')"}),
+    "path_page_history": history(
+        "(SELECT pid page_id, page_name, t page_type FROM info)", "page_id", {"page_type": "CASE WHEN page_type = 'home' THEN 'start' ELSE page_type END", "page_name": "page_name"}),
     "path_visit_fact": path("SELECT * FROM visit", days="dt", seconds="visit_time", ints="stay_duration is_new_visitor"),
     "session_path": path("SELECT * FROM sess", days="dt", seconds="entry_time exit_time", ints="total_duration is_new_session"),
     "path_jump_fact": path("SELECT from_page_id, to_page_id, dt, count(*) jump_count, count(DISTINCT user_id) jump_users FROM step GROUP BY ALL", days="dt"),

@@ -147,10 +147,20 @@ FROM c LEFT JOIN region ON r_regionkey = order_id % 7 WHERE cm_ts BETWEEN od_ts
         money="amount", seconds="asked_at refunded_at"),
     "stream_dim_sync": st(
         """WITH x AS (SELECT *, CASE tab WHEN 'order_info' THEN 'dim_order_info' ELSE 'dim_shop_info' END sink, cast(CASE tab WHEN 'order_info' THEN k ELSE u END AS varchar) AS key FROM chg WHERE tab <> 'other_table'),
-            newest AS (SELECT *, row_number() OVER (PARTITION BY sink, key ORDER BY ts_ms DESC) rn FROM x)
+            y AS (SELECT *, coalesce(max(CASE WHEN op = 'd' THEN ts_ms END) OVER (PARTITION BY sink, key), -1) gone FROM x),
+            newest AS (SELECT *, row_number() OVER (PARTITION BY sink, key ORDER BY ts_ms DESC) rn FROM y WHERE op <> 'd' AND ts_ms > gone)
 ---
 SELECT sink sink_table, md5(key) row_key, CASE tab WHEN 'order_info' THEN cast(k AS varchar) END id, cast(u AS varchar) user_id, CASE tab WHEN 'order_info' THEN st END order_status,
- CASE tab WHEN 'shop_info' THEN amt END total_amount FROM newest WHERE rn = 1 AND op <> 'd'"""),
+ CASE tab WHEN 'shop_info' THEN amt END total_amount FROM newest WHERE rn = 1"""),
+    "stream_order_refund_join": st(
+        """SELECT order_id, user_id, amount, a.r_name refund_type_name, b.r_name refund_reason_name, od_ts + to_seconds(order_id % 40 * 60) asked_at
+           FROM od JOIN region a ON a.r_regionkey = order_id % 5 JOIN region b ON b.r_regionkey = order_id % 3 WHERE status = 'F' AND order_id % 40 <= 30""",
+        money="amount", seconds="asked_at"),
+    "stream_login_window": st(
+        f"""WITH d AS (SELECT user_id, dt, min(ts) ts FROM ev WHERE event_type = 'purchase' GROUP BY user_id, dt),
+            f AS (SELECT *, CASE WHEN dt - lag(dt) OVER (PARTITION BY user_id ORDER BY dt) >= 8 THEN 1 ELSE 0 END back FROM d)
+---
+SELECT {bounds(10)}, count(*) uu_ct, sum(back) back_ct FROM f WHERE {closed(10, MAX)} GROUP BY ALL""", ints="back_ct"),
     "stream_upsert_latest": st(
         """SELECT cast(u AS varchar) user_id, cast(k AS varchar) id, st order_status, op, ts_ms FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY ts_ms DESC) rn FROM chg)
            WHERE rn = 1 AND op <> 'd'"""),

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from tallyflow.functions.times import OPEN_END, day
+from tallyflow.operators.history import history_compare
 from tallyflow.plans import page_analytics as pa
 from tallyflow.plans import page_path as pp
 from tallyflow.sources.page_standins import PageAnalytics, PagePath
@@ -13,6 +16,11 @@ from tallyflow.sources.standins import EVENTS_AS_OF as AS_OF
 
 
 class PathWarehouse(PagePath):
+    def history(self, table: DataFrame, key: str, tracked: dict[str, Column]) -> DataFrame:
+        """History of a dimension whose tracked columns change on the report day as given."""
+        held = table.select(key, *tracked).withColumn("start_date", day("2024-01-01")).withColumn("end_date", day(OPEN_END)).withColumn("is_current", F.lit(1))
+        return history_compare(held, table.withColumns(tracked).select(key, *tracked), key, list(tracked), AS_OF)
+
     @cached_property
     def visits(self) -> DataFrame:
         return pp.visits(self.visit_log, self.page_info)
@@ -43,6 +51,12 @@ class PathWarehouse(PagePath):
 
 
 PATH_QUERIES = {
+    "path_user_history": lambda w: w.history(
+        w.raw("customer"), "c_custkey", {"c_mktsegment": F.when(F.col("c_custkey") % 4 == 0, F.lit("NEW")).otherwise(F.col("c_mktsegment")), "c_nationkey": F.col("c_nationkey")}),
+    "path_product_history": lambda w: w.history(
+        w.raw("part"), "p_partkey", {"p_retailprice": F.when(F.col("p_partkey") % 5 == 0, F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice")), "p_type": F.nullif("p_type", F.lit("PROMO"))}),
+    "path_page_history": lambda w: w.history(
+        w.page_info, "page_id", {"page_type": F.when(F.col("page_type") == "home", "start").otherwise(F.col("page_type")), "page_name": F.col("page_name")}),
     "path_visit_fact": lambda w: w.visits,
     "session_path": lambda w: w.session,
     "path_jump_fact": lambda w: pp.jump_counts(w.steps),

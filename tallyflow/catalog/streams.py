@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.operators.dims import enrich
+from tallyflow.operators.dims import dictionary_roles, enrich
 from tallyflow.session import scratch_path
 from tallyflow.sources import sinks
 from tallyflow.sources.readers import json_table
@@ -235,6 +235,23 @@ def refund_three(w: StreamWarehouse) -> DataFrame:
     return drain(joined.select("order_id", "user_id", "amount", F.col("ri_ts").alias("asked_at"), F.col("rp_ts").alias("refunded_at")), "refund")
 
 
+def order_refund(w: StreamWarehouse) -> DataFrame:
+    """Refund requests joined to their order of the last half hour; type and reason names from one dictionary under two roles."""
+    asks = w.later("F", F.col("order_id") % 40 * 60, "ri")
+    asks = asks.withColumn("refund_type", F.md5((F.col("ri_order_id") % 5).cast("string"))).withColumn("refund_reason_type", F.md5((F.col("ri_order_id") % 3).cast("string")))
+    joined = joins.bounded(asks, w.order_events(), {"ri_order_id": "order_id"}, "ri_ts", "od_ts", "30 minutes", "0 seconds")
+    names = w.raw("region").select(F.md5(F.col("r_regionkey").cast("string")).alias("dic_code"), F.col("r_name").alias("dic_name"))
+    named = dictionary_roles(joined, names, {"refund_type": "refund_type_name", "refund_reason_type": "refund_reason_name"})
+    return drain(named.select("order_id", "user_id", "amount", "refund_type_name", "refund_reason_name", F.col("ri_ts").alias("asked_at")), "order-refund")
+
+
+def login_window(w: StreamWarehouse) -> DataFrame:
+    """Daily unique and returning logins in 10 s windows."""
+    days = uniques.login_return(w.events("purchase"), "user_id")
+    sums = [F.sum("uu_ct").alias("uu_ct"), F.sum("back_ct").alias("back_ct")]
+    return drain(tumble(days, "ts", "10 seconds", [], sums), "login-window")
+
+
 def order_detail(w: StreamWarehouse) -> DataFrame:
     """Order lines ⋈ order ⟕ activity ⟕ coupon, four change streams; lines without activity or coupon come out once the bound has passed."""
     heads = w.later(None, F.lit(0), "oi")
@@ -321,7 +338,9 @@ QUERIES = {
     "stream_comment_interval_join": comment_interval,
     "stream_cancel_join": cancel_detail,
     "stream_refund_join": refund_three,
+    "stream_order_refund_join": order_refund,
     "stream_order_detail_join": order_detail,
+    "stream_login_window": login_window,
     "stream_dim_sync": dim_sync,
     "stream_upsert_latest": upsert_latest,
     "stream_olap_json": olap_json,

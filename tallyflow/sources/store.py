@@ -1,6 +1,6 @@
 """Keyed tables in Parquet: newest row per key, rewritten bucket by bucket.
 
-Layout: ``bucket=<b>/v=<version>``. A batch reads and writes only the buckets it touches and gives them its own version;
+Layout: ``store_bucket=<b>/store_version=<version>``. A batch reads and writes only the buckets it touches and gives them its own version;
 readers take each bucket's highest version. Writing a version again replaces it, so a repeated batch changes nothing.
 Deleted keys stay as rows with op 'd' and are left out on reading.
 """
@@ -23,14 +23,14 @@ class KeyedTable:
         self.keys, self.order, self.op, self.buckets = list(keys), list(order), op, buckets
 
     def _stored(self) -> DataFrame:
-        layout = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("v", T.LongType())])
+        layout = T.StructType([*self.schema.fields, T.StructField("store_bucket", T.IntegerType()), T.StructField("store_version", T.LongType())])
         return self.spark.read.schema(layout).option("basePath", self.path).parquet(self.path)
 
     def _newest(self, before: int | None = None) -> DataFrame:
         """Rows of each bucket's highest version. The version list comes from folder names, one row per bucket."""
-        rows = self._stored() if before is None else self._stored().where(F.col("v") < before)
-        latest = rows.groupBy("bucket").agg(F.max("v").alias("v"))
-        return rows.join(latest, ["bucket", "v"], "left_semi")
+        rows = self._stored() if before is None else self._stored().where(F.col("store_version") < before)
+        latest = rows.groupBy("store_bucket").agg(F.max("store_version").alias("store_version"))
+        return rows.join(latest, ["store_bucket", "store_version"], "left_semi")
 
     def exists(self) -> bool:
         try:
@@ -41,14 +41,14 @@ class KeyedTable:
     def upsert(self, changes: DataFrame, version: int) -> None:
         """Merge a batch: newest row per key by ``order`` wins over what is stored."""
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        new = latest_per_key(changes.select(*self.schema.names), self.keys, self.order).withColumn("bucket", bucket)
+        new = latest_per_key(changes.select(*self.schema.names), self.keys, self.order).withColumn("store_bucket", bucket)
         merged = new
         if self.exists():
-            touched = new.select("bucket").distinct()
-            held = self._newest(before=version).drop("v").join(touched, "bucket", "left_semi")
-            merged = latest_per_key(held.unionByName(new), [*self.keys, "bucket"], self.order)
-        out = merged.withColumn("v", F.lit(version).cast("bigint")).repartition("bucket")
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "v").parquet(self.path)
+            touched = new.select("store_bucket").distinct()
+            held = self._newest(before=version).drop("store_version").join(touched, "store_bucket", "left_semi")
+            merged = latest_per_key(held.unionByName(new), [*self.keys, "store_bucket"], self.order)
+        out = merged.withColumn("store_version", F.lit(version).cast("bigint")).repartition("store_bucket")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("store_bucket", "store_version").parquet(self.path)
 
     def read(self) -> DataFrame:
         live = self._newest().select(*self.schema.names)

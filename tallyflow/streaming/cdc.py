@@ -79,3 +79,8 @@ def event_time(column: str = "ts_ms") -> Column:
 
 def add_ds(df: DataFrame, ms: str = "ts_ms") -> DataFrame:
     return df.withColumn("ds", F.date_format(F.timestamp_millis(F.col(ms)), "yyyyMMdd"))
+
+
+def stamp(changes: DataFrame) -> DataFrame:
+    """Adds the processing time; it differs from run to run, so keep it out of comparisons."""
+    return changes.withColumn("process_time", F.current_timestamp())

@@ -1,4 +1,7 @@
-"""Change stream to dimension tables, driven by a small configuration table."""
+"""Change stream to dimension tables, driven by a small configuration table.
+
+Every column of a dimension row is kept under its own key, so a later change that lacks a column leaves the known value alone.
+"""
 
 from __future__ import annotations
 
@@ -7,40 +10,57 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tallyflow.sources.store import KeyedTable
 from tallyflow.streaming.run import each_batch
 
 CONFIG = "source_table string, sink_table string, sink_row_key string, sink_columns string"
-ROWS = T.StructType().add("sink_table", "string").add("row_key", "string").add("info", T.MapType(T.StringType(), T.StringType())).add("op", "string").add("ts_ms", "long")
+CELLS = T.StructType().add("sink_table", "string").add("row_key", "string").add("field", "string").add("text", "string").add("ts_ms", "long")
+DELETED = ""
+
 
+def to_cells(changes: DataFrame, config: DataFrame) -> DataFrame:
+    """One row per non-empty configured column, under the md5 of the row key; a delete gives one row with the field DELETED.
 
-def to_dim_rows(changes: DataFrame, config: DataFrame) -> DataFrame:
-    """Rows for the configured tables: md5 row key, the configured non-empty columns, op and time. Other tables are left out."""
+    Tables without a rule are left out.
+    """
     table = F.try_element_at("source", F.lit("table"))
     routed = changes.withColumn("source_table", table).join(config, "source_table", "inner")
-    row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    gone = F.col("op") == "d"
+    row = F.when(gone, F.col("before")).otherwise(F.col("after"))
     wanted = F.split("sink_columns", ",")
     kept = F.map_filter(F.col("row"), lambda k, v: F.array_contains(wanted, k) & v.isNotNull() & (v != ""))
+    cells = F.when(gone, F.create_map(F.lit(DELETED), F.lit(DELETED))).otherwise(kept)
     key = F.try_element_at("row", F.col("sink_row_key"))
-    return routed.withColumn("row", row).where(key.isNotNull()).select("sink_table", F.md5(key).alias("row_key"), kept.alias("info"), "op", "ts_ms")
+    keyed = routed.withColumn("row", row).where(key.isNotNull() & (key != ""))
+    return keyed.select("sink_table", F.md5(key).alias("row_key"), F.explode(cells).alias("field", "text"), "ts_ms")
 
 
-def sync(changes: DataFrame, path: str, config: Callable[[SparkSession], DataFrame]):
+def sync(changes: DataFrame, path: str, config: Callable[[SparkSession], DataFrame]) -> StreamingQuery:
     """Upserts every micro-batch; the configuration is read again each time, so a changed rule counts from the next batch on."""
     spark = changes.sparkSession
 
     def step(df: DataFrame, batch: int) -> None:
-        dimensions(spark, path).upsert(to_dim_rows(df, config(df.sparkSession)), batch)
+        cells_table(spark, path).upsert(to_cells(df, config(df.sparkSession)), batch)
 
     return each_batch(changes, path, step)
 
 
-def dimensions(spark: SparkSession, path: str) -> KeyedTable:
-    """All dimensions in one keyed table; a dimension is its rows of that name."""
-    return KeyedTable(spark, f"{path}/table", ROWS, ["sink_table", "row_key"], ["ts_ms"], "op")
+def cells_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, f"{path}/table", CELLS, ["sink_table", "row_key", "field"], ["ts_ms"])
 
 
 def current(spark: SparkSession, path: str, config: DataFrame) -> DataFrame:
-    """Live rows of the dimensions still configured; a rule taken away drops its dimension."""
-    return dimensions(spark, path).read().join(config.select("sink_table").distinct(), "sink_table", "left_semi")
+    """Rows of the dimensions still configured, their columns as a map; values older than the row's last delete are gone.
+
+    A rule taken away drops its dimension.
+    """
+    cells = cells_table(spark, path).read().join(config.select("sink_table").distinct(), "sink_table", "left_semi")
+    rows = cells.groupBy("sink_table", "row_key").agg(
+        F.max(F.when(F.col("field") == DELETED, F.col("ts_ms"))).alias("deleted_at"),
+        F.collect_list(F.struct("field", "text", "ts_ms")).alias("cells"),
+    )
+    live = F.filter("cells", lambda c: (c["field"] != DELETED) & (F.col("deleted_at").isNull() | (c["ts_ms"] > F.col("deleted_at"))))
+    info = F.map_from_entries(F.transform(live, lambda c: F.struct(c["field"], c["text"])))
+    return rows.select("sink_table", "row_key", info.alias("info")).where(F.size("info") > 0)

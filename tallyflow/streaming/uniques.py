@@ -20,32 +20,40 @@ SALTS = 16
 class FirstPerDay(StatefulProcessor):
     """Emits the earliest row of a key for each (kind, day) not seen before.
 
-    A (kind, day) stays known until the watermark is a day past its end, so a late or repeated row never counts twice.
+    A day's marks stay until the watermark is a day past its end, so a late or repeated row never counts twice. One state
+    value and one timer per key and micro-batch.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", T.StructType().add("mark", "string"), T.StructType().add("end_ms", "long"))
+        self.seen = handle.getValueState("seen", T.StructType().add("marks", T.ArrayType(T.StringType())))
+
+    @staticmethod
+    def end_ms(mark: str) -> int:
+        return (date.fromisoformat(mark[:10]) - EPOCH).days * DAY_MS + 2 * DAY_MS
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         first: dict[str, Row] = {}
         for row in rows:
-            mark = f"{row.kind}|{row.day}"
+            mark = f"{row.day}|{row.kind}"
             if mark not in first or row.ts < first[mark].ts:
                 first[mark] = row
-        for mark, row in first.items():
-            if self.seen.containsKey((mark,)):
-                continue
-            end_ms = (date.fromisoformat(row.day) - EPOCH).days * DAY_MS + 2 * DAY_MS
-            self.seen.updateValue((mark,), (end_ms,))
-            self.handle.registerTimer(end_ms)
-            yield row
+        state = self.seen.get()
+        held = set(state[0]) if state else set()
+        fresh = [m for m in first if m not in held]
+        if fresh:
+            self.seen.update((sorted(held.union(fresh)),))
+            self.handle.registerTimer(max(self.end_ms(m) for m in fresh))
+        for mark in fresh:
+            yield first[mark]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        for (mark,), (end_ms,) in list(self.seen.iterator()):
-            if end_ms <= now:
-                self.seen.removeKey((mark,))
+        state = self.seen.get()
+        live = [m for m in state[0] if self.end_ms(m) > expiredTimerInfo.getExpiryTimeInMs()] if state else []
+        if live:
+            self.seen.update((live,))
+        else:
+            self.seen.clear()
         return iter(())
 
     def close(self) -> None:
