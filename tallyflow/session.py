@@ -29,19 +29,23 @@ def build_session(master: str | None = None, app: str = "tallyflow", **conf: str
     return builder.getOrCreate()
 
 
+_made: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only on a local master with the setting absent (tests).
+    A machine-local folder is made only on a local master with the setting absent (tests), once per application.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="tallyflow-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _made:
+        _made[app] = tempfile.mkdtemp(prefix="tallyflow-")
+    return _made[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

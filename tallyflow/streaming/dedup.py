@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row
@@ -23,6 +24,11 @@ def exact(df: DataFrame, keys: Sequence[str], ts: str, horizon: str) -> DataFram
     return marked.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt").dropDuplicatesWithinWatermark(list(keys))
 
 
+def read_state(names: Sequence[str], values: tuple) -> dict:
+    """A state row as a dict. Its times come back without a zone, in the worker's local time; rows carry one."""
+    return {n: v.astimezone() if isinstance(v, datetime) and v.tzinfo is None else v for n, v in zip(names, values)}
+
+
 class NewestOnly(StatefulProcessor):
     """Passes a key's newest row when it is newer than the last one passed."""
 
@@ -62,7 +68,7 @@ class Retract(StatefulProcessor):
         best = max(rows, key=lambda r: r[self.order])
         state = self.held.get()
         if state:
-            old = dict(zip(self.schema.names, state))
+            old = read_state(self.schema.names, state)
             if best[self.order] <= old[self.order]:
                 return
             for a in self.amounts:
@@ -97,7 +103,7 @@ class HoldBack(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         best = max(rows, key=lambda r: r[self.ts])
         state = self.held.get()
-        if not state or dict(zip(self.schema.names, state))[self.ts] < best[self.ts]:
+        if not state or read_state(self.schema.names, state)[self.ts] < best[self.ts]:
             self.held.update(tuple(best[n] for n in self.schema.names))
             self.handle.registerTimer(self.due(best))
         return iter(())
@@ -105,7 +111,7 @@ class HoldBack(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         state = self.held.get()
         if state:
-            row = dict(zip(self.schema.names, state))
+            row = read_state(self.schema.names, state)
             if self.due(row) <= expiredTimerInfo.getExpiryTimeInMs():
                 self.held.clear()
                 yield Row(**row)

@@ -87,13 +87,19 @@ def test_tombstones_are_dropped(spark):
     assert [r.value for r in readers.values(df).collect()] == ["v"]
 
 
+class Named:
+    """A session whose settings name a shared folder, on a cluster master."""
+
+    def __init__(self, folder, master="spark://host"):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: folder if key == "spark.checkpoint.dir" else default)})
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "a"})
+
+
 def test_shared_folder_comes_from_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "/shared/place/")
-    try:
-        assert shared_dir(spark) == "/shared/place"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+    assert shared_dir(Named("hdfs://n/shared/")) == "hdfs://n/shared"
+    with pytest.raises(ValueError):
+        shared_dir(Named(None))
+    assert shared_dir(spark) == shared_dir(spark)
 
 
 @pytest.mark.parametrize("text,folder_name", [("1704067200", "20240101"), ("1704067200000", "20240101"), ("x", "error_bucket"), (None, "error_bucket")])
