@@ -38,7 +38,8 @@ def rank_whole(df: DataFrame, by: str, out: str = "rk", descending: bool = True,
 
     Equal values are counted first (a hot value is one row), the distinct values are cut into ordered slices,
     ranked inside their slice, and shifted by the row count of the slices before. Only the slice totals,
-    at most ``slices`` + 2 rows, meet in one task. NULL ranks last.
+    at most ``slices`` + 2 rows, meet in one task. NULL ranks last. ``df`` is read four times: give a stored table, or
+    materialise an expensive plan first.
     """
     counts = df.groupBy(F.col(by).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
     cuts = counts.agg(F.percentile_approx("_value", [i / slices for i in range(1, slices)], 10000).alias("cuts"))

@@ -14,6 +14,7 @@ from tallyflow.operators.dims import enrich
 from tallyflow.operators.history import history_init
 from tallyflow.operators.horizons import HORIZONS, explode_horizons
 from tallyflow.operators.ranking import best_row, percent_rank_whole, rank_whole, top_rows
+from tallyflow.session import materialise
 
 # Names shown for codes and for missing values.
 PAY_NAMES = {"alipay": "支付宝", "wechat": "微信支付", "bank": "银行卡支付", "balance": "余额支付"}
@@ -252,6 +253,7 @@ def goods_hot_rank(behavior: DataFrame, sales: DataFrame, growth: DataFrame, goo
     viewed = behavior.where(F.col("recent_days") == behavior_days).select("goods_id", "view_count", "conversion_rate")
     sold = sales.where("recent_days = 7").select("goods_id", "total_sales", "total_revenue")
     base = goods.where("goods_status = 1").select("goods_id", "goods_name", "category_l1").join(viewed, "goods_id").join(sold, "goods_id")
+    base = materialise(base, "goods-rank")  # read for two ranks, their slice totals and the row count
     ranked = rank_whole(rank_whole(base, "view_count", "view_rank"), "total_sales", "purchase_rank")
     n = F.greatest(base.agg(rows()).scalar() - 1, F.lit(1))
     part = lambda rank: 1 - (F.col(rank) - 1).cast("double") / n.cast("double")
@@ -263,7 +265,7 @@ def goods_hot_rank(behavior: DataFrame, sales: DataFrame, growth: DataFrame, goo
 def goods_view_percentile(behavior: DataFrame, behavior_days: int = 30) -> DataFrame:
     """percent_rank of views over all goods."""
     viewed = behavior.where(F.col("recent_days") == behavior_days).select("goods_id", "view_count")
-    return percent_rank_whole(viewed, "view_count", "view_percent_rank")
+    return percent_rank_whole(materialise(viewed, "view-rank"), "view_count", "view_percent_rank")
 
 
 def shop_competitiveness(lines: DataFrame, trade: DataFrame, shops: DataFrame, goods: DataFrame, as_of: str) -> DataFrame:

@@ -13,6 +13,7 @@ from tallyflow.functions.times import day
 from tallyflow.operators.history import history_lag
 from tallyflow.operators.horizons import HORIZONS, explode_horizons
 from tallyflow.operators.ranking import rank_whole
+from tallyflow.session import materialise
 
 # Names shown for codes.
 LEVELS = {1: "商品级", 2: "SKU级"}
@@ -135,7 +136,7 @@ def customer_value(nd: DataFrame, high: float = 500, middle: float = 200) -> Dat
 def offer_effectiveness(nd: DataFrame) -> DataFrame:
     """0.5 × rate + 0.3 × (1 − rank ÷ worst rank) + 0.2 × mean discount per item; rank by redemptions of 30 days."""
     month = nd.where("recent_days = 30").select("sku_id", F.col("redemption_count").alias("n"), F.col("total_savings").alias("monthly_savings"))
-    ranked = rank_whole(month, "n", "best_redemption_rank").drop("n")
+    ranked = rank_whole(materialise(month, "offer-rank"), "n", "best_redemption_rank").drop("n")
     worst = ranked.agg(F.max("best_redemption_rank").alias("worst")).scalar()
     today = nd.where("recent_days = 1").select(
         "sku_id", F.col("send_count").alias("daily_send_count"), F.col("redemption_rate").alias("daily_redemption_rate"), F.col("avg_discount").alias("daily_avg_discount")
