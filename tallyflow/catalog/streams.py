@@ -13,7 +13,7 @@ from tallyflow.sources.standins import Retail, money
 from tallyflow.sources.stream_standins import Streams
 from tallyflow.streaming import cdc, dedup, dimsync, joins, logs, moderation, uniques
 from tallyflow.streaming.run import drain, start_files
-from tallyflow.streaming.windows import distinct_in_window, tumble
+from tallyflow.streaming.windows import tumble, tumble_distinct
 
 
 class StreamWarehouse(Streams):
@@ -160,8 +160,11 @@ def province_window(w: StreamWarehouse) -> DataFrame:
     home = w.raw("customer").select("c_custkey", F.col("c_nationkey").alias("province_id"))
     orders = enrich(w.order_events(), home, "user_id", "c_custkey", ["province_id"])
     lines = orders.withColumn("line", F.explode(F.array(F.lit(1), F.lit(2))))
-    once = distinct_in_window(lines, "od_ts", "10 seconds", ["province_id"], "order_id", "0 seconds")
-    return drain(tumble(once, "od_ts", "10 seconds", ["province_id"], [rows().alias("order_count"), F.sum("amount").alias("order_amount")]), "province-distinct")
+    out = tumble_distinct(
+        lines.withWatermark("od_ts", "0 seconds"), "od_ts", "10 seconds", ["province_id"], "order_id", [F.max("amount").alias("amount")],
+        [rows().alias("order_count"), F.sum("amount").alias("order_amount")],
+    )
+    return drain(out, "province-distinct")
 
 
 def sku_window(w: StreamWarehouse) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tallyflow.streaming.combine import keep_edge
 
+DAY_MS = 86_400_000
+
 
 def exact(df: DataFrame, keys: Sequence[str], ts: str, horizon: str) -> DataFrame:
     """Each key once within ``horizon``, which must cover the longest repeat gap.
@@ -32,11 +34,11 @@ def read_state(names: Sequence[str], values: tuple) -> dict:
 class NewestOnly(StatefulProcessor):
     """Passes a key's newest row when it is newer than the last one passed."""
 
-    def __init__(self, order: str):
-        self.order = order
+    def __init__(self, order: str, keep_ms: int | None):
+        self.order, self.keep_ms = order, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", T.StructType().add("at", "long"))
+        self.last = handle.getValueState("last", T.StructType().add("at", "long"), self.keep_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         best = max(rows, key=lambda r: r[self.order])
@@ -49,21 +51,30 @@ class NewestOnly(StatefulProcessor):
         pass
 
 
-def newest_only(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Rows newer than anything passed before for their key; of one micro-batch only the newest."""
+def newest_only(df: DataFrame, key: str, order: str, keep_ms: int | None = None) -> DataFrame:
+    """Rows newer than anything passed before for their key; of one micro-batch only the newest.
+
+    With ``keep_ms`` a key idle that long (wall clock) is forgotten. Such a stream runs on a clock, so it must be started with a
+    processing-time trigger; with availableNow it would not end.
+    """
     few = keep_edge(df, [key], [order], last=True)
-    return few.groupBy(key).transformWithState(NewestOnly(order), few.schema, "Append", "None")
+    mode = "None" if keep_ms is None else "ProcessingTime"
+    return few.groupBy(key).transformWithState(NewestOnly(order, keep_ms), few.schema, "Append", mode)
 
 
 class Retract(StatefulProcessor):
     """On a new version of a key: the held row with negated amounts and its own old time, then the new row."""
 
-    def __init__(self, schema: T.StructType, order: str, amounts: Sequence[str]):
-        self.schema, self.order, self.amounts = schema, order, list(amounts)
+    def __init__(self, schema: T.StructType, order: str, amounts: Sequence[str], keep_ms: int):
+        self.schema, self.order, self.amounts, self.keep_ms = schema, order, list(amounts), keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.held = handle.getValueState("held", self.schema)
 
+    def end(self, row) -> int:
+        return int(row[self.order].timestamp() * 1000) + self.keep_ms
+
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         best = max(rows, key=lambda r: r[self.order])
         state = self.held.get()
@@ -75,16 +86,26 @@ class Retract(StatefulProcessor):
                 old[a] = -old[a] if old[a] is not None else None
             yield Row(**old)
         self.held.update(tuple(best[n] for n in self.schema.names))
+        self.handle.registerTimer(self.end(best))
         yield best
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        state = self.held.get()
+        if state and self.end(read_state(self.schema.names, state)) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.held.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
 
-def retract(df: DataFrame, key: str, ts: str, amounts: Sequence[str], lateness: str = "0 seconds") -> DataFrame:
-    """Replaces earlier versions of a key in later sums. Versions inside one micro-batch cancel out, so only the last is kept there."""
+def retract(df: DataFrame, key: str, ts: str, amounts: Sequence[str], lateness: str = "0 seconds", keep_ms: int = DAY_MS) -> DataFrame:
+    """Replaces earlier versions of a key in later sums. Versions inside one micro-batch cancel out, so only the last is kept there.
+
+    A row is held until the watermark is ``keep_ms`` past it: the longest time after which a new version may still come.
+    """
     few = keep_edge(df, [key], [ts], last=True).withWatermark(ts, lateness)
-    return few.groupBy(key).transformWithState(Retract(few.schema, ts, amounts), few.schema, "Append", "EventTime", eventTimeColumnName=ts)
+    return few.groupBy(key).transformWithState(Retract(few.schema, ts, amounts, keep_ms), few.schema, "Append", "EventTime", eventTimeColumnName=ts)
 
 
 class HoldBack(StatefulProcessor):

@@ -20,10 +20,10 @@ def tumble(stream: DataFrame, ts: str, width: str, keys: Sequence[str], aggs: Se
     )
 
 
-def distinct_in_window(stream: DataFrame, ts: str, width: str, keys: Sequence[str], value: str, lateness: str) -> DataFrame:
-    """Rows left after keeping each (window, keys, value) once, so that a later window count is a distinct count.
-
-    Holds one key per value in the state store instead of a set per window in memory.
+def tumble_distinct(stream: DataFrame, ts: str, width: str, keys: Sequence[str], value: str, per_value: Sequence[Column], aggs: Sequence[Column]) -> DataFrame:
+    """Windows over distinct values: rows are first collapsed to one per (window, keys, value) with ``per_value``, then
+    aggregated per (window, keys). Both steps combine map-side and leave the state when the window closes; no set of values
+    is carried in a row.
     """
-    marked = stream.withWatermark(ts, lateness).withColumn("_window", F.window(ts, width)["start"])
-    return marked.dropDuplicatesWithinWatermark(["_window", *keys, value]).drop("_window")
+    single = stream.groupBy(F.window(ts, width), *keys, value).agg(*per_value)
+    return tumble(single.withColumn("window_ts", F.window_time("window")).drop("window"), "window_ts", width, keys, aggs)

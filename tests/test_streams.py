@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.streaming import dedup, joins, logs, moderation, uniques
 from tallyflow.streaming.run import file_stream, start_files
-from tallyflow.streaming.windows import tumble
+from tallyflow.streaming.windows import tumble, tumble_distinct
 
 START = datetime(2024, 1, 1)
 
@@ -136,6 +136,16 @@ def test_windows_equal_batch_for_closed_windows(feed):
     assert sum(r.n for r in out.collect()) == 90
 
 
+def test_distinct_in_window_over_batches(feed):
+    f = feed("k int, o int, ts timestamp")
+    f.add((1, 7, at(0, 1)), (1, 8, at(0, 5)))
+    f.add((1, 7, at(0, 6)), (1, 7, at(0, 11)))
+    f.add((1, 9, at(0, 40)))
+    n = [F.count(F.lit(1)).alias("n")]
+    build = lambda s: tumble_distinct(s.withWatermark("ts", "0 seconds"), "ts", "10 seconds", ["k"], "o", n, n)
+    assert sorted((r.stt[-2:], r.n) for r in f.run(build).collect()) == [("00", 2), ("10", 1)]
+
+
 def test_interval_join_over_batches(spark, folder, feed):
     f = feed("id int, kind string, ts timestamp")
     side = lambda s, kind, p: s.where(F.col("kind") == kind).select(F.col("id").alias(f"{p}_id"), F.col("ts").alias(f"{p}_ts"))
