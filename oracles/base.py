@@ -18,7 +18,7 @@ order_info AS (
          cast(o_orderdate AS date) dt
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
 order_detail AS (
-  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey id, l_orderkey order_id, l_partkey sku_id,
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || cast(round(l_extendedprice * 100) AS bigint) id, l_orderkey order_id, l_partkey sku_id,
          l_suppkey shop_id, cast(l_quantity AS bigint) sku_num, cast(l_extendedprice AS decimal(16,2)) split_original_amount,
          cast(cast(l_extendedprice AS decimal(16,2)) * cast(l_discount AS decimal(4,2)) AS decimal(16,2)) split_activity_amount,
          cast(cast(l_extendedprice AS decimal(16,2)) * cast(l_tax AS decimal(4,2)) AS decimal(16,2)) split_coupon_amount,

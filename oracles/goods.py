@@ -229,9 +229,8 @@ SQL |= {
         f"""SELECT sku_id, sku_title, category_id, category_name, brand_id, brand_name, sale_price, store_id, listed putaway_time, is_online, {RANGE} FROM sku""",
         days="putaway_time start_date end_date", money="sale_price", ints="is_online"),
     "new_tag_history": new(
-        f"""SELECT id, sku_id, new_type, is_tmall_new, started new_tag_start_time, ended new_tag_end_time,
-            CASE WHEN l_returnflag = 'A' THEN '通过' ELSE '待审' END new_tag_audit_status, {RANGE}
-            FROM tag JOIN (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey id2, l_returnflag FROM lineitem) ON id = id2 WHERE ended >= {DO}""",
+        f"""SELECT id, sku_id, new_type, is_tmall_new, started new_tag_start_time, ended new_tag_end_time, audit new_tag_audit_status, {RANGE}
+            FROM tag WHERE ended >= {DO}""",
         days="new_tag_start_time new_tag_end_time start_date end_date", ints="is_tmall_new"),
     "new_payment_history": new(
         f"SELECT payment_id, sku_id, user_id, payment_amount, payment_quantity, payment_time, channel, refund_status, {RANGE} FROM pay",

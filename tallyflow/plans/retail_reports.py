@@ -78,7 +78,7 @@ def order_to_pay_interval_avg(flow: DataFrame, as_of: str) -> DataFrame:
     """Mean seconds from order to payment of the orders paid on the day."""
     seconds = F.timestamp_diff("SECOND", F.col("order_time"), F.col("payment_time"))
     paid = flow.where(F.to_date("payment_time") == day(as_of))
-    return dated(paid.agg(ratio(F.sum(seconds), rows()).alias("order_to_pay_interval_avg")), as_of)
+    return dated(paid.agg(ratio(F.sum(seconds), rows(), None).alias("order_to_pay_interval_avg")), as_of)
 
 
 def page_path(views: DataFrame, as_of: str, days: int = 1) -> DataFrame:

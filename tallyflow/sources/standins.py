@@ -25,6 +25,12 @@ def hours(col: Column) -> Column:
     return F.make_dt_interval(F.lit(0), col.cast("int"), F.lit(0), F.lit(0))
 
 
+def detail_id() -> Column:
+    """Order and line alone repeat in the given files, and so may line, part and supplier; the price tells the rest apart."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents.cast("string"))
+
+
 class Tables:
     """The given parquet files."""
 
@@ -72,7 +78,7 @@ class Retail(Tables):
         price = money("l_extendedprice")
         off = money(price * F.col("l_discount").cast("decimal(4,2)"))
         return self.raw("lineitem").select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+            detail_id().alias("id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("sku_id"),
             F.col("l_suppkey").alias("shop_id"),
@@ -87,7 +93,7 @@ class Retail(Tables):
     def order_detail_activity(self) -> DataFrame:
         rule = F.round(F.col("l_discount") * 100).cast("int")
         return self.raw("lineitem").where("l_discount > 0").select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_detail_id"),
+            detail_id().alias("order_detail_id"),
             (rule % 3).alias("activity_id"),
             rule.alias("activity_rule_id"),
         )
@@ -95,7 +101,7 @@ class Retail(Tables):
     @cached_property
     def order_detail_coupon(self) -> DataFrame:
         return self.raw("lineitem").where("l_tax > 0").select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_detail_id"),
+            detail_id().alias("order_detail_id"),
             F.round(F.col("l_tax") * 100).cast("int").alias("coupon_id"),
         )
 
