@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+import oracles
+from tallyflow.catalog.registry import registered
 from tests.compare import differences, duck
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registered(), oracles.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
