@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyflow.llm import huffman, piece_bpe, token_counts
+from tallyflow.llm import huffman, piece_bpe, token_counts, toxicity
 from tallyflow.llm.frames import table
 
 
@@ -23,10 +23,16 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_huffman_ids": op2_huffman_ids,
     "op3_piece_bpe": op3_piece_bpe,
     "op4_token_counts": op4_token_counts,
+    "op6_toxicity": op6_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
