@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyflow.llm import huffman, piece_bpe, token_counts, toxicity
+from tallyflow.llm import huffman, minhash, piece_bpe, token_counts, toxicity
 from tallyflow.llm.frames import table
 
 
@@ -28,11 +28,16 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_huffman_ids": op2_huffman_ids,
     "op3_piece_bpe": op3_piece_bpe,
     "op4_token_counts": op4_token_counts,
     "op6_toxicity": op6_toxicity,
+    "op8_minhash": op8_minhash,
 }
 
 ORACLES: dict[str, str] = {}
