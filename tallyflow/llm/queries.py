@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyflow.llm import huffman, minhash, piece_bpe, token_counts, toxicity
+from tallyflow.llm import huffman, minhash, pii, piece_bpe, token_counts, toxicity
 from tallyflow.llm.frames import table
 
 
@@ -23,6 +23,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+#: A production run takes its key from the session; results repeat where it is unset.
+PII_KEY = "spark.llm.pii.key"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymized(table(spark, sf_dir, "documents"), spark.conf.get(PII_KEY, "unset"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -36,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_huffman_ids": op2_huffman_ids,
     "op3_piece_bpe": op3_piece_bpe,
     "op4_token_counts": op4_token_counts,
+    "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
     "op8_minhash": op8_minhash,
 }
