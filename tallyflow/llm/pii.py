@@ -17,6 +17,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyflow.llm.frames import let
+
 ROUNDS = 8
 FIRST_DAY, DAYS = "1900-01-01", 73049  # to 2099-12-31
 
@@ -219,10 +221,9 @@ def kind_of(m: Column) -> Column:
     return out
 
 
-def _parts(text: Column) -> tuple[Column, Column]:
-    """The matches, each with its kind, and the pieces of text around them."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
-    return found, F.split(text, ANY, -1)
+def _matches(text: Column) -> Column:
+    """The matches, each with its kind."""
+    return F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
 
 
 def _replaced(found: Column, around: Column, key: str) -> Column:
@@ -239,12 +240,13 @@ def _replaced(found: Column, around: Column, key: str) -> Column:
 def with_pseudonyms(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """The rows with ``_text`` and ``_found``: the new text and the kinds found. Texts without a digit or an @ are not searched."""
     text = F.col(text_col).cast("string")
-    found, around = _parts(text)
-    some = df.withColumn("_worth", F.coalesce(text.rlike("[0-9@]"), F.lit(False)))
-    some = some.withColumn("_found", F.when(F.col("_worth"), found)).withColumn("_around", F.when(F.col("_worth") & (F.size("_found") > 0), around))
-    return some.withColumn("_text", F.when(F.col("_around").isNotNull(), _replaced(F.col("_found"), F.col("_around"), key)).otherwise(text)).withColumn(
-        "_found", F.transform(F.coalesce("_found", F.array()), lambda x: x["kind"])
-    ).drop("_worth", "_around")
+    made = lambda found: F.struct(
+        F.when(F.size(found) > 0, let(F.split(text, ANY, -1), lambda around: _replaced(found, around, key))).otherwise(text).alias("text"), F.transform(found, lambda x: x["kind"]).alias("kinds")
+    )
+    plain = F.struct(text.alias("text"), F.array().cast("array<string>").alias("kinds"))
+    worth = F.when(F.coalesce(text.rlike("[0-9@]"), F.lit(False)), let(_matches(text), made)).otherwise(plain)
+    # a generator keeps the result together: a plain column would be computed anew by each use
+    return df.withColumn("_made", F.explode(F.array(worth))).withColumn("_text", F.col("_made.text")).withColumn("_found", F.col("_made.kinds")).drop("_made")
 
 
 def pseudonymized(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyflow.llm import huffman, minhash, pii, piece_bpe, token_counts, toxicity
+from tallyflow.llm import decontaminate, huffman, minhash, pii, piece_bpe, token_counts, toxicity
 from tallyflow.llm.frames import table
 
 
@@ -40,6 +40,10 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_huffman_ids": op2_huffman_ids,
     "op3_piece_bpe": op3_piece_bpe,
@@ -47,6 +51,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
     "op8_minhash": op8_minhash,
+    "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+#: Words, shingles and exact containment without any search structure.
+OP10 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+     b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+     i AS (SELECT item_id, least(len(w), 5) AS k, list_distinct(list_transform(range(len(w) - least(len(w), 5) + 1), lambda p: w[p + 1:p + least(len(w), 5)])) AS s FROM b WHERE len(w) > 0),
+     e AS (SELECT item_id, k, len(s) AS n, unnest(s) AS h FROM i),
+     h AS (SELECT DISTINCT doc_id, unnest(list_transform(range(len(w) - k + 1), lambda p: w[p + 1:p + k])) AS h FROM d, (SELECT DISTINCT k FROM e) WHERE len(w) >= k)
+SELECT doc_id, item_id, n AS n_item, count(*) AS n_shared, count(*) / n AS containment
+FROM e JOIN h USING (h) GROUP BY doc_id, item_id, n HAVING count(*) / n >= 0.75
+"""
+
+ORACLES: dict[str, str] = {"op10_decontaminate": OP10}
