@@ -6,6 +6,7 @@ so the lengths alone rebuild them. A file is a Parquet part whose rows are block
     doc_ids, n_tokens   the documents of the block and how many ids each has
     payload             the codes, first bit first
     lanes               bits that each run of ``LANE`` ids takes: their running sums are the bit offsets of the checkpoints
+    total, ahead        ids of the block, and of the blocks before it in the same part
 
 Every block is decoded alone, and inside a block all checkpoints at once: one table look-up of 16 bits per lane and step.
 
@@ -31,7 +32,7 @@ from tallyflow.llm.wordcache import WordCache
 LIMIT = 16
 LANE = 64
 BLOCK_TOKENS = 1 << 16
-BLOCK = "doc_ids array<long>, n_tokens array<int>, payload binary, lanes binary, total long"
+BLOCK = "doc_ids array<long>, n_tokens array<int>, payload binary, lanes binary, total long, ahead long"
 
 
 # tokenizing
@@ -49,13 +50,25 @@ def _tokenizer(path: str):
     t.no_truncation()
     dtype = np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4")
 
+    special = next(((i, a.content) for i, a in sorted(t.get_added_tokens_decoder().items()) if a.special), None)
+
+    def whole(texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, dtype).tobytes() for x in t.encode_batch_fast(texts, add_special_tokens=False)]
+
     def encode(parts: list[str]) -> list[bytes]:
+        """Many parts in one call: a special token between them is cut out by the library before anything else."""
+        if special is None:
+            return whole(parts)
         out: list[bytes] = []
-        for at in range(0, len(parts), 20_000):
-            out += [np.array(x.ids, dtype).tobytes() for x in t.encode_batch_fast(parts[at : at + 20_000], add_special_tokens=False)]
+        for at in range(0, len(parts), 4000):
+            some = parts[at : at + 4000]
+            ids = np.array(t.encode_batch_fast([special[1].join(some)], add_special_tokens=False)[0].ids, dtype)
+            cuts = np.flatnonzero(ids == special[0])
+            raw, width = ids.tobytes(), dtype.itemsize
+            out += [raw[a * width : b * width] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True)]
         return out
 
-    return encode, dtype, WordCache(encode, 500_000)
+    return whole, dtype, WordCache(encode, 100_000), WordCache(lambda words: encode([" " + w for w in words]), 600_000)
 
 
 def ids_of(texts: list[str], path: str, end_id: int) -> Iterator[bytes]:
@@ -65,24 +78,25 @@ def ids_of(texts: list[str], path: str, end_id: int) -> Iterator[bytes]:
     part there; so texts are cut at these spaces and each distinct part goes through the library once. Texts with other runs of
     white space, or with a special token's string, go through it whole.
     """
-    encode, dtype, cache = _tokenizer(path)
+    encode_whole, dtype, starts, inner = _tokenizer(path)
     end = np.array([end_id], dtype).tobytes()
     for at in range(0, len(texts), 400):
         part = texts[at : at + 400]
         split = [_parts(t) for t in part]
-        known = cache.fill(set().union(*[x for x in split if x is not None]))
-        whole = iter(encode([t for t, x in zip(part, split, strict=True) if x is None]))
+        head = starts.fill({x[0] for x in split if x})
+        known = inner.fill(set().union(*[x[1:] for x in split if x]))
+        whole = iter(encode_whole([t for t, x in zip(part, split, strict=True) if x is None]))
         for x in split:
-            yield (next(whole) if x is None else b"".join([known[w] for w in x])) + end
+            yield (next(whole) if x is None else b"".join([head[x[0]], *[known[w] for w in x[1:]]]) if x else b"") + end
 
 
 def _parts(text: str) -> list[str] | None:
+    """The text cut at its spaces, which belong to the part behind them; None where that would not be exact."""
     if not text:
         return []
     if "  " in text or " \n" in text or "\n " in text or "<|" in text or text[-1].isspace() or any(c in text for c in _OTHER_SPACE):
         return None
-    first, *rest = text.split(" ")
-    return [first, *[" " + w for w in rest]]
+    return text.split(" ")
 
 
 #: Every white-space character but space and line feed.
@@ -225,60 +239,54 @@ def write_files(tokens: DataFrame, vocabulary: int, dtype: str) -> tuple[DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size = 0
+        size = ahead = 0
         for b in batches:
             for doc, x in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist(), strict=True):
                 ids = _unpack(x, np.dtype(dtype))
                 held.append((doc, ids))
                 size += len(ids)
                 if size >= BLOCK_TOKENS:
-                    yield block(held)
-                    held, size = [], 0
+                    yield block(held, ahead)
+                    held, size, ahead = [], 0, ahead + size
         if held:
-            yield block(held)
+            yield block(held, ahead)
 
-    def block(held: list[tuple]) -> pa.RecordBatch:
+    def block(held: list[tuple], ahead: int) -> pa.RecordBatch:
         ids = np.concatenate([x for _, x in held])
         payload, lanes = encode_block(ids, codes, lengths)
-        row = ([d for d, _ in held], [len(x) for _, x in held], payload, lanes, len(ids))
-        types = (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], ["doc_ids", "n_tokens", "payload", "lanes", "total"])
+        row = ([d for d, _ in held], [len(x) for _, x in held], payload, lanes, len(ids), ahead)
+        types = (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], ["doc_ids", "n_tokens", "payload", "lanes", "total", "ahead"])
 
     parts = tokens.repartitionByRange(shuffle_partitions(tokens.sparkSession), "doc_id").sortWithinPartitions("doc_id", "ids")
-    blocks = parts.select("doc_id", "ids").mapInArrow(run, BLOCK).withColumn("part", F.spark_partition_id()).withColumn("block", F.monotonically_increasing_id())
+    blocks = parts.select("doc_id", "ids").mapInArrow(run, BLOCK).withColumn("part", F.spark_partition_id())
     return written(blocks, "huffman"), lengths
 
 
 def read_files(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` of every document, decoded from the files alone.
 
-    ``start`` needs the ids before each block: totals per file part (as many rows as parts) and a running sum inside each part.
+    ``start`` needs the ids before each part: their totals (as many rows as parts) come to the driver.
     """
-    before = blocks.groupBy("part").agg(F.sum("total").alias("t")).collect()
     ahead: dict[int, int] = {}
     run_total = 0
-    for part, t in sorted((r["part"], r["t"]) for r in before):
+    for part, t in sorted((r["part"], r["t"]) for r in blocks.groupBy("part").agg(F.sum("total").alias("t")).collect()):
         ahead[part], run_total = run_total, run_total + t
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    first = blocks.select("part", "block", "total").withColumn("first", F.coalesce(F.sum("total").over(w), F.lit(0))).select("block", "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, symbol, width = canonical_codes(lengths)
         for b in batches:
-            for doc_ids, n_tokens, payload, lanes, total, part, at in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
+            for doc_ids, n_tokens, payload, lanes, total, part, before in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
                 ids = decode_block(payload, lanes, total, symbol, width).astype("<u4")
                 n = np.array(n_tokens, np.int64)
                 ends = np.cumsum(n)
                 start = ends - n
                 raw = memoryview(ids.tobytes())
                 crc = [zlib.crc32(raw[4 * s : 4 * e]) for s, e in zip(start.tolist(), ends.tolist(), strict=True)]
-                cols = [pa.array(doc_ids, pa.int64()), pa.array(start + ahead[part] + at), pa.array(n), pa.array(crc, pa.int64())]
+                cols = [pa.array(doc_ids, pa.int64()), pa.array(start + ahead[part] + before), pa.array(n), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    both = blocks.join(first, "block").select("doc_ids", "n_tokens", "payload", "lanes", "total", "part", "first")
-    return both.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return blocks.select("doc_ids", "n_tokens", "payload", "lanes", "total", "part", "ahead").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_and_read(df: DataFrame, path: str, vocabulary: int, end_id: int = 0) -> DataFrame:
