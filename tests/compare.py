@@ -70,7 +70,7 @@ def main() -> int:
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     sf_dir = f"/root/testdata/sf{args.sf}"
-    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = duck(sf_dir), entry.oracle_sql(), 0
     for name, run in entry.queries().items():
