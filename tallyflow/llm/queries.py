@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyflow.llm import decontaminate, huffman, minhash, pii, piece_bpe, token_counts, toxicity
+from tallyflow.llm import decontaminate, embedding_dedup, huffman, minhash, pii, piece_bpe, token_counts, toxicity
 from tallyflow.llm.frames import table
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 50257)
 
@@ -45,6 +49,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_huffman_ids": op2_huffman_ids,
     "op3_piece_bpe": op3_piece_bpe,
     "op4_token_counts": op4_token_counts,
@@ -65,4 +70,17 @@ SELECT doc_id, item_id, n AS n_item, count(*) AS n_shared, count(*) / n AS conta
 FROM e JOIN h USING (h) GROUP BY doc_id, item_id, n HAVING count(*) / n >= 0.75
 """
 
-ORACLES: dict[str, str] = {"op10_decontaminate": OP10}
+#: All pairs of vectors, and components by recursion over their links.
+OP1 = """
+WITH RECURSIVE e AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v,
+           embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok FROM embeddings),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y ON x.ok AND y.ok AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+      AND list_cosine_similarity(x.v, y.v) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM e UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM e JOIN c ON c.a = e.vec_id
+"""
+
+ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1, "op10_decontaminate": OP10}
