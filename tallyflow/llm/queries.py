@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyflow.llm import decontaminate, embedding_dedup, huffman, minhash, pii, piece_bpe, token_counts, toxicity
+from tallyflow.llm import decontaminate, embedding_dedup, huffman, licenses, minhash, pii, piece_bpe, token_counts, toxicity
 from tallyflow.llm.frames import table
 
 
@@ -44,6 +44,14 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a tree: source / language / thousand / hundred; ids that are round numbers lie in the folders above."""
+    i = F.col("doc_id")
+    folder = F.concat_ws("/", "source", "lang", F.when(i % 1000 != 0, F.floor(i / 1000).cast("string")), F.when(i % 100 != 0, (F.floor(i / 100) % 10).cast("string")))
+    docs = table(spark, sf_dir, "documents").select(i, F.concat_ws("/", folder, i.cast("string")).alias("path"), "text")
+    return licenses.scan(docs, id_col="doc_id").withColumnRenamed("id", "doc_id")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -56,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
     "op8_minhash": op8_minhash,
+    "op9_licenses": op9_licenses,
     "op10_decontaminate": op10_decontaminate,
 }
 
