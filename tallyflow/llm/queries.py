@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyflow.llm import decontaminate, embedding_dedup, huffman, licenses, minhash, pii, piece_bpe, token_counts, toxicity
+from tallyflow.llm import decontaminate, embedding_dedup, huffman, licenses, minhash, pii, piece_bpe, suffix_dedup, token_counts, toxicity
 from tallyflow.llm.frames import table
 
 
@@ -40,6 +40,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_minhash": op8_minhash,
     "op9_licenses": op9_licenses,
     "op10_decontaminate": op10_decontaminate,
