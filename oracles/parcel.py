@@ -277,8 +277,8 @@ SELECT {D} dt, *, {MEANS} FROM d""", days="dt", ints="recent_days"),
     "parcel_trip_stats": sql(f"SELECT {D} dt, * FROM ({over('trip', '', TRIP_RAW)})", days="dt", **TRIP_TYPES),
     "parcel_receive_dispatch_stats": sql(
         f"""SELECT {D} dt, a.*, dispatch_order_count, dispatch_order_amount FROM
-            ({over('received', '', 'count(*) receive_order_count, sum(amount) receive_order_amount')}) a JOIN
-            ({over('dispatched', '', 'count(*) dispatch_order_count, sum(amount) dispatch_order_amount')}) b USING (recent_days)""",
+            ({over('received', '', 'nullif(count(*), 0) receive_order_count, sum(amount) receive_order_amount')}) a JOIN
+            ({over('dispatched', '', 'nullif(count(*), 0) dispatch_order_count, sum(amount) dispatch_order_amount')}) b USING (recent_days)""",
         days="dt", money="receive_order_amount dispatch_order_amount", ints="recent_days"),
     "parcel_open_balance_td": sql(
         f"""SELECT {D} dt, (SELECT count(*) FROM dispatched WHERE dt <= {D}) - (SELECT count(*) FROM delivered WHERE dt <= {D}) bounding_order_count,

@@ -96,10 +96,10 @@ SELECT event_id, mid, is_new, CASE WHEN is_new = '1' AND dt <> new_day THEN '0'
     "stream_dedup_exact": st("SELECT event_id, user_id, v AS value FROM ev", money="value"),
     "stream_dedup_bloom": st("SELECT event_id, user_id FROM ev"),
     "stream_dedup_latest": st(
-        "SELECT cast(u AS varchar) user_id, cast(arg_max(k, ts_ms) AS varchar) id, max(ts_ms) ts_ms FROM chg WHERE op <> 'd' GROUP BY u"),
+        "SELECT cast(u AS varchar) user_id, cast(min(k) AS varchar) id, ts_ms FROM chg WHERE op <> 'd' GROUP BY u, ts_ms"),
     "stream_hold_back": st(
-        """SELECT user_id, arg_max(event_id, ts) event_id FROM ev GROUP BY user_id
-           HAVING max(epoch_us(ts) // 1000) + 5000 <= (SELECT epoch_us(max(t)) // 1000 FROM (SELECT max(ts) t FROM ev GROUP BY user_id))"""),
+        """SELECT user_id, event_id FROM (SELECT user_id, event_id, epoch_us(ts) // 1000 + 5000 due, lead(epoch_us(ts) // 1000) OVER (PARTITION BY user_id ORDER BY ts, event_id) after FROM ev)
+           WHERE due <= coalesce(after, (SELECT epoch_us(max(ts)) // 1000 FROM ev))"""),
     "stream_province_retract": st(
         f"""WITH v AS (SELECT order_id, user_id, CASE WHEN status = 'P' THEN cast(cast((cast(amount * 100 AS bigint) + 1) // 2 AS decimal(18,2)) / 100 AS decimal(16,2)) ELSE amount END amount,
               od_ts + CASE WHEN status = 'P' THEN interval 2 second ELSE interval 1 second END ts FROM od)

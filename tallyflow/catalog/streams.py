@@ -16,6 +16,10 @@ from tallyflow.streaming.run import drain, start_files
 from tallyflow.streaming.windows import tumble, tumble_distinct
 
 
+#: Micro-batches in which the steps with state across batches are replayed.
+FILES = 8
+
+
 class StreamWarehouse(Streams):
     @property
     def retail(self) -> Retail:
@@ -111,7 +115,7 @@ def login_return(w: StreamWarehouse) -> DataFrame:
 
 
 def fixed_new_flag(w: StreamWarehouse) -> DataFrame:
-    log = w.page_log().select("event_id", "mid", "ts", "is_new")
+    log = w.page_log(files=FILES).select("event_id", "mid", "ts", "is_new")
     return drain(uniques.fix_is_new(log, "mid").select("event_id", "mid", "is_new", "fixed_is_new"), "is-new")
 
 
@@ -128,13 +132,13 @@ def dedup_bloom(w: StreamWarehouse) -> DataFrame:
 
 
 def dedup_latest(w: StreamWarehouse) -> DataFrame:
-    changes = w.order_changes().where("after is not null")
+    changes = w.order_changes(FILES).where("after is not null")
     flat = changes.select(cdc.after("user_id").alias("user_id"), cdc.after("id").alias("id"), "ts_ms")
     return drain(dedup.newest_only(flat, "user_id", "ts_ms"), "latest")
 
 
 def hold_back(w: StreamWarehouse) -> DataFrame:
-    held = dedup.hold_back(w.events().select("user_id", "event_id", "ts"), "user_id", "ts", 5000)
+    held = dedup.hold_back(w.events(files=FILES).select("user_id", "event_id", "ts"), "user_id", "ts", 5000)
     return drain(held.select("user_id", "event_id"), "hold")
 
 

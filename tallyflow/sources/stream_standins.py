@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyflow.session import scratch_path
 from tallyflow.sources.standins import Tables, money
 from tallyflow.streaming.run import file_stream
 
@@ -24,15 +25,27 @@ class Streams(Tables):
     def stream(self, table: str) -> DataFrame:
         return file_stream(self.spark, self.sf_dir, f"{table}.parquet")
 
-    def events(self, kind: str | None = None) -> DataFrame:
-        """Events with ``ts`` as a timestamp that can carry a watermark."""
+    def replayed(self, table: str, by: str, files: int = 8) -> DataFrame:
+        """The table as ``files`` files in the order of ``by``, one per micro-batch."""
+        rows = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        at = F.unix_micros(F.col(by).cast("timestamp"))
+        low, high = rows.agg(F.min(at), F.max(at)).first()
+        folder = scratch_path(self.spark, f"replay-{table}")
+        part = F.floor((at - low) * files / F.lit(max(1, (high or 0) - (low or 0)) + 1))
+        for k in range(files):  # one after another: a file source takes files by their age
+            rows.where(part == k).coalesce(1).write.mode("append").parquet(folder)
+        return self.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+    def events(self, kind: str | None = None, files: int | None = None) -> DataFrame:
+        """Events with ``ts`` as a timestamp that can carry a watermark; with ``files`` replayed in so many micro-batches."""
         k = F.get_json_object("props", "$.k").cast("int")
-        rows = self.stream("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", money("value").alias("value"), k.alias("k"))
+        rows = self.replayed("events", "ts", files) if files else self.stream("events")
+        rows = rows.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", money("value").alias("value"), k.alias("k"))
         return rows if kind is None else rows.where(F.col("event_type") == kind)
 
-    def page_log(self) -> DataFrame:
+    def page_log(self, files: int | None = None) -> DataFrame:
         k = F.col("k")
-        return self.events().select(
+        return self.events(files=files).select(
             "event_id", "ts", F.concat(F.lit("mid_"), text(F.col("user_id"))).alias("mid"), F.concat(F.lit("v2."), text(k % 4)).alias("vc"), F.concat(F.lit("channel"), text(k % 5)).alias("ch"),
             text(F.col("user_id") % 25).alias("ar"), F.when(F.col("event_type") == "signup", "1").otherwise("0").alias("is_new"), F.col("event_type").alias("page_id"),
             F.when(k % 2 == 0, F.lit("home")).alias("last_page_id"), (F.col("value") * 1000).cast("bigint").alias("during_time"),
@@ -49,7 +62,7 @@ class Streams(Tables):
         log = F.struct(common.alias("common"), page.alias("page"), err.alias("err"), start.alias("start"), items(k % 3, "d").alias("displays"), items(k % 2, "a").alias("actions"), F.unix_millis("ts").alias("ts"))
         return self.events().select(F.to_json(log).alias("log"))
 
-    def order_changes(self) -> DataFrame:
+    def order_changes(self, files: int | None = None) -> DataFrame:
         """Change log of orders: created as 1001; F moved to 1002 and P to 1003; every fourth key a delete, insert or snapshot row."""
         key = F.col("o_orderkey")
         status = F.when(F.col("o_orderstatus") == "F", "1002").when(F.col("o_orderstatus") == "P", "1003").otherwise("1001")
@@ -57,7 +70,8 @@ class Streams(Tables):
         now = as_map(id=key, user_id=F.col("o_custkey"), order_status=status, total_amount=money("o_totalprice"))
         was = as_map(id=key, user_id=F.col("o_custkey"), order_status=F.lit("1001"), total_amount=money("o_totalprice"))
         table = F.when(F.col("o_orderpriority") == "5-LOW", "shop_info").when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "other_table").otherwise("order_info")
-        return self.stream("orders").select(
+        orders = self.replayed("orders", "o_orderdate", files) if files else self.stream("orders")
+        return orders.select(
             op.alias("op"), F.when(op.isin("u", "d"), was).alias("before"), F.when(op != "d", now).alias("after"), as_map(db=F.lit("shop"), table=table).alias("source"),
             (F.unix_millis(F.col("o_orderdate").cast("timestamp")) + key % 86_400_000).alias("ts_ms"),
         )

@@ -32,7 +32,7 @@ def read_state(names: Sequence[str], values: tuple) -> dict:
 
 
 class NewestOnly(StatefulProcessor):
-    """Passes a key's newest row when it is newer than the last one passed."""
+    """Passes every row of a key that is newer than the last one passed; the rows of a batch are taken in order."""
 
     def __init__(self, order: str, keep_ms: int | None):
         self.order, self.keep_ms = order, keep_ms
@@ -41,29 +41,34 @@ class NewestOnly(StatefulProcessor):
         self.last = handle.getValueState("last", T.StructType().add("at", "long"), self.keep_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        best = max(rows, key=lambda r: r[self.order])
         held = self.last.get()
-        if not held or best[self.order] > held[0]:
-            self.last.update((best[self.order],))
-            yield best
+        last = held[0] if held else None
+        for row in sorted(rows, key=lambda r: r[self.order]):
+            if last is None or row[self.order] > last:
+                last = row[self.order]
+                yield row
+        self.last.update((last,))
 
     def close(self) -> None:
         pass
 
 
 def newest_only(df: DataFrame, key: str, order: str, keep_ms: int | None = None) -> DataFrame:
-    """Rows newer than anything passed before for their key; of one micro-batch only the newest.
+    """Rows newer than anything passed before for their key, however the input is cut into batches of ascending order.
 
     With ``keep_ms`` a key idle that long (wall clock) is forgotten. Such a stream runs on a clock, so it must be started with a
     processing-time trigger; with availableNow it would not end.
     """
-    few = keep_edge(df, [key], [order], last=True)
+    few = keep_edge(df, [key, order], [order])
     mode = "None" if keep_ms is None else "ProcessingTime"
     return few.groupBy(key).transformWithState(NewestOnly(order, keep_ms), few.schema, "Append", mode)
 
 
 class Retract(StatefulProcessor):
-    """On a new version of a key: the held row with negated amounts and its own old time, then the new row."""
+    """On a new version of a key: the held row with negated amounts, then the new row.
+
+    The negated row carries its own old time while windows of that time may still be open, and the new version's time afterwards.
+    """
 
     def __init__(self, schema: T.StructType, order: str, amounts: Sequence[str], keep_ms: int):
         self.schema, self.order, self.amounts, self.keep_ms = schema, order, list(amounts), keep_ms
@@ -84,6 +89,8 @@ class Retract(StatefulProcessor):
                 return
             for a in self.amounts:
                 old[a] = -old[a] if old[a] is not None else None
+            if old[self.order].timestamp() * 1000 <= timerValues.getCurrentWatermarkInMs():
+                old[self.order] = best[self.order]
             yield Row(**old)
         self.held.update(tuple(best[n] for n in self.schema.names))
         self.handle.registerTimer(self.end(best))
@@ -102,14 +109,16 @@ class Retract(StatefulProcessor):
 def retract(df: DataFrame, key: str, ts: str, amounts: Sequence[str], lateness: str = "0 seconds", keep_ms: int = DAY_MS) -> DataFrame:
     """Replaces earlier versions of a key in later sums. Versions inside one micro-batch cancel out, so only the last is kept there.
 
-    A row is held until the watermark is ``keep_ms`` past it: the longest time after which a new version may still come.
+    A row is held until the watermark is ``keep_ms`` past it: the longest time after which a new version may still come. A
+    correction reaches the window of the old version if it comes within ``lateness`` of the newest time; a later one is counted in
+    the window of the new version, so sums over all windows are right in any case.
     """
     few = keep_edge(df, [key], [ts], last=True).withWatermark(ts, lateness)
     return few.groupBy(key).transformWithState(Retract(few.schema, ts, amounts, keep_ms), few.schema, "Append", "EventTime", eventTimeColumnName=ts)
 
 
 class HoldBack(StatefulProcessor):
-    """Holds the latest version of a key and lets it go once, ``hold_ms`` after its time."""
+    """Holds the latest version of a key and lets it go once no newer one has come for ``hold_ms`` of event time."""
 
     def __init__(self, schema: T.StructType, ts: str, hold_ms: int):
         self.schema, self.ts, self.hold_ms = schema, ts, hold_ms
@@ -122,12 +131,17 @@ class HoldBack(StatefulProcessor):
         return int(row[self.ts].timestamp() * 1000) + self.hold_ms
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        best = max(rows, key=lambda r: r[self.ts])
         state = self.held.get()
-        if not state or read_state(self.schema.names, state)[self.ts] < best[self.ts]:
-            self.held.update(tuple(best[n] for n in self.schema.names))
-            self.handle.registerTimer(self.due(best))
-        return iter(())
+        held = read_state(self.schema.names, state) if state else None
+        for row in sorted(rows, key=lambda r: r[self.ts]):
+            if held and row[self.ts] <= held[self.ts]:
+                continue
+            if held and self.due(held) <= int(row[self.ts].timestamp() * 1000):
+                yield held if isinstance(held, Row) else Row(**held)
+            held = row
+        if held and isinstance(held, Row):
+            self.held.update(tuple(held[n] for n in self.schema.names))
+            self.handle.registerTimer(self.due(held))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         state = self.held.get()
@@ -142,7 +156,7 @@ class HoldBack(StatefulProcessor):
 
 
 def hold_back(df: DataFrame, key: str, ts: str, hold_ms: int = 5000, lateness: str = "0 seconds") -> DataFrame:
-    few = keep_edge(df, [key], [ts], last=True).withWatermark(ts, lateness)
+    few = keep_edge(df, [key, ts], [ts]).withWatermark(ts, lateness)
     return few.groupBy(key).transformWithState(HoldBack(few.schema, ts, hold_ms), few.schema, "Append", "EventTime")
 
 

@@ -109,7 +109,7 @@ class FirstSeen(StatefulProcessor):
     """Once per key and day: the day the key counts as new. A key that first shows up unflagged was new the day before."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", T.StructType().add("new_day", "string").add("told", "string"))
+        self.state = handle.getValueState("state", T.StructType().add("new_day", "string").add("told", T.ArrayType(T.StringType())))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         first: dict[str, Row] = {}
@@ -117,14 +117,16 @@ class FirstSeen(StatefulProcessor):
             if row.day not in first or row.ts < first[row.day].ts:
                 first[row.day] = row
         state = self.state.get()
-        new_day, told = state if state else (None, "")
+        new_day, told = (state[0], set(state[1])) if state else (None, set())
         for day in sorted(first):
             if new_day is None:
                 new_day = day if first[day].is_new == "1" else str(date.fromisoformat(day) - timedelta(days=1))
-            if day > told:
-                told = day
+            if day not in told:
+                told.add(day)
                 yield Row(key=key[0], day=day, ts=first[day].ts, new_day=new_day)
-        self.state.update((new_day, told))
+        # days that the watermark has closed get no more rows
+        open_from = str(date.fromtimestamp(0) + timedelta(milliseconds=max(0, timerValues.getCurrentWatermarkInMs())) - timedelta(days=1))
+        self.state.update((new_day, sorted(d for d in told if d >= open_from)))
 
     def close(self) -> None:
         pass
