@@ -154,15 +154,20 @@ def hex_to_plain(col: Column | str) -> Column:
 
 
 def hex_to_number(col: Column | str, divide: bool = False) -> Column:
-    """The same as decimal(38,0) without leaving the JVM, for up to 30 hex digits; ``divide`` scales by 10^18.
+    """The same as decimal(38,0) without leaving the JVM; ``divide`` scales by 10^18. NULL where the value does not fit.
 
-    ``conv`` holds 64 bits, so the value is put together from two parts of 15 hex digits.
+    Leading zeros go first, so any number of digits is read. ``conv`` holds 64 bits, so the value is put together from a head of
+    up to two hex digits and two parts of 15.
     """
     c = F.coalesce(F.lower(F.trim(_c(col))), F.lit("0"))
-    wide = F.lpad(F.regexp_replace(c, "^0x", ""), 30, "0")
-    part = lambda start: F.conv(F.substring(wide, start, 15), 16, 10).cast("decimal(20,0)")
-    whole = part(1) * F.lit("1152921504606846976").cast("decimal(19,0)") + part(16)
-    value = F.when(c.startswith("0x"), whole.cast("decimal(38,0)")).otherwise(c.try_cast("decimal(38,0)"))
+    digits = F.regexp_replace(F.regexp_replace(c, "^0x", ""), "^0+", "")
+    wide = F.when((F.length(digits) <= 32) & digits.rlike("^[0-9a-f]*$"), F.lpad(digits, 32, "0"))
+    part = lambda start, size: F.conv(F.substring(wide, start, size), 16, 10).cast("decimal(38,0)")
+    step = F.lit(str(16**15)).cast("decimal(38,0)")
+    # 10^38 needs 127 bits: heads from 0x4b on, and a few values below them, do not fit and end as NULL
+    upper = part(1, 2) * F.lit(16**15).cast("decimal(19,0)") + part(3, 15)
+    whole = F.try_add(F.try_multiply(upper.cast("decimal(38,0)"), step), part(18, 15))
+    value = F.when(c.startswith("0x"), whole.try_cast("decimal(38,0)")).otherwise(c.try_cast("decimal(38,0)"))
     return value.cast("double") / F.lit(1e18) if divide else value
 
 

@@ -26,7 +26,12 @@ def horizons(daily: DataFrame, nd: DataFrame, as_of: str, keys: Sequence[str], m
     """One-day and recent-days rows stacked, then summed on the report's keys."""
     cols = ["recent_days", *keys, *measures]
     both = today(daily, as_of).select(*cols).unionByName(nd.select(*cols))
-    return both.groupBy("recent_days", *keys).agg(*[F.sum(m).alias(n) for m, n in zip(measures, names or measures)])
+    summed = both.groupBy("recent_days", *keys).agg(*[F.sum(m).alias(n) for m, n in zip(measures, names or measures)])
+    if keys:
+        return summed
+    # a report without keys has a row for every horizon, NULL where nothing happened
+    every = daily.sparkSession.range(1).select(F.explode(F.array(F.lit(1), F.lit(7), F.lit(30))).alias("recent_days"))
+    return every.join(summed, "recent_days", "left")
 
 
 def trip_means(df: DataFrame) -> DataFrame:

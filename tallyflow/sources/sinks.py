@@ -26,8 +26,8 @@ def replace_partitions(df: DataFrame, path: str, by: str = "dt", fmt: str = "par
 
 
 def replace_day(df: DataFrame, path: str, dt: str, fmt: str = "parquet") -> None:
-    """Replace one named partition."""
-    replace_partitions(df.drop("dt").withColumn("dt", F.lit(dt)), path, "dt", fmt)
+    """Replace one named partition; without rows the old ones go too, as the day's folder itself is overwritten."""
+    df.drop("dt").hint("rebalance").write.mode("overwrite").format(fmt).save(f"{path}/dt={dt}")
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -35,9 +35,15 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(path)
 
 
-def report(df: DataFrame, path: str) -> None:
-    """Report rows kept per report date: a re-run for a date replaces that date's rows, changed ones included."""
-    replace_partitions(df, path, "dt")
+def report(df: DataFrame, path: str, dt: str | None = None) -> None:
+    """Report rows kept per report date: a re-run for a date replaces that date's rows, changed ones included.
+
+    With ``dt`` the date is replaced even by nothing; without it only the dates that have rows are.
+    """
+    if dt is None:
+        replace_partitions(df, path, "dt")
+    else:
+        replace_day(df.where(F.col("dt") == F.lit(dt)), path, dt)
 
 
 def report_text(df: DataFrame, path: str) -> None:
@@ -52,7 +58,7 @@ def load_and_verify(jobs: Mapping[str, Callable[[], DataFrame]], folder: str, as
     for name, build in jobs.items():
         try:
             df = build()
-            report(df, f"{folder}/{name}")
+            report(df, f"{folder}/{name}", as_of)
             outcome[name] = df.sparkSession.read.parquet(f"{folder}/{name}").where(F.col("dt") == as_of).count()
         except Exception as e:  # noqa: BLE001 - reported to the caller
             outcome[name] = f"{type(e).__name__}: {e}"

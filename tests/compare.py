@@ -39,7 +39,7 @@ def _same(a, b, ties: bool) -> bool:
     if a == b:
         return True
     floats = isinstance(a, tuple) and isinstance(b, tuple) and a[0] == b[0] == "f"
-    return ties and floats and abs(a[1] - b[1]) < 0.0101
+    return ties and floats and abs(a[1] - b[1]) < 0.0101 and all(abs(round(x[1], 2) - x[1]) < 1e-9 for x in (a, b))
 
 
 def differences(spark_df, con, sql, ties: bool = False) -> str | None:

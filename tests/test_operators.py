@@ -140,6 +140,12 @@ def test_history_rank_is_stable_on_rerun(spark):
     assert got == {(1, "c", "2024-01-02", "9999-12-31"), (1, "a", "2024-01-01", "2024-01-01"), (2, "b", "2024-01-01", "9999-12-31"), (3, "n", "2024-01-02", "9999-12-31")}
 
 
+def test_hex_numbers_of_any_length(spark):
+    values = ["0x" + hex(10**30 + 7)[2:].zfill(64), "0x" + "f" * 31, hex(10**38 - 1), hex(10**38), "0x" + "f" * 64, "0x", "0xZZ", "0x0"]
+    got = [r.n for r in spark.createDataFrame([(v,) for v in values], "v string").select(clean.hex_to_number("v").cast("string").alias("n")).collect()]
+    assert got == [str(10**30 + 7), str(16**31 - 1), str(10**38 - 1), None, None, "0", None, "0"]
+
+
 def test_cleaning(spark):
     hot = "0xdAC17F958D2ee523a2206206994597C13D831ec7"
     big = hex(2**118 + 12345)

@@ -25,6 +25,15 @@ def test_replace_partitions_leaves_other_days(spark, folder):
     assert [(str(d), k, n) for d, k, n in table(spark, path)] == [("2024-01-01", 1, 1), ("2024-01-02", 1, 9), ("2024-01-02", 2, 9)]
 
 
+def test_a_day_can_be_replaced_by_nothing(spark, folder):
+    path = f"{folder}/e"
+    sinks.replace_partitions(rows(spark, ("2024-01-01", 1, 1), ("2024-01-02", 1, 2)), path)
+    none = rows(spark, ("x", 1, 9)).limit(0)
+    sinks.replace_day(none, path, "2024-01-02")
+    sinks.report(none, path, "2024-01-01")
+    assert table(spark, path) == []
+
+
 def test_report_rerun_replaces_changed_rows(spark, folder):
     path = f"{folder}/r"
     sinks.report(rows(spark, ("2024-01-01", 1, 1), ("2024-01-02", 1, 2)), path)
