@@ -9,6 +9,12 @@ SEG = """(SELECT c_custkey id, c_acctbal balance, c_mktsegment || '-0' s0, c_mkt
   c_mktsegment || CASE WHEN c_custkey % 7 IN (1, 2) THEN '-1' ELSE '-0' END s2, c_custkey % 7 m FROM customer)"""
 
 SQL = {
+    "sink_append": sql("SELECT o_orderstatus status, 2 * count(*) n, count(DISTINCT o_orderkey) orders FROM orders GROUP BY o_orderstatus"),
+    "source_load_file": sql("SELECT n_nationkey, n_name, n_regionkey FROM nation", ints="n_nationkey n_regionkey"),
+    "order_day_range": sql(
+        """WITH r AS (SELECT unnest(range(min(o_orderdate)::date::timestamp, max(o_orderdate)::date::timestamp + interval 1 day, interval 1 day)) d FROM orders)
+---
+SELECT strftime(d, '%Y%m%d') ds, count(o_orderkey) orders FROM r LEFT JOIN orders ON o_orderdate::date = d::date GROUP BY d"""),
     "scd2_rank": sql(
         f"""SELECT id, s0 segment, balance, date '2024-01-01' start_date, CASE m WHEN 1 THEN date '2024-01-01' WHEN 2 THEN date '2024-01-02' ELSE date '9999-12-31' END end_date FROM {SEG}
             UNION ALL SELECT id, s2, balance, CASE m WHEN 1 THEN date '2024-01-02' ELSE date '2024-01-03' END, date '9999-12-31' FROM {SEG} WHERE m IN (1, 2)""", days="start_date end_date"),

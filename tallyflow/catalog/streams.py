@@ -259,15 +259,18 @@ def login_window(w: StreamWarehouse) -> DataFrame:
     return drain(tumble(days, "ts", "10 seconds", [], sums), "login-window")
 
 
-def order_detail(w: StreamWarehouse) -> DataFrame:
-    """Order lines ⋈ order ⟕ activity ⟕ coupon, four change streams; lines without activity or coupon come out once the bound has passed."""
+def order_detail(w: StreamWarehouse, reach: str = "10 seconds") -> DataFrame:
+    """Order lines ⋈ order ⟕ activity ⟕ coupon, four change streams; lines without activity or coupon come out once the bound has passed.
+
+    ``reach``: how long after the line its activity or coupon may come. State grows with it; what comes later is not joined.
+    """
     heads = w.later(None, F.lit(0), "oi")
     acts = w.later("F", F.col("order_id") % 20, "ac").withColumn("activity_id", F.col("ac_order_id") % 5)
     coupons = w.later("O", F.col("order_id") % 20, "cp").withColumn("coupon_id", F.col("cp_order_id") % 7)
     one = joins.bounded(w.order_lines(), heads, {"od_order_id": "oi_order_id"}, "od_ts", "oi_ts", "10 seconds", "10 seconds").drop("oi_ts")
     acts, coupons = acts.withWatermark("ac_ts", "5 seconds"), coupons.withWatermark("cp_ts", "5 seconds")
-    two = one.join(acts, (F.col("od_order_id") == F.col("ac_order_id")) & F.expr("ac_ts >= od_ts and ac_ts <= od_ts + interval 10 seconds"), "left").drop("ac_ts")
-    three = two.join(coupons, (F.col("od_order_id") == F.col("cp_order_id")) & F.expr("cp_ts >= od_ts and cp_ts <= od_ts + interval 10 seconds"), "left")
+    two = one.join(acts, (F.col("od_order_id") == F.col("ac_order_id")) & F.expr(f"ac_ts >= od_ts and ac_ts <= od_ts + interval {reach}"), "left").drop("ac_ts")
+    three = two.join(coupons, (F.col("od_order_id") == F.col("cp_order_id")) & F.expr(f"cp_ts >= od_ts and cp_ts <= od_ts + interval {reach}"), "left")
     return drain(three.select("id", F.col("od_order_id").alias("order_id"), F.col("oi_user_id").alias("user_id"), "activity_id", "coupon_id", "split_amount"), "order-detail")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.catalog.retail import RetailWarehouse
 from tallyflow.functions import clean
-from tallyflow.functions.times import day, epoch_any, iso_text
+from tallyflow.functions.times import day, day_range, epoch_any, iso_text
 from tallyflow.operators import history
 from tallyflow.operators.dims import attribute_sets
 from tallyflow.operators.ranking import best_row, rank_whole
@@ -177,7 +177,34 @@ def verified_loads(w: TableWarehouse) -> DataFrame:
     return w.spark.createDataFrame(told, "job string, written long")
 
 
+def appended_orders(w: TableWarehouse) -> DataFrame:
+    """Orders appended twice: a plain append keeps both copies."""
+    path = scratch_path(w.spark, "append")
+    rows = w.raw("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"))
+    for _ in range(2):
+        sinks.append(rows, path)
+    return w.spark.read.parquet(path).groupBy("status").agg(F.count("*").alias("n"), F.countDistinct("order_id").alias("orders"))
+
+
+def loaded_file(w: TableWarehouse) -> DataFrame:
+    """Nations as tab-separated text, loaded into a table."""
+    path = scratch_path(w.spark, "load-file")
+    w.raw("nation").select("n_nationkey", "n_name", "n_regionkey").write.option("sep", "\t").csv(f"{path}/text")
+    return readers.load_file(w.spark, f"{path}/text", "n_nationkey int, n_name string, n_regionkey int", f"{path}/table")
+
+
+def days_of_orders(w: TableWarehouse) -> DataFrame:
+    """Every day from the first to the last order, with its orders."""
+    dated = w.raw("orders").select(F.date_format("o_orderdate", "yyyyMMdd").alias("ds"))
+    first, last = w.raw("orders").agg(F.min("o_orderdate").cast("date").cast("string"), F.max("o_orderdate").cast("date").cast("string")).first()
+    counted = dated.groupBy("ds").agg(F.count("*").alias("orders"))
+    return day_range(w.spark, first, last).join(counted, "ds", "left").na.fill(0, ["orders"])
+
+
 QUERIES = {
+    "sink_append": appended_orders,
+    "source_load_file": loaded_file,
+    "order_day_range": days_of_orders,
     "scd2_rank": history_by_rank,
     "scd2_compare": history_by_compare,
     "scd2_lag": history_by_lag,

@@ -33,14 +33,15 @@ def first_row(df: DataFrame, group: Sequence[str], by: Sequence[Column], keep: S
     return picked.select(*group, "_row.*")
 
 
-def rank_whole(df: DataFrame, by: str, out: str = "rk", descending: bool = True, slices: int = 256) -> DataFrame:
+def rank_whole(df: DataFrame, by: str, out: str = "rk", descending: bool = True, slices: int | None = None) -> DataFrame:
     """Exact rank() over the whole table without putting it in one task.
 
     Equal values are counted first (a hot value is one row), the distinct values are cut into ordered slices,
-    ranked inside their slice, and shifted by the row count of the slices before. Only the slice totals,
-    at most ``slices`` + 2 rows, meet in one task. NULL ranks last. ``df`` is read four times: give a stored table, or
+    ranked inside their slice, and shifted by the row count of the slices before. Unless given, there are two slices for each
+    shuffle partition, so a task's share stays as large as elsewhere. Only the slice totals, ``slices`` + 2 rows, meet in one task. NULL ranks last. ``df`` is read four times: give a stored table, or
     materialise an expensive plan first.
     """
+    slices = slices or max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts = df.groupBy(F.col(by).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
     cuts = counts.agg(F.percentile_approx("_value", [i / slices for i in range(1, slices)], 10000).alias("cuts"))
     position = F.size(F.filter("_cuts", lambda c: c < F.col("_value")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,7 +37,7 @@ _made: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only on a local master with the setting absent (tests), once per application.
+    A machine-local folder is made only on a local master with the setting absent (tests), once per application; it goes when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -45,6 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _made:
         _made[app] = tempfile.mkdtemp(prefix="tallyflow-")
+        atexit.register(shutil.rmtree, _made[app], ignore_errors=True)
     return _made[app]
 
 

@@ -116,8 +116,11 @@ def keyed_table(stream: DataFrame, path: str, keys: list[str], order: list[str],
 
 
 def jdbc_upsert(stream: DataFrame, path: str, url: str, table: str, keys: list[str], order: list[str], properties: Mapping[str, str]) -> StreamingQuery:
-    """Newest row per key of each batch to a database: written to a staging table named after the batch, which the
-    database merges into ``table`` by key. A repeated batch overwrites its own staging table."""
+    """Newest row per key of each batch to a staging table of a database, named after the batch; a repeated batch overwrites its own.
+
+    The merge into ``table`` by key, and dropping the merged staging tables, is left to the database: each has its own statement
+    for it.
+    """
 
     def step(df: DataFrame, batch: int) -> None:
         latest_per_key(df, keys, order).write.jdbc(url, f"{table}_staging_{batch}", mode="overwrite", properties=dict(properties))
