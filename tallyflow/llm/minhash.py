@@ -8,9 +8,9 @@ verified on the full sets, read again from the texts.
 
 A list may hold any number of documents, so no list is expanded into all its pairs. In each of ``PIVOT_ROUNDS`` rounds every list
 pairs one member with the members that are not yet in its component: groups of near copies grow together in a few rounds. What is
-then still apart inside a list is paired exhaustively, but only across components, only by the values that are rarest in a
-document (two documents that share enough values share one of those), and the largest component of a list is never paired with
-itself. No candidate is dropped.
+then still apart inside a list is paired exhaustively, but only across components, only by the rarest quarter of the full sets
+(two documents that are similar enough share one of those), and the largest component of a list is never paired with itself. No
+candidate is dropped.
 
 Defined results: a null text counts as empty; an empty set links with nothing; texts are read whole; equal rows are one class and
 link with each other; rows with a null id are counted, link with nothing and are kept; an empty table gives an empty result;
@@ -22,8 +22,9 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyflow.llm.components import connected_components
 from tallyflow.llm.frames import documents, written
@@ -33,7 +34,9 @@ K = 40
 #: Sets of up to this size are their own sketch: exact, and as large as the partner of a set of K at 0.75 can be.
 WHOLE = 56
 LEAST = 16
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 2
+#: 64-bit words of the parity bits of a set.
+PARITY = 8
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -55,13 +58,15 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """``doc``, ``members``: the whole shingle sets."""
+    """``doc``, ``members``, ``parity``: the whole shingle sets, and for each bit whether an odd number of members falls on it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(list(shingle_sets(b.column("text"))), pa.list_(pa.int64()))], ["doc", "members"])
+            sets = list(shingle_sets(b.column("text")))
+            odd = [np.packbits(np.bincount(s & (64 * PARITY - 1), minlength=64 * PARITY) & 1).view(np.int64) for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))], ["doc", "members", "parity"])
 
-    return docs.mapInArrow(run, "doc long, members array<long>")
+    return docs.mapInArrow(run, "doc long, members array<long>, parity array<long>")
 
 
 def least_overlap(n: Column, similarity: float) -> Column:
@@ -72,35 +77,32 @@ def least_overlap(n: Column, similarity: float) -> Column:
 def links(docs: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
     """``a``, ``b``: pairs of class representatives that are linked; together they connect all that is connected."""
     reps = found.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch")
-    values = reps.select("doc", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("v"))
+    values = reps.select("doc", "n", F.explode("sketch").alias("v"))
     shared = values.join(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "v")
     enough = shared.groupBy("doc").agg(F.count("*").alias("k"), F.first("n").alias("n")).where(F.col("k") >= least_overlap(F.col("n"), similarity)).select("doc")
-    shared = written(shared.join(enough, "doc", "left_semi").select("doc", "v", "n", "size"), "lists")
+    shared = written(shared.join(enough, "doc", "left_semi").select("doc", "v"), "lists")
     wanted = written(shared.select("doc").distinct(), "wanted")
     sketch = written(reps.join(wanted, "doc", "left_semi"), "sketches-of-lists")
-    sets = None
     tried = linked = None
+    sets = written(full_sets(docs.join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi")).dropDuplicates(["doc"]), "sets")
     for turn in range(PIVOT_ROUNDS + 1):
-        lists = shared.select("v", "doc")
+        lists = shared.withColumn("component", F.col("doc"))
         if linked is not None:
-            lists = lists.join(connected_components(linked).withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+            known = connected_components(linked).withColumnRenamed("node", "doc")
+            lists = shared.join(known, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        if turn == PIVOT_ROUNDS:
+            pairs = _remaining_pairs(lists, sets, similarity)
         else:
-            lists = lists.withColumn("component", F.col("doc"))
-        pairs = _pivot_pairs(lists, turn) if turn < PIVOT_ROUNDS else _remaining_pairs(lists, shared, similarity)
+            pairs = _pivot_pairs(lists, turn)
         pairs = pairs.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
-            break
         tried = pairs if tried is None else tried.unionByName(pairs)
-        likely = written(_likely(pairs, sketch), "likely")
-        if sets is None and not likely.isEmpty():
-            sets = written(full_sets(docs.join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi")).dropDuplicates(["doc"]), "sets")
-        if sets is not None:
-            good = written(_verified(likely, sets, similarity), "links")
-            linked = good if linked is None else linked.unionByName(good)
-    return linked if linked is not None else shared.select(F.col("doc").alias("a"), F.col("doc").alias("b")).limit(0)
+        likely = pairs if turn == PIVOT_ROUNDS else written(_likely(pairs, sketch), "likely")
+        good = written(_verified(likely, sets, similarity), "links")
+        linked = good if linked is None else linked.unionByName(good)
+    return linked
 
 
 def _pivot_pairs(lists: DataFrame, turn: int) -> DataFrame:
@@ -111,17 +113,36 @@ def _pivot_pairs(lists: DataFrame, turn: int) -> DataFrame:
     return lists.join(pivot, "v").where("component <> theirs").select("doc", "other")
 
 
-def _remaining_pairs(lists: DataFrame, shared: DataFrame, similarity: float) -> DataFrame:
-    """Every pair across components that shares one of the rarest values of both."""
-    df = lists.groupBy("v").agg(F.count("*").alias("df"), F.min("component").alias("low"), F.max("component").alias("high"))
-    held = shared.groupBy("doc").agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first("size").alias("size"))
-    ranked = lists.join(df, "v").join(held, "doc").withColumn("rank", F.row_number().over(Window.partitionBy("doc").orderBy("df", "v")))
-    # values that nobody shares are rarer still and come before the first rank
-    rare = ranked.where(F.col("rank") + F.col("size") - F.col("k") <= F.col("size") - least_overlap(F.col("n"), similarity) + 1).where("low < high").select("v", "doc", "component")
-    rare = written(rare, "rare")
-    count = rare.groupBy("v", "component").agg(F.count("*").alias("c")).groupBy("v").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
-    small = rare.join(count, "v").where("component <> main").select("v", F.col("doc").alias("other"), F.col("component").alias("theirs"))
-    return small.join(rare, "v").where("component <> theirs").select("doc", "other").distinct()
+def _remaining_pairs(lists: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Every pair across components that can still be linked, by the rarest members of the full sets.
+
+    In one order of all members, two sets that reach the similarity t share one of the rarest n - ceil(t n) + 1 members of the
+    larger set, and it is among the rarest n - ceil(2 t / (1 + t) n) + 1 of the smaller one. So a line that many documents hold
+    pairs only those that consist of little else. What meets so is compared by parity bits: common members cancel out, so two
+    sets differ in at least as many members as their parities in bits; more than (1 - t) / (1 + t) of both sizes rules a pair out.
+    """
+    mixed = lists.groupBy("v").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("v")
+    apart = lists.join(mixed, "v", "left_semi").select("doc", "component").distinct()
+    members = sets.join(apart, "doc").select("doc", "component", F.size("members").alias("n"), F.explode("members").alias("v"))
+    members = written(members, "members")
+    df = members.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+    shared = members.join(df, "v").groupBy("doc", "component", "n").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared"))
+    # members that no other set holds are rarer still: they use up the first places
+    alone = F.col("n") - F.size("shared")
+    far = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1 - alone
+    near = F.col("n") - F.ceil(F.col("n") * (2 * similarity / (1 + similarity)) - 1e-9).cast("int") + 1 - alone
+    places = F.posexplode(F.slice("shared", F.lit(1), far)).alias("place", "x")
+    rare = shared.where(far > 0).select("doc", "component", "n", near.alias("near"), places)
+    rare = written(rare.select("doc", "component", "n", (F.col("place") < F.col("near")).alias("near"), F.col("x.v").alias("v")), "rare")
+    count = rare.groupBy("v", "component").agg(F.count("*").alias("c")).groupBy("v").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("k")).where("k > 1")
+    met = written(rare.join(count.select("v", "main"), "v").join(sets.select("doc", "parity"), "doc"), "met")
+    one = met.where("component <> main").select("v", *[F.col(c).alias(c + "1") for c in ("doc", "component", "n", "near", "parity")])
+    sizes = (F.col("n") >= F.col("n1") * similarity) & (F.col("n1") >= F.col("n") * similarity) & (F.col("component") != F.col("component1"))
+    smaller = F.when(F.struct("n1", "doc1") < F.struct("n", "doc"), F.col("near1")).otherwise(F.col("near"))
+    differ = sum((F.bit_count(F.get("parity", k).bitwiseXOR(F.get("parity1", k))) for k in range(PARITY)), F.lit(0))
+    close = differ <= (F.col("n") + F.col("n1")) * ((1 - similarity) / (1 + similarity)) + 1e-9
+    two = met.drop("main").withColumnRenamed("v", "v2")
+    return one.join(two, (F.col("v") == F.col("v2")) & sizes & smaller & close).select("doc", F.col("doc1").alias("other"))
 
 
 def _likely(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
@@ -137,9 +158,14 @@ def _likely(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     one = sets.select(F.col("doc").alias("a"), F.col("members").alias("x"))
     two = sets.select(F.col("doc").alias("b"), F.col("members").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    whole = math.floor(similarity * 100 + 0.5)
-    return pairs.join(one, "a").join(two, "b").withColumn("c", common).where(100 * F.col("c") >= whole * (F.size("x") + F.size("y") - F.col("c"))).select("a", "b")
+    similar = _similar(F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y"), similarity)
+    return pairs.join(one, "a").join(two, "b").where(similar).select("a", "b")
+
+
+def _similar(common: Column, sizes: Column, similarity: float) -> Column:
+    """Common members against the union, in whole numbers: c / (sizes - c) >= p / 100 for a similarity of p hundredths."""
+    p = math.floor(similarity * 100 + 0.5)
+    return common * (100 + p) >= p * sizes
 
 
 def near_duplicates(df: DataFrame, similarity: float = 0.75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
