@@ -128,7 +128,8 @@ def dedup_exact(w: StreamWarehouse) -> DataFrame:
 
 
 def dedup_bloom(w: StreamWarehouse) -> DataFrame:
-    return drain(dedup.bloom(twice(w.events()), ["user_id", "event_id"], buckets=16).select("event_id", "user_id"), "bloom")
+    buckets = dedup.bloom_buckets(w.raw("events").count())
+    return drain(dedup.bloom(twice(w.events()), ["user_id", "event_id"], buckets=buckets, confirmed=True).select("event_id", "user_id"), "bloom")
 
 
 def dedup_latest(w: StreamWarehouse) -> DataFrame:

@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterator, Sequence
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -167,40 +168,100 @@ def bloom_size(expected: int, error: float) -> tuple[int, int]:
 
 
 class Bloom(StatefulProcessor):
-    """One bit array per bucket of keys; a row passes when any of its bits was unset."""
+    """Blocks of bits per bucket of keys; a row passes when no block has all of its bits.
 
-    def __init__(self, expected: int, error: float):
-        self.bits, self.hashes = bloom_size(expected, error)
+    A block takes the keys it was sized for; then one of twice the size and half the error is added, so that the errors of all
+    blocks stay below ``error`` together, however many keys come. With ``confirmed``, the 128 bits of hashes of every key passed
+    are kept too, and a row whose bits are all set is dropped only if its key is among them.
+    """
+
+    def __init__(self, expected: int, error: float, confirmed: bool = False):
+        self.expected, self.error, self.confirmed = expected, error, confirmed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("bits", T.StructType().add("array", "binary"))
+        block = T.StructType().add("used", "long").add("array", "binary")
+        self.state = handle.getMapState("blocks", T.StructType().add("n", "long"), block)
+        self.passed = handle.getListState("passed", T.StructType().add("keys", "binary"))
+
+    def capacity(self, n: int) -> int:
+        return self.expected << n
+
+    def places(self, n: int, low: np.ndarray, high: np.ndarray) -> Iterator[np.ndarray]:
+        """The bit of each key, for one hash function of block ``n`` after the other."""
+        bits, hashes = bloom_size(self.capacity(n), self.error / 2 ** (n + 1))
+        for i in range(hashes):
+            yield (low + np.uint64(i) * high) % np.uint64(bits)
+
+    def hit(self, n: int, array: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        out = np.ones(len(low), bool)
+        for at in self.places(n, low, high):
+            out &= (array[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        return out
+
+    def put(self, blocks: list, low: np.ndarray, high: np.ndarray) -> None:
+        """Sets the bits of new keys in the last block, and in further ones once it is full."""
+        while len(low):
+            if not blocks or blocks[-1][0] >= self.capacity(len(blocks) - 1):
+                bits, _ = bloom_size(self.capacity(len(blocks)), self.error / 2 ** (len(blocks) + 1))
+                blocks.append([0, np.zeros((bits + 7) // 8, np.uint8)])
+            n, last = len(blocks) - 1, blocks[-1]
+            take = min(len(low), self.capacity(n) - last[0])
+            for at in self.places(n, low[:take], high[:take]):
+                np.bitwise_or.at(last[1], at >> np.uint64(3), np.left_shift(1, at & np.uint64(7), dtype=np.uint64).astype(np.uint8))
+            last[0] += take
+            low, high = low[take:], high[take:]
+
+    def known(self, added: list[np.ndarray], low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether each key has been passed before, from the hashes kept."""
+        seen: set = set()
+        for part in [*(np.frombuffer(r[0], np.uint64).reshape(-1, 2) for r in self.passed.get()), *added]:
+            seen.update(map(tuple, part[np.isin(part[:, 0], low)].tolist()))
+        return np.array([k in seen for k in zip(low.tolist(), high.tolist())], bool)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        array = bytearray(self.state.get()[0]) if self.state.exists() else bytearray((self.bits + 7) // 8)
+        blocks: list = []
+        while self.state.containsKey((len(blocks),)):
+            used, array = self.state.getValue((len(blocks),))
+            blocks.append([used, np.frombuffer(array, np.uint8).copy()])
+        before, added = [b[0] for b in blocks], []
         for pdf in rows:
-            fresh = []
-            for low, high in zip(pdf["bloom_h1"].tolist(), pdf["bloom_h2"].tolist()):
-                new = False
-                for i in range(self.hashes):
-                    byte, bit = divmod((low + i * high) % self.bits, 8)
-                    if not array[byte] >> bit & 1:
-                        array[byte] |= 1 << bit
-                        new = True
-                fresh.append(new)
-            if any(fresh):
+            pdf = pdf.drop_duplicates(["bloom_h1", "bloom_h2"])
+            low, high = pdf["bloom_h1"].to_numpy().view(np.uint64), pdf["bloom_h2"].to_numpy().view(np.uint64)
+            hit = np.zeros(len(pdf), bool)
+            for n, (_, array) in enumerate(blocks):
+                hit |= self.hit(n, array, low, high)
+            if self.confirmed and hit.any():
+                hit[hit] = self.known(added, low[hit], high[hit])
+            fresh = ~hit
+            if fresh.any():
+                self.put(blocks, low[fresh], high[fresh])
+                if self.confirmed:
+                    added.append(np.stack([low[fresh], high[fresh]], axis=1))
                 yield pdf[fresh]
-        self.state.update((bytes(array),))
+        for n, (used, array) in enumerate(blocks):
+            if n >= len(before) or used != before[n]:
+                self.state.updateValue((n,), (used, array.tobytes()))
+        if added:
+            self.passed.appendValue((np.concatenate(added).tobytes(),))
 
     def close(self) -> None:
         pass
 
 
-def bloom(df: DataFrame, keys: Sequence[str], expected_per_bucket: int = 100_000, error: float = 1e-9, buckets: int = 64) -> DataFrame:
-    """Drops rows probably seen before; about ``error`` of the new rows are dropped too. Memory is fixed per bucket.
+def bloom(df: DataFrame, keys: Sequence[str], expected_per_bucket: int = 100_000, error: float = 1e-9, buckets: int = 64, confirmed: bool = False) -> DataFrame:
+    """Drops rows probably seen before; less than ``error`` of the new rows are dropped too, none with ``confirmed``.
 
-    Raise ``buckets`` with the number of keys. Copies inside an input batch are dropped before the shuffle.
+    Buckets grow with their keys, by 6 bytes a key, with ``confirmed`` by 16 more; nothing expires, as a key may come again at any
+    time. Raise ``buckets`` with the number of keys (``bloom_buckets``) to keep each of them small. Copies inside an input batch
+    are dropped before the shuffle. Keys are told apart by 128 bits of hashes of their values and of which of them are null.
     """
-    marked = df.withColumn("bloom_h1", F.xxhash64(*keys)).withColumn("bloom_h2", F.xxhash64(F.lit("second"), *keys))
+    parts = [*keys, *[F.col(k).isNull() for k in keys]]
+    marked = df.withColumn("bloom_h1", F.xxhash64(*parts)).withColumn("bloom_h2", F.xxhash64(F.lit("second"), *parts))
     few = keep_edge(marked.withColumn("bloom_bucket", F.pmod(F.col("bloom_h1"), F.lit(buckets))), list(keys), list(keys))
-    out = few.groupBy("bloom_bucket").transformWithStateInPandas(Bloom(expected_per_bucket, error), few.schema, "Append", "None")
+    out = few.groupBy("bloom_bucket").transformWithStateInPandas(Bloom(expected_per_bucket, error, confirmed), few.schema, "Append", "None")
     return out.drop("bloom_h1", "bloom_h2", "bloom_bucket")
+
+
+def bloom_buckets(n_keys: int, expected_per_bucket: int = 100_000, least: int = 16) -> int:
+    """Buckets in which ``n_keys`` keys fill about one block each."""
+    return max(least, math.ceil(n_keys / expected_per_bucket))

@@ -175,6 +175,27 @@ def test_bloom_over_batches(feed):
     assert f.run(lambda s: dedup.bloom(s, ["k"], buckets=4)).count() == 60
 
 
+def test_bloom_takes_more_keys_than_a_block_holds(feed):
+    f = feed("k int, ts timestamp")
+    for i in range(4):
+        f.add(*[(k, at(0, k)) for k in range(i * 1000, i * 1000 + 1500)])
+    build = lambda s, **how: dedup.bloom(s, ["k"], expected_per_bucket=100, buckets=2, **how)
+    assert sorted(r.k for r in f.run(build).collect()) == list(range(4500))
+
+
+def test_bloom_confirmed_loses_no_row(feed):
+    f = feed("a int, b int")
+    for i in range(3):
+        f.add((1, None), (None, 1), *[(k, k) for k in range(i * 300, i * 300 + 600)])
+    got = f.run(lambda s: dedup.bloom(s, ["a", "b"], expected_per_bucket=50, error=0.5, buckets=2, confirmed=True))
+    want = [(1, None), (None, 1), *[(k, k) for k in range(1200)]]
+    assert sorted(((r.a, r.b) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_bloom_buckets_follow_the_keys():
+    assert dedup.bloom_buckets(100_000) == 16 and dedup.bloom_buckets(16_000_000) == 160
+
+
 def test_bloom_size():
     bits, hashes = dedup.bloom_size(1000, 0.01)
     assert (bits, hashes) == (9586, 7)
