@@ -22,17 +22,26 @@ from tallyflow.llm.frames import let
 ROUNDS = 8
 FIRST_DAY, DAYS = "1900-01-01", 73049  # to 2099-12-31
 
+# The length of an account number behind its check digits, by country (ISO 13616).
+ACCOUNT_LENGTHS = {
+    11: "NO", 12: "BE", 14: "DK FI FO FK GL NL SD", 15: "MK SI", 16: "AT BA EE KZ LT LU MN XK", 17: "CH CR HR LI LV", 18: "BG BH DE GB GE IE ME NI RS VA",
+    19: "AE GI IL IQ OM SO TL", 20: "AD CZ DZ ES MD PK RO SA SE SK TN VG YE", 21: "AO CV LY MZ PT ST", 22: "IR IS TR", 23: "BF BI CF CG CM DJ FR GA GQ GR HN IT KM MC MG MR SM TD TG",
+    24: "AL AZ BJ BY CI CY DO GT GW HU LB MA ML NE PL SN SV", 25: "BR EG PS QA UA", 26: "JO KW MU", 27: "MT SC", 28: "LC", 29: "RU",
+}
+ACCOUNTS = "|".join(f"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in ACCOUNT_LENGTHS.items())
+
 # The notations that are looked for, in order of precedence.
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+\-]{0,63}@[\p{L}\p{N}\-]{1,63}(?:\.[\p{L}\p{N}\-]{1,63}){0,6}\.\p{L}{2,24}",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:sk|pk|rk)-[A-Za-z0-9_\-]{16,128}|gh[oprsu]_[A-Za-z0-9]{20,128}|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![\p{L}\p{N}])",
+    "iban": rf"(?<![\p{{L}}\p{{N}}])(?:{ACCOUNTS}|[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{8,32}})(?![\p{{L}}\p{{N}}])",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![\p{L}\p{N}]|\.[0-9])",
     "date": r"(?<![\p{L}\p{N}./\-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./](?:19|20)[0-9]{2})(?![\p{L}\p{N}]|[./\-][0-9])",
     "ssn": r"(?<![\p{L}\p{N}\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}]|-[0-9])",
     "phone": r"(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .\-]?[0-9]{2,4}){2,4}|(?<![\p{L}\p{N}])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|(?<![\p{L}\p{N}\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4})(?![\p{L}\p{N}])",
-    "card": r"(?<![\p{L}\p{N}])[0-9](?:[ \-]?[0-9]){12,18}(?![\p{L}\p{N}])",
 }
+# A whole run of digit groups, as cards stand beside other numbers; no group in it is the start of another kind.
+PATTERNS["card"] = rf"(?<![\p{{L}}\p{{N}}])(?=[0-9](?:[ \-]?[0-9]){{12}})[0-9]++(?![\p{{L}}\p{{N}}])(?:[ \-](?!{'|'.join(PATTERNS.values())})[0-9]++(?![\p{{L}}\p{{N}}]))*+"
 KINDS = list(PATTERNS)
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -204,26 +213,88 @@ MAKERS: dict[str, Callable[[Column, str], Column]] = {
 
 
 def kind_of(m: Column) -> Column:
-    """Which kind a match is, null where it fails the validation of its kind."""
-    is_ = {k: m.rlike(f"^(?:{p})$") for k, p in PATTERNS.items()}
+    """Which kind a match is, null where it fails the validation of its kind; a run of digit groups is for ``_cards``."""
+    is_ = {k: m.rlike(f"^(?:{p})$") for k, p in PATTERNS.items() if k != "card"}
     plain = F.replace(m, F.lit(" "), F.lit(""))
     turned = F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))
     valid = {
         "iban": mod97(turned) == 1,
         "date": _day(m).isNotNull(),
-        "card": luhn_sum(_digits(m), False) % 10 == 0,
         "ssn": ~m.rlike(r"^(?:000|666|9[0-9]{2})|-00-|-0000$"),
     }
     out = None
-    for k in KINDS:
+    for k in is_:
         then = F.when(valid[k], F.lit(k)) if k in valid else F.lit(k)
         out = F.when(is_[k], then) if out is None else out.when(is_[k], then)
-    return out
+    return out.when(m.rlike(RUN), F.lit("run"))
+
+
+RUN = r"^[0-9]++(?:[ \-][0-9]++)*+$"
+MOST = 19
+# A letter before each digit group says how many groups a card takes from there on: A none, B one, C two.
+TAKEN = "|".join([r"(?:A[^A-T]*+)++", *[rf"{chr(65 + n)}[^A-T]*+(?:[A-T][^A-T]*+){{{n - 1}}}" for n in range(1, MOST + 1)]])
+
+
+def _is_card(digits: Column) -> Column:
+    return F.length(digits).between(13, MOST) & (luhn_sum(digits, False) % 10 == 0)
+
+
+def _groups_of_card(window: Column) -> Column:
+    """How many digit groups from the first on are a card, at most; 0 where none are.
+
+    A card is one group, or several of at least four digits before the last, and does not hold a group that is one by itself.
+    """
+
+    def fits(groups: Column) -> Callable[[Column], Column]:
+        def one(n: Column) -> Column:
+            mine = F.slice(groups, F.lit(1), n)
+            split = F.forall(F.slice(groups, F.lit(1), n - 1), lambda g: F.length(g) >= 4)
+            return split & let(F.array_join(mine, ""), _is_card) & ((n == 1) | ~F.exists(mine, _is_card))
+
+        return one
+
+    return let(F.split(window, r"[ \-]"), lambda g: F.coalesce(F.array_max(F.filter(F.sequence(F.lit(1), F.size(g)), fits(g))), F.lit(0)))
+
+
+def _plain(m: Column, kind: Column) -> Column:
+    return F.struct(m.alias("m"), kind.cast("string").alias("kind"))
+
+
+def _cards(run: Column) -> Column:
+    """A run of digit groups as pieces, each a card or what stands between cards.
+
+    Where no card stands on its own, the longest beginning of up to 19 digits counts, however it is grouped.
+    """
+    windows = F.regexp_extract_all(run, F.lit(rf"(?<![0-9])(?=([0-9]+(?:[ \-][0-9]+){{0,{MOST - 1}}}))"), F.lit(1))
+    groups = F.regexp_extract_all(run, F.lit(r"[ \-]?[0-9]+"), F.lit(0))
+
+    def pieces(taken: Column) -> Column:
+        lettered = F.array_join(F.zip_with(taken, groups, lambda n, g: F.concat(F.char(n + 65), g)), "")
+        tokens = F.regexp_extract_all(lettered, F.lit(TAKEN), F.lit(0))
+        return F.transform(tokens, lambda t: _plain(F.regexp_replace(t, "[A-T]", ""), F.when(~t.startswith("A"), "card")))
+
+    def whole(head: Column) -> Column:
+        rest = F.substring(run, F.length(head) + 1, F.length(run))
+        return F.when(_is_card(_digits(head)), F.array(_plain(head, F.lit("card")), _plain(rest, F.lit(None)))).otherwise(F.array(_plain(run, F.lit(None))))
+
+    head = F.regexp_extract(run, r"^[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])", 0)
+    return let(F.transform(windows, _groups_of_card), lambda taken: F.when(F.exists(taken, lambda n: n > 0), pieces(taken)).otherwise(let(head, whole)))
+
+
+def _pieces(m: Column) -> Column:
+    """A match as pieces, each with its kind; groups of digits in what failed as an account number may still be cards."""
+    digits = F.regexp_extract(m, r"^[A-Z]{2}[0-9]{2} ([0-9]++(?: [0-9]++)*+)$", 1)
+
+    def of_kind(kind: Column) -> Column:
+        inside = F.concat(F.array(_plain(F.substring(m, 1, 5), F.lit(None))), _cards(digits))
+        return F.when(kind == "run", _cards(m)).when(kind.isNull() & (digits != ""), inside).otherwise(F.array(_plain(m, kind)))
+
+    return let(kind_of(m), of_kind)
 
 
 def _matches(text: Column) -> Column:
-    """The matches, each with its kind."""
-    return F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
+    """The matches, each as its pieces."""
+    return F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), _pieces)
 
 
 def _replaced(found: Column, around: Column, key: str) -> Column:
@@ -234,14 +305,15 @@ def _replaced(found: Column, around: Column, key: str) -> Column:
             out = F.when(x["kind"] == k, made) if out is None else out.when(x["kind"] == k, made)
         return out.otherwise(x["m"])
 
-    return F.concat(around[0], F.array_join(F.zip_with(F.transform(found, pseudonym), F.slice(around, F.lit(2), F.size(found)), lambda a, b: F.concat(a, b)), ""))
+    new = F.transform(found, lambda pieces: F.array_join(F.transform(pieces, pseudonym), ""))
+    return F.concat(around[0], F.array_join(F.zip_with(new, F.slice(around, F.lit(2), F.size(found)), lambda a, b: F.concat(a, b)), ""))
 
 
 def with_pseudonyms(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """The rows with ``_text`` and ``_found``: the new text and the kinds found. Texts without a digit or an @ are not searched."""
     text = F.col(text_col).cast("string")
     made = lambda found: F.struct(
-        F.when(F.size(found) > 0, let(F.split(text, ANY, -1), lambda around: _replaced(found, around, key))).otherwise(text).alias("text"), F.transform(found, lambda x: x["kind"]).alias("kinds")
+        F.when(F.size(found) > 0, let(F.split(text, ANY, -1), lambda around: _replaced(found, around, key))).otherwise(text).alias("text"), F.transform(F.flatten(found), lambda x: x["kind"]).alias("kinds")
     )
     plain = F.struct(text.alias("text"), F.array().cast("array<string>").alias("kinds"))
     worth = F.when(F.coalesce(text.rlike("[0-9@]"), F.lit(False)), let(_matches(text), made)).otherwise(plain)

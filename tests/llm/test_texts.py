@@ -92,6 +92,28 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert (out[2].n_card, out[6].n_date, out[7].n_iban) == (2, 2, 2)
 
 
+def test_cards_and_accounts_beside_other_numbers_and_words(spark):
+    card, spaced, iban = "4111111111111111", "4111 1111 1111 1111", "ES9121000418450200051332"
+    texts = [
+        card, f"{card} 12/27", f"{spaced} 123", f"order 12 {card}", f"12 34 56 78 {spaced} 99 {card} 7", f"{spaced}-{spaced}", f"{card} 12abc", f"REF AB12 {card}", f"DE12 {card} 12",
+        iban, f"{iban} EUR", "ES91 2100 0418 4502 0005 1332 EUR AB", "BE68539007547034 EUR", f"{iban} {spaced}", f"{spaced} 123-45-6789", f"{card} 192.168.1.1", f"{spaced} 12/27/1990", f"5 6 7 8 9 {card} 1987-02-28",
+    ]
+    out = {r.doc_id: r for r in pii.pseudonymized(documents(spark, list(enumerate(texts))), "key").collect()}
+    new = [out[k].text for k in range(len(texts))]
+    for old, text in zip(texts, new):
+        assert re.sub("[0-9]+", "0", text) == re.sub("[0-9]+", "0", old)
+        assert not any(x in text.replace(" ", "") for x in (card, iban, "BE68539007547034", "123-45-6789", "192.168.1.1", "12/27/1990", "1987-02-28")), text
+    c = new[0]
+    grouped = " ".join(re.findall("....", c))
+    assert luhn(c) and c != card
+    assert new[1:9] == [f"{c} 12/27", f"{grouped} 123", f"order 12 {c}", f"12 34 56 78 {grouped} 99 {c} 7", f"{grouped}-{grouped}", f"{c} 12abc", f"REF AB12 {c}", f"DE12 {c} 12"]
+    assert new[10] == f"{new[9]} EUR" and new[11] == " ".join(re.findall("....", new[9])) + " EUR AB" and new[13] == f"{new[9]} {grouped}"
+    assert [out[k].n_card for k in range(len(texts))] == [1, 1, 1, 1, 2, 2, 1, 1, 1, 0, 0, 0, 0, 1, 1, 1, 1, 1]
+    assert [out[k].n_found for k in range(9, len(texts))] == [1, 1, 1, 1, 2, 2, 2, 2, 2]
+    long = "1 23 456 7890 " * 20_000
+    assert len(pii.pseudonymized(documents(spark, [(0, long + card)]), "key").first().text) == len(long) + 16
+
+
 def test_pseudonyms_are_a_bijection(spark):
     from pyspark.sql import functions as F
 
