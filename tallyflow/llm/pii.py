@@ -4,7 +4,8 @@ Mail addresses, card numbers, account numbers, phone numbers, national ids, IPv4
 pattern, validated (check digits, number ranges, calendar) and run through a keyed Feistel network inside their own format: a
 digit stays a digit, a letter a letter of the same case, separators stay in place, check digits are computed anew, a date becomes
 another valid date in the same notation. The network is a bijection, so equal values get equal pseudonyms in all documents,
-however they are punctuated, and different values stay different.
+however they are punctuated, and different values stay different. A date with slashes is read as MM/dd/yyyy; where there is no such
+day, as dd/MM/yyyy, so 05/06/1990 is the 6th of May in every document and 25/12/1987 the 25th of December.
 
 Defined results: a null text stays null and counts nothing; an empty text stays empty; texts are read whole; what fails its
 validation is left as it is; equal rows get equal results; an empty table gives an empty result; further columns are not read
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyflow.llm.frames import let
 
 ROUNDS = 8
-FIRST_DAY, DAYS = "1900-01-01", 73049  # to 2099-12-31
+FIRST_DAY = "1900-01-01"  # to 2099-12-31
 
 # The length of an account number behind its check digits, by country (ISO 13616).
 ACCOUNT_LENGTHS = {
@@ -174,23 +175,48 @@ def _ip(m: Column, key: str) -> Column:
     return F.concat_ws(".", *[F.floor(moved[h] / 256 if first else moved[h] % 256).cast("string") for h in "lr" for first in (True, False)])
 
 
+def _month_first(m: Column) -> Column:
+    return F.try_to_timestamp(m, F.lit("MM/dd/yyyy"))
+
+
 def _day(m: Column) -> Column:
-    """The date a text denotes, null where there is no such day."""
+    """The date a text denotes, null where there is no such day. With slashes the month stands first, unless only the day can."""
     iso = m.rlike(r"^[0-9]{4}-")
     sep = F.substring(m, 3, 1)
-    return F.when(iso, F.try_to_timestamp(m, F.lit("yyyy-MM-dd"))).when(sep == ".", F.try_to_timestamp(m, F.lit("dd.MM.yyyy"))).otherwise(F.try_to_timestamp(m, F.lit("MM/dd/yyyy"))).cast("date")
+    slashed = F.coalesce(_month_first(m), F.try_to_timestamp(m, F.lit("dd/MM/yyyy")))
+    return F.when(iso, F.try_to_timestamp(m, F.lit("yyyy-MM-dd"))).when(sep == ".", F.try_to_timestamp(m, F.lit("dd.MM.yyyy"))).otherwise(slashed).cast("date")
 
 
-def _date(m: Column, key: str) -> Column:
-    """A permutation of all days of two centuries: the network works on 271 x 270 numbers and walks on while it is beyond them."""
-    day = F.datediff(_day(m), F.lit(FIRST_DAY).cast("date"))
+def _moved_day(month: Column, day: Column, first: int, days: int, sizes: tuple[int, int], key: str, kind: str) -> Column:
+    """A permutation of the days from the ``first`` to the last of ``days`` places of each of 2,400 months: beyond a month's end it walks on."""
+    start = F.lit(FIRST_DAY).cast("date")
+    month_of = lambda i: F.add_months(start, F.floor(i / days).cast("int"))
+    day_of = lambda i: (i % days + first).cast("int")
 
     def walk(acc: Column, k: Column) -> Column:
-        inner = feistel_number(F.floor(acc / 270), acc % 270, (271, 270), key, "date")
-        return F.when((k > 1) & (acc < DAYS), acc).otherwise(inner["l"] * 270 + inner["r"])
+        inner = feistel_number(F.floor(acc / sizes[1]), acc % sizes[1], sizes, key, kind)
+        return F.when((k > 1) & (day_of(acc) <= F.dayofmonth(F.last_day(month_of(acc)))), acc).otherwise(inner["l"] * sizes[1] + inner["r"])
+
+    moved = F.aggregate(F.sequence(F.lit(1), F.lit(16)), (month * days + day - first).cast("long"), walk)
+    return let(moved, lambda i: F.date_add(month_of(i), day_of(i) - 1))
+
+
+def _date(m: Column, key: str) -> Column:
+    """A permutation of all days of two centuries that keeps days up to the 12th among themselves and those behind.
+
+    A date is written as it was read, and one with the day first and slashes still cannot be read with the month first.
+    """
+
+    def moved(day: Column) -> Column:
+        month = (F.year(day) - 1900) * 12 + F.month(day) - 1
+        early = _moved_day(month, F.dayofmonth(day), 1, 12, (160, 180), key, "date")
+        return F.when(F.dayofmonth(day) <= 12, early).otherwise(_moved_day(month, F.dayofmonth(day), 13, 19, (200, 228), key, "date13"))
+
+    def written(new: Column) -> Column:
+        slashed = F.when(_month_first(m).isNotNull(), F.date_format(new, "MM/dd/yyyy")).otherwise(F.date_format(new, "dd/MM/yyyy"))
+        return F.when(m.rlike(r"^[0-9]{4}-"), F.date_format(new, "yyyy-MM-dd")).when(F.substring(m, 3, 1) == ".", F.date_format(new, "dd.MM.yyyy")).otherwise(slashed)
 
-    moved = F.date_add(F.lit(FIRST_DAY).cast("date"), F.aggregate(F.sequence(F.lit(1), F.lit(12)), day.cast("long"), walk).cast("int"))
-    return F.when(m.rlike(r"^[0-9]{4}-"), F.date_format(moved, "yyyy-MM-dd")).when(F.substring(m, 3, 1) == ".", F.date_format(moved, "dd.MM.yyyy")).otherwise(F.date_format(moved, "MM/dd/yyyy"))
+    return let(let(_day(m), moved), written)
 
 
 def _secret(m: Column, key: str) -> Column:

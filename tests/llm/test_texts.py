@@ -114,6 +114,24 @@ def test_cards_and_accounts_beside_other_numbers_and_words(spark):
     assert len(pii.pseudonymized(documents(spark, [(0, long + card)]), "key").first().text) == len(long) + 16
 
 
+def test_dates_with_the_day_first(spark):
+    texts = ["25/12/1987 31/01/1990", "1987-12-25 1990-01-31", "12/25/1987 01/31/1990", "25.12.1987 31.01.1990", "05/06/1990", "1990-05-06", "31/02/1990 13/13/1990"]
+    out = {r.doc_id: r for r in pii.pseudonymized(documents(spark, list(enumerate(texts))), "key").collect()}
+    read = lambda k, order: [tuple(re.split(r"\D", d)[p] for p in order) for d in out[k].text.split()]
+    assert read(0, (2, 1, 0)) == read(1, (0, 1, 2)) == read(2, (2, 0, 1)) == read(3, (2, 1, 0)) != [("1987", "12", "25"), ("1990", "01", "31")]
+    assert all(int(day) > 12 for _, _, day in read(0, (2, 1, 0)))
+    assert read(4, (2, 0, 1)) == read(5, (0, 1, 2)) and out[4].text != texts[4] and out[6].text == texts[6]
+    assert [out[k].n_date for k in range(7)] == [2, 2, 2, 2, 1, 1, 0]
+
+
+def test_days_of_two_centuries_stay_apart(spark):
+    from pyspark.sql import functions as F
+
+    days = spark.sql("select explode(sequence(date '1900-01-01', date '2099-12-31')) d").repartition(8)
+    moved = days.select(F.date_format("d", "yyyy-MM-dd").alias("s"), "d").select("d", pii._date(F.col("s"), "k").alias("p"))
+    assert moved.select("p").distinct().count() == 73_049 == moved.where("p between '1900-01-01' and '2099-12-31' and (day(p) > 12) = (day(d) > 12)").count()
+
+
 def test_pseudonyms_are_a_bijection(spark):
     from pyspark.sql import functions as F
 
