@@ -34,7 +34,7 @@ ACCOUNTS = "|".join(f"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n
 # The notations that are looked for, in order of precedence.
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+\-]{0,63}@[\p{L}\p{N}\-]{1,63}(?:\.[\p{L}\p{N}\-]{1,63}){0,6}\.\p{L}{2,24}",
-    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:sk|pk|rk)-[A-Za-z0-9_\-]{16,128}|gh[oprsu]_[A-Za-z0-9]{20,128}|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])",
+    "secret": r"(?<![\p{L}\p{N}])(?:(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])|(?:sk|pk|rk)-[A-Za-z0-9_\-]{16,}+|gh[oprsu]_[A-Za-z0-9]{20,}+)",
     "iban": rf"(?<![\p{{L}}\p{{N}}])(?:{ACCOUNTS}|[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{8,32}})(?![\p{{L}}\p{{N}}])",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![\p{L}\p{N}]|\.[0-9])",
     "date": r"(?<![\p{L}\p{N}./\-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./](?:19|20)[0-9]{2})(?![\p{L}\p{N}]|[./\-][0-9])",
@@ -74,16 +74,15 @@ def _letters(low: str, c: Column, h: Column, n: int) -> Column:
 def _moved(half: Column, noise: Column, hexadecimal: bool) -> Column:
     """Each character moved inside its class by one byte of the noise: digits, a-z, A-Z; all others stay."""
 
-    def one(i: Column) -> Column:
-        c = F.substring(half, i, F.lit(1))
-        h = F.conv(F.substring(noise, (i - 1) % 64 * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    def one(c: Column, i: Column) -> Column:
+        h = F.conv(F.substring(noise, i % 64 * 2 + 1, F.lit(2)), 16, 10).cast("int")
         if hexadecimal:
             return F.lower(F.conv(((F.conv(c, 16, 10).cast("int") + h) % 16).cast("string"), 10, 16))
         return (
             F.when(c.between("0", "9"), ((F.ascii(c) - 48 + h) % 10).cast("string")).when(c.between("a", "z"), _letters("a", c, h, 26)).when(c.between("A", "Z"), _letters("A", c, h, 26)).otherwise(c)
         )
 
-    return F.when(F.length(half) > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.length(half)), one), "")).otherwise(half)
+    return F.when(F.length(half) > 0, F.array_join(F.transform(_chars(half), one), "")).otherwise(half)
 
 
 def feistel_text(s: Column, key: str, kind: str, hexadecimal: bool = False) -> Column:

@@ -124,6 +124,15 @@ def test_dates_with_the_day_first(spark):
     assert [out[k].n_date for k in range(7)] == [2, 2, 2, 2, 1, 1, 0]
 
 
+def test_keys_of_any_length(spark):
+    body = "aB3" * 60
+    keys = ["sk-" + body[:129], "ghp_" + body, "sk-proj-" + body + "_" + body[:150], "pk-" + body * 500]
+    out = {r.doc_id: r for r in pii.pseudonymized(documents(spark, [(k, f"key {t}, end") for k, t in enumerate(keys)]), "key").collect()}
+    for k, t in enumerate(keys):
+        new = re.fullmatch(r"key ([\w-]+), end", out[k].text)[1]
+        assert out[k].n_secret == 1 and len(new) == len(t) and new[:3] == t[:3] and all(new[p : p + 60] != t[p : p + 60] for p in range(4, len(t) - 60, 60))
+
+
 def test_days_of_two_centuries_stay_apart(spark):
     from pyspark.sql import functions as F
 
