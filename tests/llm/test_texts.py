@@ -182,6 +182,27 @@ def test_licences_and_their_folders(spark):
     assert licenses.scan(df).count() == len(rows) and licenses.scan(df.limit(0)).count() == 0
 
 
+def test_wrapped_headers_and_licence_files(spark):
+    import textwrap
+
+    gnu = "This {0} is free software{3} you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation{4} either version {2} of the License, or (at your option) any later version."
+    more = "This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {1} for more details."
+    kinds = [("GPL-3.0", "program", "General Public License", "3", ":", ","), ("GPL-2.0", "program", "General Public License", "2", ";", ";"), ("LGPL-2.1", "library", "Lesser General Public License", "2.1", ";", ";"),
+             ("LGPL-3.0", "library", "Lesser General Public License", "3", ":", ","), ("AGPL-3.0", "program", "Affero General Public License", "3", ":", ",")]
+    full = dict((name, max((t for n, t in licenses.TEMPLATES if n == name), key=len)) for name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense", "Apache-2.0"))
+    wrap = lambda t, mark="", width=72: "\n".join(mark + x for x in textwrap.wrap(t, width))
+    rows = []
+    for name, what, title, version, a, b in kinds:
+        one, two = gnu.format(what, title, version, a, b), more.format(what, title)
+        rows.append((name, f"{wrap(one)}\n\n{wrap(two)}\n"))
+        rows.append((name, f"# Copyright (C) 2020 Jane Doe\n#\n{wrap(one, '# ')}\n#\n{wrap(two, '# ')}\nimport os\n" + "x = 1\n" * 40))
+        rows.append((name, f"/*\n{wrap(one, ' * ')}\n *\n{wrap(two, ' * ')}\n */\nint x;\n" + "f(x);\n" * 40))
+    for name, text in full.items():
+        rows += [(name, "Copyright (c) 2021, Jane Doe\n" + wrap(text)), (name, f"{wrap(text, '// ', 60)}\nint main() {{}}\n")]
+    df = spark.createDataFrame([(k, f"d{k}/src/f{k}", text) for k, (_, text) in enumerate(rows)], "id long, path string, text string")
+    assert {r.id: r.license for r in licenses.scan(df).collect()} == {k: name for k, (name, _) in enumerate(rows)}
+
+
 # benchmark items
 
 
