@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyflow.llm import decontaminate, embedding_dedup, huffman, licenses, minhash, pii, piece_bpe, prefix_trie, suffix_dedup, token_counts, toxicity
+from tallyflow.llm import decontaminate, embedding_dedup, huffman, language_id, licenses, minhash, pii, piece_bpe, prefix_trie, suffix_dedup, token_counts, toxicity
 from tallyflow.llm.frames import table
 
 
@@ -60,6 +60,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_licenses": op9_licenses,
     "op10_decontaminate": op10_decontaminate,
+    "op11_language_id": op11_language_id,
     "op12_prefix_trie": op12_prefix_trie,
 }
 
