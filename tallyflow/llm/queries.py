@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyflow.llm import decontaminate, embedding_dedup, huffman, language_id, licenses, minhash, pii, piece_bpe, prefix_trie, suffix_dedup, token_counts, toxicity
+from tallyflow.llm import align_tokens, decontaminate, embedding_dedup, huffman, language_id, licenses, minhash, pii, piece_bpe, prefix_trie, suffix_dedup, token_counts, toxicity
 from tallyflow.llm.frames import table
 
 
@@ -69,6 +69,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_huffman_ids": op2_huffman_ids,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_language_id": op11_language_id,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_align_tokens": op13_align_tokens,
 }
 
 #: Words, shingles and exact containment without any search structure.
