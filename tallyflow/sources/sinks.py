@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from tallyflow.operators.upsert import latest_per_key
 from tallyflow.session import materialise
-from tallyflow.sources.store import KeyedTable
+from tallyflow.sources.store import CAPACITY, KeyedTable
 from tallyflow.streaming.run import each_batch
 
 
@@ -105,14 +105,14 @@ def olap_files(stream: DataFrame, path: str) -> StreamingQuery:
     return each_batch(stream, path, step)
 
 
-def upsert_stream(stream: DataFrame, path: str, keys: list[str], order: list[str], op: str | None = None, buckets: int = 64) -> StreamingQuery:
+def upsert_stream(stream: DataFrame, path: str, keys: list[str], order: list[str], op: str | None = None, capacity: int = CAPACITY) -> StreamingQuery:
     """Keep the newest row per key of a change stream in a keyed table."""
     spark, schema = stream.sparkSession, stream.schema
-    return each_batch(stream, path, lambda df, batch: KeyedTable(spark, f"{path}/table", schema, keys, order, op, buckets).upsert(df, batch))
+    return each_batch(stream, path, lambda df, batch: KeyedTable(spark, f"{path}/table", schema, keys, order, op, capacity).upsert(df, batch))
 
 
-def keyed_table(stream: DataFrame, path: str, keys: list[str], order: list[str], op: str | None = None, buckets: int = 64) -> KeyedTable:
-    return KeyedTable(stream.sparkSession, f"{path}/table", StructType(stream.schema.fields), keys, order, op, buckets)
+def keyed_table(stream: DataFrame, path: str, keys: list[str], order: list[str], op: str | None = None, capacity: int = CAPACITY) -> KeyedTable:
+    return KeyedTable(stream.sparkSession, f"{path}/table", StructType(stream.schema.fields), keys, order, op, capacity)
 
 
 def jdbc_upsert(stream: DataFrame, path: str, url: str, table: str, keys: list[str], order: list[str], properties: Mapping[str, str]) -> StreamingQuery:

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyflow.session import scratch_path
 from tallyflow.sources.standins import Tables, money
 from tallyflow.streaming.run import file_stream
 
 
+#: Rows of one file of a replayed slice.
+ROWS_PER_FILE = 1_000_000
+
+
 def text(c: Column) -> Column:
     return c.cast("string")
 
@@ -26,15 +31,23 @@ class Streams(Tables):
         return file_stream(self.spark, self.sf_dir, f"{table}.parquet")
 
     def replayed(self, table: str, by: str, files: int = 8) -> DataFrame:
-        """The table as ``files`` files in the order of ``by``, one per micro-batch."""
+        """The table in ``files`` slices in the order of ``by``, one per micro-batch; rows without a time come with the first slice.
+
+        The table is read once, into one folder per slice. The slices then enter the stream's folder one after another, as a file
+        source takes files by their age, each as so many files that none holds much more than ``ROWS_PER_FILE`` rows.
+        """
         rows = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
         at = F.unix_micros(F.col(by).cast("timestamp"))
-        low, high = rows.agg(F.min(at), F.max(at)).first()
-        folder = scratch_path(self.spark, f"replay-{table}")
-        part = F.floor((at - low) * files / F.lit(max(1, (high or 0) - (low or 0)) + 1))
-        for k in range(files):  # one after another: a file source takes files by their age
-            rows.where(part == k).coalesce(1).write.mode("append").parquet(folder)
-        return self.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        low, high, n = rows.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
+        low, high, folder = low or 0, high or 0, scratch_path(self.spark, f"replay-{table}")
+        part = F.coalesce(F.floor((at - low) * files / F.lit(high - low + 1)), F.lit(0))
+        rows.withColumn("replay_slice", part).write.partitionBy("replay_slice").parquet(f"{folder}/slices")
+        layout = T.StructType([*rows.schema.fields, T.StructField("replay_slice", T.LongType())])
+        slices = self.spark.read.schema(layout).parquet(f"{folder}/slices")
+        each = max(1, -(-n // (files * ROWS_PER_FILE)))
+        for k in range(files):
+            slices.where(F.col("replay_slice") == k).drop("replay_slice").repartition(each).write.mode("append").parquet(f"{folder}/feed")
+        return self.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", each).parquet(f"{folder}/feed")
 
     def events(self, kind: str | None = None, files: int | None = None) -> DataFrame:
         """Events with ``ts`` as a timestamp that can carry a watermark; with ``files`` replayed in so many micro-batches."""

@@ -71,7 +71,7 @@ def test_load_file_and_tsv(spark, folder):
 
 def test_keyed_table_repeat_delete_and_late_change(spark, folder):
     schema = T.StructType().add("k", "integer").add("v", "string").add("op", "string").add("ts", "long")
-    t = KeyedTable(spark, f"{folder}/k", schema, ["k"], ["ts"], "op", buckets=4)
+    t = KeyedTable(spark, f"{folder}/k", schema, ["k"], ["ts"], "op", capacity=2)
     batch = lambda *r: spark.createDataFrame(list(r), schema)
     state = lambda: sorted((r.k, r.v) for r in t.read().collect())
     t.upsert(batch((1, "a", "c", 1), (2, "b", "c", 1), (1, "a2", "u", 2)), 0)
@@ -85,6 +85,32 @@ def test_keyed_table_repeat_delete_and_late_change(spark, folder):
     assert state() == [(1, "a2"), (2, "again"), (3, "c")]
 
 
+#: 50 were run as well; each takes some seconds
+BATCHES = 12
+
+
+def test_keyed_table_over_many_batches(spark, folder):
+    """Buckets split and stay below their size, readers open current files only, old versions go."""
+    schema = T.StructType().add("k", "long").add("v", "long").add("op", "string").add("ts", "long")
+    t, want = KeyedTable(spark, f"{folder}/k", schema, ["k"], ["ts"], "op", capacity=60), {}
+    for n in range(BATCHES):
+        rows_ = [((n * 17 + i * i) % 400 if n < BATCHES - 2 else 1000 + i, n * 100 + i, "d" if (i + n) % 11 == 0 else "u", n * 100 + i) for i in range(40)]
+        t.upsert(spark.createDataFrame(rows_, schema), n)
+        if n % 6 == 5:  # a repeated batch
+            t.upsert(spark.createDataFrame(rows_, schema), n)
+        want |= {k: (v, op) for k, v, op, _ in rows_}
+    live = t.read()
+    assert {r.k: r.v for r in live.collect()} == {k: v for k, (v, op) in want.items() if op != "d"}
+    buckets = t.directory(t.newest())
+    assert max(b.n_rows for b in buckets) <= 60 and sum(b.n_rows for b in buckets) == len(want) and len(buckets) >= 4
+    assert sorted(b.code << (16 - b.depth) for b in buckets) and sum(2.0**-b.depth for b in buckets) == 1
+    held = [b for b in buckets if b.n_rows]
+    assert len(live.inputFiles()) == len(held)
+    import glob
+
+    assert len(glob.glob(f"{folder}/k/rows/*/*/*.parquet")) <= 2 * len(buckets) + 8 and len(t.versions()) == 2
+
+
 def test_json_rows_use_snake_case_and_topics(spark):
     df = spark.createDataFrame([(1, 2)], "orderCount int, sku int")
     r = sinks.json_rows(df, key="sku", topic=F.lit("t")).first()
