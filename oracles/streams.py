@@ -180,3 +180,22 @@ SQL["stream_order_detail_join"] = st(
 SELECT id, order_id, user_id, activity_id, coupon_id, split_amount FROM a
 WHERE od_ts + interval 10 second <= (SELECT least(max(od_ts) FILTER (status = 'F'), max(od_ts + to_seconds(order_id % 20)) FILTER (status = 'O')) - interval 5 second FROM od)""",
     money="split_amount")
+
+SQL["stream_changing_lookup"] = st(
+    """WITH s AS (SELECT (epoch_us(min(o_orderdate)) + epoch_us(max(o_orderdate))) // 2 mid FROM orders),
+        e AS (SELECT epoch_us(max(od_ts)) // 1000 - 86400000 passed FROM od)
+---
+SELECT order_id, user_id % 25 province_code, amount, od_ts, CASE WHEN n_nationkey % 2 = 0 AND epoch_us(od_ts) >= mid THEN lower(n_name) WHEN n_nationkey % 5 <> 4 THEN n_name ELSE 'N/A' END province_name
+FROM od, s, e, nation WHERE n_nationkey = user_id % 25 AND epoch_us(od_ts) // 1000 < passed""", money="amount", seconds="od_ts")
+SQL["stream_clock_windows"] = st("SELECT event_type, count(*) events, sum(v) * 100 cents FROM ev GROUP BY event_type", ints="cents")
+SQL["stream_rule_changes"] = st(
+    """WITH b AS (SELECT epoch_us(min(o_orderdate)) lo, epoch_us(max(o_orderdate)) hi FROM orders),
+        t AS (SELECT (lo + (hi - lo) * 4 // 8) // 1000 t4, (lo + (hi - lo) * 7 // 8) // 1000 t7 FROM b),
+        x AS (SELECT 'dim_order_info' sink, cast(k AS varchar) AS key, chg.* FROM chg, t WHERE tab = 'order_info' AND ts_ms >= t7
+              UNION ALL SELECT 'dim_shop_info', cast(u AS varchar), chg.* FROM chg, t WHERE tab = 'shop_info' AND ts_ms >= t4
+              UNION ALL SELECT 'dim_other', cast(k AS varchar), chg.* FROM chg WHERE tab = 'other_table'),
+        y AS (SELECT *, coalesce(max(CASE WHEN op = 'd' THEN ts_ms END) OVER (PARTITION BY sink, key), -1) gone FROM x),
+        newest AS (SELECT *, row_number() OVER (PARTITION BY sink, key ORDER BY ts_ms DESC) rn FROM y WHERE op <> 'd' AND ts_ms > gone)
+---
+SELECT sink sink_table, md5(key) row_key, CASE WHEN sink <> 'dim_shop_info' THEN cast(k AS varchar) END id, CASE WHEN sink = 'dim_shop_info' THEN cast(u AS varchar) END user_id,
+ CASE WHEN sink = 'dim_order_info' THEN st END order_status, CASE WHEN sink <> 'dim_order_info' THEN amt END total_amount FROM newest WHERE rn = 1""")

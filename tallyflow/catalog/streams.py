@@ -11,9 +11,9 @@ from tallyflow.sources import sinks
 from tallyflow.sources.readers import json_table
 from tallyflow.sources.standins import Retail, money
 from tallyflow.sources.stream_standins import Streams
-from tallyflow.streaming import cdc, dedup, dimsync, joins, logs, moderation, uniques
-from tallyflow.streaming.run import drain, start_files
-from tallyflow.streaming.windows import tumble, tumble_distinct
+from tallyflow.streaming import cdc, dedup, dimsync, joins, logs, lookups, moderation, uniques
+from tallyflow.streaming.run import drain, run_clock, start_files
+from tallyflow.streaming.windows import tumble, tumble_clock, tumble_distinct
 
 
 #: Micro-batches in which the steps with state across batches are replayed.
@@ -286,6 +286,50 @@ def dim_sync(w: StreamWarehouse) -> DataFrame:
     return live.select("sink_table", "row_key", at("id"), at("user_id"), at("order_status"), at("total_amount"))
 
 
+def changing_lookup(w: StreamWarehouse) -> DataFrame:
+    """Orders with the name their province had at the time of the order; half of the names change in the middle of the stream.
+
+    Every fifth province has no name before, so its orders carry the default.
+    """
+    low, high = w.span("orders", "o_orderdate")
+    code, name = F.col("n_nationkey"), F.col("n_name")
+    version = lambda rows, called, at: rows.select(code.alias("code"), called.alias("province_name"), F.timestamp_micros(F.lit(at)).alias("from_ts"))
+    first, second = version(w.raw("nation").where(code % 5 != 4), name, low), version(w.raw("nation").where(code % 2 == 0), F.lower(name), (low + high) // 2)
+    changes = w.replay(first.unionByName(second), F.unix_micros("from_ts"), FILES, (low, high), "province-names")
+    orders = w.order_events(FILES).select("order_id", (F.col("user_id") % 25).alias("province_code"), "amount", "od_ts")
+    named = lookups.lookup_as_of(orders, changes, "province_code", "code", ["province_name"], "od_ts", "from_ts", "N/A", lateness="1 day")
+    return drain(named, "changing-lookup")
+
+
+def clock_windows(w: StreamWarehouse) -> DataFrame:
+    """Events and their value per type in windows of 2 s of the clock, summed over all windows."""
+    events = w.events(files=FILES).select("event_type", F.lit(1).alias("n"), (F.col("value") * 100).cast("bigint").alias("cents"))
+    windows = run_clock(tumble_clock(events, 2000, ["event_type"], ["n", "cents"]), "clock", 2000)
+    return windows.groupBy("event_type").agg(F.sum("n").alias("events"), F.sum("cents").alias("cents"))
+
+
+def rule_changes(w: StreamWarehouse) -> DataFrame:
+    """Dimensions from the order change log under rules that change while it runs.
+
+    Shop rows count from the middle on; other rows are added later and filled back; order rows are removed and, later still, taken
+    up again with fewer columns.
+    """
+    low, high = w.span("orders", "o_orderdate")
+    at = lambda k: (low + (high - low) * k // 8) // 1000
+    rules = [
+        ("c", "order_info", "dim_order_info", "id", "id,user_id,order_status", at(0), True),
+        ("c", "shop_info", "dim_shop_info", "user_id", "user_id,total_amount", at(4), False),
+        ("c", "other_table", "dim_other", "id", "id,total_amount", at(5), True),
+        ("d", "order_info", "dim_order_info", None, None, at(6), False),
+        ("c", "order_info", "dim_order_info", "id", "id,order_status", at(7), False),
+    ]
+    log = w.replay(w.spark.createDataFrame(rules, dimsync.RULES), F.col("at_ms") * 1000, FILES, (low, high), "rules")
+    path = scratch_path(w.spark, "rules")
+    dimsync.sync_with_rules(w.order_changes(FILES), log, path).awaitTermination()
+    at_field = lambda f: F.try_element_at("info", F.lit(f)).alias(f)
+    return dimsync.current_under_rules(w.spark, path).select("sink_table", "row_key", *[at_field(f) for f in ("id", "user_id", "order_status", "total_amount")])
+
+
 def upsert_latest(w: StreamWarehouse) -> DataFrame:
     """Newest order row per user; a user whose newest change is a delete is gone."""
     flat = cdc.payload(w.order_changes())
@@ -353,6 +397,9 @@ QUERIES = {
     "stream_order_detail_join": order_detail,
     "stream_login_window": login_window,
     "stream_dim_sync": dim_sync,
+    "stream_changing_lookup": changing_lookup,
+    "stream_clock_windows": clock_windows,
+    "stream_rule_changes": rule_changes,
     "stream_upsert_latest": upsert_latest,
     "stream_olap_json": olap_json,
     "stream_bucketed_files": bucketed_files,

@@ -31,20 +31,31 @@ class Streams(Tables):
         return file_stream(self.spark, self.sf_dir, f"{table}.parquet")
 
     def replayed(self, table: str, by: str, files: int = 8) -> DataFrame:
-        """The table in ``files`` slices in the order of ``by``, one per micro-batch; rows without a time come with the first slice.
+        """The table in ``files`` slices in the order of ``by``, one per micro-batch."""
+        rows = self.raw(table)
+        at = F.unix_micros(F.col(by).cast("timestamp"))
+        return self.replay(rows, at, files, self.span(table, by), table)
+
+    def span(self, table: str, by: str) -> tuple[int, int]:
+        """First and last microsecond of a column."""
+        at = F.unix_micros(F.col(by).cast("timestamp"))
+        low, high = self.raw(table).agg(F.min(at), F.max(at)).first()
+        return low or 0, high or 0
+
+    def replay(self, rows: DataFrame, at: Column, files: int, span: tuple[int, int], name: str) -> DataFrame:
+        """``rows`` as a stream of ``files`` slices of equal length of ``span``; what lies outside, or has no time, comes with the first
+        or the last slice. Streams replayed with the same span have the same times in the same batch.
 
-        The table is read once, into one folder per slice. The slices then enter the stream's folder one after another, as a file
+        The rows are read once, into one folder per slice. The slices then enter the stream's folder one after another, as a file
         source takes files by their age, each as so many files that none holds much more than ``ROWS_PER_FILE`` rows.
         """
-        rows = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
-        at = F.unix_micros(F.col(by).cast("timestamp"))
-        low, high, n = rows.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
-        low, high, folder = low or 0, high or 0, scratch_path(self.spark, f"replay-{table}")
-        part = F.coalesce(F.floor((at - low) * files / F.lit(high - low + 1)), F.lit(0))
-        rows.withColumn("replay_slice", part).write.partitionBy("replay_slice").parquet(f"{folder}/slices")
+        (low, high), folder = span, scratch_path(self.spark, f"replay-{name}")
+        part = F.floor((at - low) * files / F.lit(high - low + 1))
+        part = F.coalesce(F.least(F.greatest(part, F.lit(0)), F.lit(files - 1)), F.lit(0))
+        rows.withColumn("replay_slice", part.cast("bigint")).write.partitionBy("replay_slice").parquet(f"{folder}/slices")
         layout = T.StructType([*rows.schema.fields, T.StructField("replay_slice", T.LongType())])
         slices = self.spark.read.schema(layout).parquet(f"{folder}/slices")
-        each = max(1, -(-n // (files * ROWS_PER_FILE)))
+        each = max(1, -(-slices.count() // (files * ROWS_PER_FILE)))
         for k in range(files):
             slices.where(F.col("replay_slice") == k).drop("replay_slice").repartition(each).write.mode("append").parquet(f"{folder}/feed")
         return self.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", each).parquet(f"{folder}/feed")
@@ -98,10 +109,11 @@ class Streams(Tables):
             as_map(db=F.lit("shop"), table=F.lit("cart_info")).alias("source"), F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("ts_ms"),
         )
 
-    def order_events(self) -> DataFrame:
+    def order_events(self, files: int | None = None) -> DataFrame:
         """Orders as events, ``od_ts`` spread over the day by key."""
         at = F.timestamp_millis(F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 86_400 * 1000)
-        return self.stream("orders").select(
+        orders = self.replayed("orders", "o_orderdate", files) if files else self.stream("orders")
+        return orders.select(
             F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("status"), money("o_totalprice").alias("amount"), at.alias("od_ts")
         )
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
@@ -57,6 +59,32 @@ def drain(stream: DataFrame, name: str, partition_by: Sequence[str] = ()) -> Dat
     return spark.read.schema(stream.schema).parquet(f"{path}/data")
 
 
+def run_clock(stream: DataFrame, name: str, width_ms: int, trigger: str = "1 second", limit_s: float = 600) -> DataFrame:
+    """Run a stream with timers on the clock until its input is used up and its last window has gone out, and read its output back."""
+    spark = stream.sparkSession
+    path = scratch_path(spark, name)
+    writer = stream.writeStream.format("parquet").option("path", f"{path}/data").option("checkpointLocation", f"{path}/checkpoint")
+    with state_settings(spark):
+        query = writer.outputMode("append").trigger(processingTime=trigger).start()
+    seen, last_rows, until = -1, None, time.time() + limit_s
+    try:
+        while query.isActive:
+            for p in query.recentProgress:
+                if p["batchId"] > seen:
+                    seen, at = p["batchId"], datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")).timestamp()
+                    if p["numInputRows"] or last_rows is None:
+                        last_rows = at + p["durationMs"].get("triggerExecution", 0) / 1000
+                    elif last_rows is not None and at > last_rows + width_ms / 1000:
+                        return spark.read.schema(stream.schema).parquet(f"{path}/data")
+            if time.time() > until:
+                raise TimeoutError(f"{name} did not come to its end")
+            time.sleep(0.2)
+    finally:
+        failed = query.exception()
+        query.stop()
+    raise failed or RuntimeError(f"{name} stopped")
+
+
 def each_batch(stream: DataFrame, path: str, step: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """foreachBatch with a checkpoint; ``step`` must give the same result when a batch id is repeated."""
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{path}/checkpoint")
