@@ -10,7 +10,9 @@ chg AS (
     epoch_ms(o_orderdate) + o_orderkey % 86400000 ts_ms FROM orders),
 od AS (
   SELECT o_orderkey order_id, o_custkey user_id, o_orderstatus status, cast(o_totalprice AS decimal(16,2)) amount, o_orderdate + to_seconds(o_orderkey % 86400) od_ts FROM orders),
-ln AS (SELECT order_id || '-' || n id, order_id, CASE WHEN n = 1 THEN amount ELSE cast(cast((cast(amount * 100 AS bigint) + 1) // 2 AS decimal(18,2)) / 100 AS decimal(16,2)) END split_amount, od_ts FROM od, (SELECT unnest([1, 2]) n)),
+ln AS (
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || cast(round(l_extendedprice * 100) AS bigint) id, l_orderkey order_id,
+    cast(l_extendedprice AS decimal(16,2)) split_amount, od_ts FROM lineitem JOIN od ON od.order_id = l_orderkey),
 plog AS (
   SELECT event_id, ts, 'mid_' || user_id mid, 'v2.' || (k % 4) vc, 'channel' || (k % 5) ch, cast(user_id % 25 AS varchar) ar, CASE WHEN event_type = 'signup' THEN '1' ELSE '0' END is_new,
     event_type page_id, CASE WHEN k % 2 = 0 THEN 'home' END last_page_id, cast(v * 1000 AS bigint) during_time, dt FROM ev),
@@ -64,13 +66,21 @@ UNION ALL SELECT '{"item":"' || k || '","page_id":"' || page_id || '","during_ti
         """SELECT event_id, CASE WHEN event_id % 10 = 0 THEN substr(props, 1, 4) ELSE props END AS value,
            CASE WHEN event_id % 10 <> 0 THEN cast(regexp_extract(props, '[0-9]+') AS bigint) END k, CASE WHEN event_id % 10 = 0 THEN 'dirty' ELSE 'clean' END topic FROM events"""),
     "stream_clean_kinds": st(
-        """WITH b AS (SELECT event_id e, user_id u, k % 10 s, strftime(ts, '%Y-%m-%d %H:%M:%S') t, k, v, event_type FROM ev WHERE k >= 10)
----
-SELECT 'visitor' kind, '{"visitor_id":"' || e || '","consumer_id":"' || u || '","shop_id":"' || s || '","behavior_time":"' || t || '","is_new_visitor":' || (k % 2) || '}' record FROM b WHERE event_type = 'view'
-UNION ALL SELECT 'cart', '{"addcart_id":"' || e || '","consumer_id":"' || u || '","shop_id":"' || s || '","addcart_time":"' || t || '","addcart_num":' || (k % 5) || '}' FROM b WHERE event_type = 'click'
-UNION ALL SELECT 'payment', '{"payment_id":"' || e || '","order_id":"' || e || '","consumer_id":"' || u || '","shop_id":"' || s || '","total_pay_amt":' || v || '}' FROM b WHERE event_type = 'purchase'
-UNION ALL SELECT 'membership', '{"membership_id":"' || e || '","consumer_id":"' || u || '","shop_id":"' || s || '","join_time":"' || t || '"}' FROM b WHERE event_type = 'signup'
-UNION ALL SELECT 'search', '{"search_id":"' || e || '","consumer_id":"' || u || '","shop_id":"' || s || '","search_keyword":"' || k || '","search_time":"' || t || '"}' FROM b WHERE event_type = 'error'"""),
+        """WITH b AS (SELECT event_id e, user_id u, k % 10 s, strftime(ts, '%Y-%m-%d %H:%M:%S') t, k, v, event_id % 12 n FROM ev WHERE k >= 10),
+            h AS (SELECT *, '","consumer_id":"' || u || '","shop_id":"' || s || '"' who FROM b)
+---
+SELECT 'visitor' kind, '{"visitor_id":"' || e || who || ',"behavior_time":"' || t || '","is_new_visitor":' || (k % 2) || '}' record FROM h WHERE n = 0
+UNION ALL SELECT 'cart', '{"addcart_id":"' || e || who || ',"addcart_time":"' || t || '","addcart_num":' || (k % 5) || '}' FROM h WHERE n = 1
+UNION ALL SELECT 'payment', '{"payment_id":"' || e || '","order_id":"' || e || who || ',"total_pay_amt":' || v || '}' FROM h WHERE n = 2
+UNION ALL SELECT 'membership', '{"membership_id":"' || e || who || ',"join_time":"' || t || '"}' FROM h WHERE n = 3
+UNION ALL SELECT 'search', '{"search_id":"' || e || who || ',"search_keyword":"' || k || '","search_time":"' || t || '"}' FROM h WHERE n = 4
+UNION ALL SELECT 'collect', '{"collect_id":"' || e || who || ',"collect_time":"' || t || '","is_cancel_collect":' || (k % 2) || '}' FROM h WHERE n = 5
+UNION ALL SELECT 'consult', '{"consult_id":"' || e || who || ',"consult_time":"' || t || '"}' FROM h WHERE n = 6
+UNION ALL SELECT 'broadcast', '{"broadcast_id":"' || e || '","broadcast_time":"' || t || '","shop_id":"' || s || '","consumer_id":"' || u || '","history_behavior_cnt":' || k || '}' FROM h WHERE n = 7
+UNION ALL SELECT 'shop', '{"shop_id":"' || s || '","merchant_id":"' || u || '","shop_name":"shop ' || e || '","is_direct_bus":' || (k % 2) || '}' FROM h WHERE n = 8
+UNION ALL SELECT 'goods', '{"goods_id":"' || e || '","shop_id":"' || s || '","goods_name":"goods ' || e || '","is_pre_sale":' || (k % 2) || '}' FROM h WHERE n = 9
+UNION ALL SELECT 'customer', '{"consumer_id":"' || u || '","register_time":"' || t || '","history_shop_cnt":' || k || '}' FROM h WHERE n = 10
+UNION ALL SELECT 'channel', '{"channel_code":"' || e || '","channel_name":"channel ' || u || '","channel_type":"' || k || '"}' FROM h WHERE n = 11"""),
     "stream_cart_daily_unique": st(
         f"""WITH f AS {firsts("''", "event_type = 'view'")}
 ---
@@ -101,15 +111,20 @@ SELECT event_id, mid, is_new, CASE WHEN is_new = '1' AND dt <> new_day THEN '0'
         """SELECT user_id, event_id FROM (SELECT user_id, event_id, epoch_us(ts) // 1000 + 5000 due, lead(epoch_us(ts) // 1000) OVER (PARTITION BY user_id ORDER BY ts, event_id) after FROM ev)
            WHERE due <= coalesce(after, (SELECT epoch_us(max(ts)) // 1000 FROM ev))"""),
     "stream_province_retract": st(
-        f"""WITH v AS (SELECT order_id, user_id, CASE WHEN status = 'P' THEN cast(cast((cast(amount * 100 AS bigint) + 1) // 2 AS decimal(18,2)) / 100 AS decimal(16,2)) ELSE amount END amount,
-              od_ts + CASE WHEN status = 'P' THEN interval 2 second ELSE interval 1 second END ts FROM od)
+        f"""WITH g AS (SELECT (epoch_us(max(o_orderdate)) - epoch_us(min(o_orderdate))) // 4 gap FROM orders),
+            h AS (SELECT od.*, make_timestamp(epoch_us(od_ts) + 2000000 + gap) again, cast(cast((cast(amount * 100 AS bigint) + 1) // 2 AS decimal(18,2)) / 100 AS decimal(16,2)) half FROM od, g),
+            v AS (SELECT user_id, amount, 1 n, od_ts + interval 1 second ts FROM h
+                  UNION ALL SELECT user_id, -amount, -1, again FROM h WHERE status = 'P' UNION ALL SELECT user_id, half, 1, again FROM h WHERE status = 'P')
 ---
-SELECT {bounds(10)}, cast(c_nationkey AS varchar) province_id, any_value(n_name) province_name, count(*) order_count, sum(amount) order_amount
+SELECT {bounds(10)}, cast(c_nationkey AS varchar) province_id, any_value(n_name) province_name, sum(n) order_count, sum(amount) order_amount
 FROM v JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey WHERE {closed(10, "(SELECT max(ts) FROM v)")} GROUP BY stt, edt, cur_date, c_nationkey""",
-        money="order_amount"),
+        money="order_amount", ints="order_count"),
     "stream_province_window": st(
-        f"""SELECT {bounds(10, 'od_ts')}, c_nationkey province_id, count(*) order_count, sum(amount) order_amount
-            FROM od JOIN customer ON c_custkey = user_id WHERE {closed(10, "(SELECT max(od_ts) FROM od)", 'od_ts')} GROUP BY ALL""", ints="province_id", money="order_amount"),
+        f"""WITH o AS (SELECT * FROM od WHERE order_id IN (SELECT l_orderkey FROM lineitem))
+---
+SELECT {bounds(10, 'od_ts')}, c_nationkey province_id, count(*) order_count, sum(amount) order_amount
+            FROM o JOIN customer ON c_custkey = user_id WHERE {closed(10, "(SELECT max(od_ts) FROM o)", 'od_ts')} GROUP BY ALL""", ints="province_id", money="order_amount"),
+    "stream_process_time": st("SELECT op, count(*) changes, count(*) stamped FROM chg GROUP BY op"),
     "stream_sku_window": st(
         f"""WITH l AS (SELECT l_shipdate ts, l_partkey sku_id, cast(l_extendedprice AS decimal(16,2)) amount FROM lineitem)
 ---

@@ -10,7 +10,17 @@ SEG = """(SELECT c_custkey id, c_acctbal balance, c_mktsegment || '-0' s0, c_mkt
 
 SQL = {
     "sink_append": sql("SELECT o_orderstatus status, 2 * count(*) n, count(DISTINCT o_orderkey) orders FROM orders GROUP BY o_orderstatus"),
-    "source_load_file": sql("SELECT n_nationkey, n_name, n_regionkey FROM nation", ints="n_nationkey n_regionkey"),
+    "source_load_file": sql("SELECT o_orderkey, o_custkey, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders"),
+    "source_preview": sql("SELECT o_orderkey, o_custkey, cast(o_totalprice AS decimal(16,2)) price FROM orders ORDER BY price DESC, o_orderkey LIMIT 100", money="price"),
+    "source_nullsafe_values": sql("SELECT event_type AS key, count(*) n, max(props) largest FROM events WHERE event_id % 7 <> 0 GROUP BY event_type"),
+    "keyword_function": sql(
+        "SELECT conv_id, word, count(*) n FROM (SELECT conv_id, unnest(regexp_split_to_array(text, '[^\\p{L}\\p{N}]+')) word FROM conversations) WHERE word <> '' GROUP BY conv_id, word"),
+    "event_user_bitmaps": sql(
+        f"SELECT event_type, d recent_days, count(DISTINCT user_id) user_count FROM ev, (SELECT unnest([1, 7, 30]) d) WHERE dt BETWEEN date '{E}' - cast(d - 1 AS int) AND date '{E}' GROUP BY event_type, d",
+        ints="recent_days"),
+    "province_td_corrected": sql(
+        f"""SELECT c_nationkey province_id, min(o_orderdate::date) first_day, max(o_orderdate::date) last_day, count(*) order_count, sum(cast(o_totalprice AS decimal(16,2))) order_amount
+            FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderdate::date <= date '{O}' GROUP BY c_nationkey""", days="first_day last_day", money="order_amount", ints="province_id"),
     "order_day_range": sql(
         """WITH r AS (SELECT unnest(range(min(o_orderdate)::date::timestamp, max(o_orderdate)::date::timestamp + interval 1 day, interval 1 day)) d FROM orders)
 ---
@@ -32,7 +42,8 @@ SELECT strftime(d, '%Y%m%d') ds, count(o_orderkey) orders FROM r LEFT JOIN order
 ---
 SELECT id, c_name[1] || '*' short_name, c_name[1] || repeat('*', length(c_name) - 1) starred_name, CASE WHEN phone <> 'n/a' THEN phone[1:3] || '****' || phone[8:] END phone,
  CASE WHEN mail <> 'nobody' THEN '*@' || split_part(mail, '@', 2) END mail, md5(phone) phone_hash,
- lpad(cast(cast('0x' || right(md5(cast(id AS varchar)), 3) AS bigint) % 128 AS varchar), 4, '0') bucket, 1 plain_mail, CASE WHEN id % 9 <> 0 AND id % 4 < 2 THEN mail END near_mail FROM u""",
+ lpad(cast(cast('0x' || right(md5(cast(id AS varchar)), 3) AS bigint) % 128 AS varchar), 4, '0') bucket,
+ CASE WHEN id % 50 = 0 THEN ['9001','9006','9003','9007','9005','9002','9004'][id % 7 + 1] ELSE lpad(cast(cast('0x' || right(md5('0x' || id), 3) AS bigint) % 128 AS varchar), 4, '0') END address_bucket, 1 plain_mail, CASE WHEN id % 9 <> 0 AND id % 4 < 2 THEN mail END near_mail FROM u""",
         ints="plain_mail"),
     "hex_to_decimal": sql(
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_orderkey * 100 + l_linenumber AS number, cast(l_orderkey * 100 + l_linenumber AS varchar) plain FROM lineitem""",

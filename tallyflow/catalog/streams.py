@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,31 +67,39 @@ def dirty_lines(w: StreamWarehouse) -> DataFrame:
 
 
 def clean_kinds(w: StreamWarehouse) -> DataFrame:
-    """Events as raw records of five kinds; the shop is missing from every record with k below 10."""
+    """Events as raw records of all twelve kinds; a required field is missing from every record with k below 10."""
     k, t = F.col("k"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     who, ident, shop = F.col("user_id").cast("string"), F.col("event_id").cast("string"), F.when(k >= 10, (k % 10).cast("string"))
+    named = {"consumer_id": who, "shop_id": shop}
     record = {
-        "view": ("visitor", F.struct(ident.alias("visitor_id"), who.alias("consumer_id"), shop.alias("shop_id"), t.alias("behavior_time"), (k % 2).cast("string").alias("is_new_visitor"), k.alias("extra"))),
-        "click": ("cart", F.struct(ident.alias("addcart_id"), who.alias("consumer_id"), shop.alias("shop_id"), t.alias("addcart_time"), (k % 5).alias("addcart_num"))),
-        "purchase": ("payment", F.struct(ident.alias("payment_id"), ident.alias("order_id"), who.alias("consumer_id"), shop.alias("shop_id"), F.col("value").alias("total_pay_amt"))),
-        "signup": ("membership", F.struct(ident.alias("membership_id"), who.alias("consumer_id"), shop.alias("shop_id"), t.alias("join_time"))),
-        "error": ("search", F.struct(ident.alias("search_id"), who.alias("consumer_id"), shop.alias("shop_id"), t.alias("search_time"), k.cast("string").alias("search_keyword"))),
+        "visitor": {"visitor_id": ident, **named, "behavior_time": t, "is_new_visitor": (k % 2).cast("string"), "extra": k},
+        "cart": {"addcart_id": ident, **named, "addcart_time": t, "addcart_num": k % 5},
+        "payment": {"payment_id": ident, "order_id": ident, **named, "total_pay_amt": F.col("value")},
+        "membership": {"membership_id": ident, **named, "join_time": t},
+        "search": {"search_id": ident, **named, "search_time": t, "search_keyword": k.cast("string")},
+        "collect": {"collect_id": ident, **named, "collect_time": t, "is_cancel_collect": k % 2},
+        "consult": {"consult_id": ident, **named, "consult_time": t, "is_replied": F.lit("no")},
+        "broadcast": {"broadcast_id": ident, "broadcast_time": t, **named, "history_behavior_cnt": k},
+        "shop": {"shop_id": shop, "merchant_id": who, "shop_name": F.concat(F.lit("shop "), ident), "is_direct_bus": k % 2},
+        "goods": {"goods_id": ident, "shop_id": shop, "goods_name": F.concat(F.lit("goods "), ident), "is_pre_sale": k % 2},
+        "customer": {"consumer_id": F.when(k >= 10, who), "register_time": t, "history_shop_cnt": k},
+        "channel": {"channel_code": F.when(k >= 10, ident), "channel_name": F.concat(F.lit("channel "), who), "channel_type": k},
     }
     kind, value = None, None
-    for event, (name, body) in record.items():
-        hit = F.col("event_type") == event
+    for n, (name, fields) in enumerate(record.items()):
+        hit, body = F.col("event_id") % len(record) == n, F.to_json(F.struct(*[c.alias(f) for f, c in fields.items()]))
         kind = F.when(hit, name) if kind is None else kind.when(hit, name)
-        value = F.when(hit, F.to_json(body)) if value is None else value.when(hit, F.to_json(body))
+        value = F.when(hit, body) if value is None else value.when(hit, body)
     return drain(logs.clean_all(w.events().select(kind.alias("kind"), value.alias("value"))), "clean", ["kind"])
 
 
 def cart_daily_unique(w: StreamWarehouse) -> DataFrame:
-    first = uniques.first_per_day(w.events("view"), "user_id")
+    first = uniques.first_per_day(w.events("view", FILES), "user_id")
     return drain(tumble(first, "ts", "5 seconds", [], [rows().alias("cart_add_uu_ct")]), "cart-uu")
 
 
 def home_detail(w: StreamWarehouse) -> DataFrame:
-    pages = w.page_log().where(F.col("page_id").isin("view", "click"))
+    pages = w.page_log(FILES).where(F.col("page_id").isin("view", "click"))
     first = uniques.first_per_day(pages, "mid", "page_id")
     count = lambda page: F.sum((F.col("kind") == page).cast("int"))
     return drain(tumble(first, "ts", "5 seconds", [], [count("view").alias("home_uv_ct"), count("click").alias("good_detail_uv_ct")]), "home-detail")
@@ -101,17 +111,17 @@ def traffic(w: StreamWarehouse) -> DataFrame:
     Only the first view of a visitor and day goes through state; views and stay time are plain window sums.
     """
     keys = ["vc", "ch", "ar", "is_new"]
-    first = uniques.first_per_day(w.page_log(), "mid", keep=keys, lateness="3 seconds")
+    first = uniques.first_per_day(w.page_log(FILES), "mid", keep=keys, lateness="3 seconds")
     zero = F.lit(0).cast("bigint")
     visitors = first.select("ts", *keys, F.lit(1).cast("bigint").alias("uv"), zero.alias("sv"), zero.alias("pv"), zero.alias("dur"))
-    log = w.page_log().withWatermark("ts", "3 seconds")
+    log = w.page_log(FILES).withWatermark("ts", "3 seconds")
     views = log.select("ts", *keys, zero.alias("uv"), F.col("last_page_id").isNull().cast("bigint").alias("sv"), F.lit(1).cast("bigint").alias("pv"), F.col("during_time").alias("dur"))
     sums = [F.sum("uv").alias("uv_ct"), F.sum("sv").alias("sv_ct"), F.sum("pv").alias("pv_ct"), F.sum("dur").alias("dur_sum")]
     return drain(tumble(visitors.union(views), "ts", "10 seconds", keys, sums), "traffic")
 
 
 def login_return(w: StreamWarehouse) -> DataFrame:
-    return drain(uniques.login_return(w.events("purchase"), "user_id").select("key", "day", "uu_ct", "back_ct"), "login")
+    return drain(uniques.login_return(w.events("purchase", FILES), "user_id").select("key", "day", "uu_ct", "back_ct"), "login")
 
 
 def fixed_new_flag(w: StreamWarehouse) -> DataFrame:
@@ -144,16 +154,21 @@ def hold_back(w: StreamWarehouse) -> DataFrame:
 
 
 def province_retract(w: StreamWarehouse) -> DataFrame:
-    """Orders, P orders in two versions: the second replaces the first. Order counts and amounts per province in 10 s windows."""
+    """Orders, P orders in two versions: the second replaces the first. Order counts and amounts per province in 10 s windows.
+
+    The second version comes a quarter of the whole time later, some micro-batches after the first, when the window of the first has
+    gone out: there the old amount is taken back and the new one added.
+    """
     home = w.raw("customer").select(F.col("c_custkey"), F.col("c_nationkey").cast("string").alias("province_id"))
-    versions = F.explode(F.when(F.col("status") == "P", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
-    rows_ = w.order_events().withColumn("v", versions)
-    rows_ = rows_.select(
-        F.col("order_id").cast("string").alias("id"), "user_id", F.when(F.col("v") == 1, F.col("amount")).otherwise((F.col("amount") / 2).cast("decimal(16,2)")).cast("double").alias("amount"),
-        F.expr("od_ts + make_dt_interval(0, 0, 0, v)").alias("ts"),
-    )
-    placed = enrich(rows_, home, "user_id", "c_custkey", ["province_id"])
-    kept = dedup.retract(placed.select("id", "province_id", "amount", "ts"), "id", "ts", ["amount"])
+    low, high = w.span("orders", "o_orderdate")
+    gap, placed_at, changed = (high - low) // 4, F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 86_400 * 1_000_000, F.col("o_orderstatus") == "P"
+    amount = money("o_totalprice")
+    version = lambda rows, value, after: rows.select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").alias("user_id"), value.cast("double").alias("amount"), F.timestamp_micros(placed_at + after).alias("ts"))
+    orders = w.raw("orders")
+    both = version(orders, amount, 1_000_000).unionByName(version(orders.where(changed), (amount / 2).cast("decimal(16,2)"), gap + 2_000_000))
+    stream = w.replay(both, F.unix_micros("ts"), FILES, (low, high + gap), "order-versions")
+    placed = enrich(stream, home, "user_id", "c_custkey", ["province_id"])
+    kept = dedup.retract(placed.select("id", "province_id", "amount", "ts"), "id", "ts", ["amount"], keep_ms=gap // 1000 + dedup.DAY_MS)
     count = F.sum(F.signum("amount")).cast("bigint")
     windows = tumble(kept, "ts", "10 seconds", ["province_id"], [count.alias("order_count"), F.sum(F.col("amount").cast("decimal(16,2)")).alias("order_amount")])
     names = w.raw("nation").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("province_name"))
@@ -163,10 +178,9 @@ def province_retract(w: StreamWarehouse) -> DataFrame:
 def province_window(w: StreamWarehouse) -> DataFrame:
     """Distinct orders per province and 10 s window, counted on order lines."""
     home = w.raw("customer").select("c_custkey", F.col("c_nationkey").alias("province_id"))
-    orders = enrich(w.order_events(), home, "user_id", "c_custkey", ["province_id"])
-    lines = orders.withColumn("line", F.explode(F.array(F.lit(1), F.lit(2))))
+    lines = enrich(w.order_lines(FILES), home, "od_user_id", "c_custkey", ["province_id"])
     out = tumble_distinct(
-        lines.withWatermark("od_ts", "0 seconds"), "od_ts", "10 seconds", ["province_id"], "order_id", [F.max("amount").alias("amount")],
+        lines.withWatermark("od_ts", "0 seconds"), "od_ts", "10 seconds", ["province_id"], "od_order_id", [F.max("od_amount").alias("amount")],
         [rows().alias("order_count"), F.sum("amount").alias("order_amount")],
     )
     return drain(out, "province-distinct")
@@ -207,9 +221,9 @@ def blocked_words(w: StreamWarehouse) -> DataFrame:
 
 def pay_interval(w: StreamWarehouse) -> DataFrame:
     """Payments joined to the order lines of the 30 minutes before to 5 s after, channel name looked up by hashed code."""
-    pays = w.later("F", F.col("order_id") % 60 * 60 - 5, "pi")
+    pays = w.later("F", F.col("order_id") % 60 * 60 - 5, "pi", FILES)
     pays = pays.withColumn("payment_type", F.md5((F.col("pi_order_id") % 4).cast("string")))
-    joined = joins.bounded(pays, w.order_lines(), {"pi_order_id": "od_order_id"}, "pi_ts", "od_ts", "30 minutes", "5 seconds")
+    joined = joins.bounded(pays, w.order_lines(FILES), {"pi_order_id": "od_order_id"}, "pi_ts", "od_ts", "30 minutes", "5 seconds")
     channels = w.raw("region").select(F.md5(F.col("r_regionkey").cast("string")).alias("code"), F.struct(F.col("r_name").alias("dic_name")).alias("info")).select("code", "info.dic_name")
     named = joins.lookup(joined, channels, "payment_type", "code", {"dic_name": "payment_type_name"})
     return drain(named.select(F.col("id").alias("order_detail_id"), F.col("pi_order_id").alias("order_id"), F.col("pi_user_id").alias("user_id"), "split_amount", "payment_type_name", F.col("pi_ts").alias("paid_at")), "pay")
@@ -227,8 +241,8 @@ def comment_interval(w: StreamWarehouse) -> DataFrame:
 
 def cancel_detail(w: StreamWarehouse) -> DataFrame:
     """Order lines joined to a cancel of the next 30 minutes and 5 seconds."""
-    cancels = w.later("P", F.col("order_id") % 40 * 60, "ca")
-    joined = joins.bounded(w.order_lines(), cancels, {"od_order_id": "ca_order_id"}, "od_ts", "ca_ts", "0 seconds", "1805 seconds", lateness="0 seconds")
+    cancels = w.later("P", F.col("order_id") % 40 * 60, "ca", FILES)
+    joined = joins.bounded(w.order_lines(FILES), cancels, {"od_order_id": "ca_order_id"}, "od_ts", "ca_ts", "0 seconds", "1805 seconds", lateness="0 seconds")
     return drain(joined.select("id", F.col("od_order_id").alias("order_id"), "split_amount", F.col("ca_ts").alias("cancel_time")), "cancel-detail")
 
 
@@ -255,7 +269,7 @@ def order_refund(w: StreamWarehouse) -> DataFrame:
 
 def login_window(w: StreamWarehouse) -> DataFrame:
     """Daily unique and returning logins in 10 s windows."""
-    days = uniques.login_return(w.events("purchase"), "user_id")
+    days = uniques.login_return(w.events("purchase", FILES), "user_id")
     sums = [F.sum("uu_ct").alias("uu_ct"), F.sum("back_ct").alias("back_ct")]
     return drain(tumble(days, "ts", "10 seconds", [], sums), "login-window")
 
@@ -265,10 +279,10 @@ def order_detail(w: StreamWarehouse, reach: str = "10 seconds") -> DataFrame:
 
     ``reach``: how long after the line its activity or coupon may come. State grows with it; what comes later is not joined.
     """
-    heads = w.later(None, F.lit(0), "oi")
-    acts = w.later("F", F.col("order_id") % 20, "ac").withColumn("activity_id", F.col("ac_order_id") % 5)
-    coupons = w.later("O", F.col("order_id") % 20, "cp").withColumn("coupon_id", F.col("cp_order_id") % 7)
-    one = joins.bounded(w.order_lines(), heads, {"od_order_id": "oi_order_id"}, "od_ts", "oi_ts", "10 seconds", "10 seconds").drop("oi_ts")
+    heads = w.later(None, F.lit(0), "oi", FILES)
+    acts = w.later("F", F.col("order_id") % 20, "ac", FILES).withColumn("activity_id", F.col("ac_order_id") % 5)
+    coupons = w.later("O", F.col("order_id") % 20, "cp", FILES).withColumn("coupon_id", F.col("cp_order_id") % 7)
+    one = joins.bounded(w.order_lines(FILES), heads, {"od_order_id": "oi_order_id"}, "od_ts", "oi_ts", "10 seconds", "10 seconds").drop("oi_ts")
     acts, coupons = acts.withWatermark("ac_ts", "5 seconds"), coupons.withWatermark("cp_ts", "5 seconds")
     two = one.join(acts, (F.col("od_order_id") == F.col("ac_order_id")) & F.expr(f"ac_ts >= od_ts and ac_ts <= od_ts + interval {reach}"), "left").drop("ac_ts")
     three = two.join(coupons, (F.col("od_order_id") == F.col("cp_order_id")) & F.expr(f"cp_ts >= od_ts and cp_ts <= od_ts + interval {reach}"), "left")
@@ -358,6 +372,13 @@ def bucketed_files(w: StreamWarehouse) -> DataFrame:
     return w.spark.read.schema("value string, day string").text(f"{path}/data")
 
 
+def stamped(w: StreamWarehouse) -> DataFrame:
+    """Changes per kind of operation, and how many of them carry a processing time of this run."""
+    began = F.lit(datetime.now(UTC)).cast("timestamp")
+    out = drain(cdc.stamp(w.order_changes()).select("op", "process_time"), "stamped")
+    return out.groupBy("op").agg(rows().alias("changes"), F.count_if(F.col("process_time") >= began).alias("stamped"))
+
+
 def tombstones(w: StreamWarehouse) -> DataFrame:
     """Change log as a topic of JSON values, deletes as empty payloads; parsed back to envelopes without the tombstones."""
     e = w.order_changes()
@@ -367,6 +388,7 @@ def tombstones(w: StreamWarehouse) -> DataFrame:
 
 QUERIES = {
     "stream_cdc_flatten": tombstones,
+    "stream_process_time": stamped,
     "stream_cdc_transition": cancel_transitions,
     "stream_cart_growth": cart_growth,
     "stream_cdc_payload": payload,

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from tallyflow.catalog.retail import RetailWarehouse
 from tallyflow.functions import clean
 from tallyflow.functions.times import day, day_range, epoch_any, iso_text
-from tallyflow.operators import history
+from tallyflow.functions import udtf
+from tallyflow.operators import deltas, history
 from tallyflow.operators.dims import attribute_sets
+from tallyflow.operators.distinct import bitmap_horizons, daily_bitmaps
 from tallyflow.operators.ranking import best_row, rank_whole
 from tallyflow.operators.rangejoin import link_points
+from tallyflow.operators.todate import rebuild
 from tallyflow.operators.upsert import merge_latest
 from tallyflow.plans.retail_facts import page_view
 from tallyflow.plans.retail_reports import order_by_province
-from tallyflow.session import scratch_path
+from tallyflow.session import materialise, scratch_path
 from tallyflow.sources import readers, sinks
 from tallyflow.sources.standins import EVENTS_AS_OF, ORDERS_AS_OF, money
 
@@ -63,9 +66,11 @@ def history_by_lag(w: TableWarehouse) -> DataFrame:
 
 def mask_and_hash(w: TableWarehouse) -> DataFrame:
     u = w.user_info
+    hot = sorted(clean.HOT_ADDRESS_BUCKETS)
+    address = F.when(F.col("id") % 50 == 0, F.upper(F.element_at(F.array(*[F.lit(a) for a in hot]), (F.col("id") % len(hot) + 1).cast("int")))).otherwise(F.concat(F.lit("0x"), F.col("id").cast("string")))
     return u.select(
         "id", clean.mask_name("name").alias("short_name"), clean.mask_name_full("name").alias("starred_name"), clean.mask_phone("phone_num").alias("phone"), clean.mask_email("email").alias("mail"),
-        clean.hash_sensitive("phone_num").alias("phone_hash"), clean.hash_bucket("id", 128).alias("bucket"), clean.has_only("email", r"^[A-Za-z0-9_@.]+$").alias("plain_mail"),
+        clean.hash_sensitive("phone_num").alias("phone_hash"), clean.hash_bucket("id", 128).alias("bucket"), clean.hash_bucket(address, 128, clean.HOT_ADDRESS_BUCKETS).alias("address_bucket"), clean.has_only("email", r"^[A-Za-z0-9_@.]+$").alias("plain_mail"),
         clean.match_or_null("email", "@mail[01]").alias("near_mail"),
     )
 
@@ -187,10 +192,63 @@ def appended_orders(w: TableWarehouse) -> DataFrame:
 
 
 def loaded_file(w: TableWarehouse) -> DataFrame:
-    """Nations as tab-separated text, loaded into a table."""
+    """Orders as tab-separated text, loaded into a table."""
     path = scratch_path(w.spark, "load-file")
-    w.raw("nation").select("n_nationkey", "n_name", "n_regionkey").write.option("sep", "\t").csv(f"{path}/text")
-    return readers.load_file(w.spark, f"{path}/text", "n_nationkey int, n_name string, n_regionkey int", f"{path}/table")
+    w.raw("orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")).write.option("sep", "\t").csv(f"{path}/text")
+    return readers.load_file(w.spark, f"{path}/text", "o_orderkey bigint, o_custkey bigint, o_orderpriority string, day string", f"{path}/table")
+
+
+def preview(w: TableWarehouse) -> DataFrame:
+    """The hundred dearest orders, as a first look at a table in order."""
+    orders = w.raw("orders").select("o_orderkey", "o_custkey", money("o_totalprice").alias("price"))
+    return readers.first_rows(orders.orderBy(F.desc("price"), "o_orderkey"), 100)
+
+
+def keyed_records(w: TableWarehouse) -> DataFrame:
+    """Key-value records with tombstones in between: what is left is counted per key."""
+    records = w.raw("events").select(
+        F.col("event_type").cast("binary").alias("key"), F.when(F.col("event_id") % 7 != 0, F.col("props").cast("binary")).alias("value"), F.col("ts").alias("timestamp")
+    )
+    return readers.values(records).groupBy("key").agg(F.count("*").alias("n"), F.max("value").alias("largest"))
+
+
+def keyword_function(w: TableWarehouse) -> DataFrame:
+    """Words of conversations by the SQL table function, counted per conversation."""
+    udtf.register(w.spark)
+    w.raw("conversations").createOrReplaceTempView("keyword_source")
+    return w.spark.sql("SELECT id AS conv_id, word, count(*) AS n FROM keyword_udtf(TABLE(SELECT conv_id AS id, text FROM keyword_source)) GROUP BY id, word")
+
+
+def user_bitmaps(w: TableWarehouse) -> DataFrame:
+    """Distinct users per kind of event for 1, 7 and 30 days, from stored daily bitmaps."""
+    daily = materialise(daily_bitmaps(w.events, ["event_type"], "user_id"), "daily-bitmaps")
+    return bitmap_horizons(daily, EVENTS_AS_OF, ["event_type"], "user_count")
+
+
+def corrected_to_date(w: TableWarehouse) -> DataFrame:
+    """Order totals to date per province, loaded once and then corrected by signed changes.
+
+    The first load lacks some orders, has others at a wrong amount, and some customers in a wrong province; the corrections restate
+    the provinces they touch.
+    """
+    key, cust = F.col("order_id"), F.col("user_id")
+    orders = w.raw("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.to_date("o_orderdate").alias("dt"), money("o_totalprice").alias("order_amount"))
+    wrong = orders.where(key % 20 == 5).withColumn("order_amount", money(F.col("order_amount") + 1))
+    homes = w.raw("customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("province_id"))
+    moved = homes.where(cust % 30 == 4).withColumn("province_id", F.lit(0).cast(homes.schema["province_id"].dataType))
+    loaded = orders.where(~(key % 20).isin(3, 5)).unionByName(wrong)
+    placed = homes.where(cust % 30 != 4).unionByName(moved)
+    day_keys, keys, sums = ["province_id", "dt"], ["province_id"], ["order_count", "order_amount"]
+    held = loaded.join(placed, "user_id").groupBy(*day_keys).agg(F.count(F.lit(1)).alias("order_count"), F.sum("order_amount").alias("order_amount"))
+    daily = materialise(held, "daily-totals")
+    to_date = materialise(rebuild(daily, keys, sums, "first_day", "last_day", ORDERS_AS_OF), "to-date")
+
+    new_orders = deltas.signed(orders.where((key % 20).isin(3, 5)), wrong)
+    new_homes = deltas.signed(homes.where(cust % 30 == 4), moved)
+    changes = deltas.joined_changes(loaded, new_orders, placed, new_homes, ["user_id"])
+    delta = materialise(deltas.summed_changes(changes, day_keys, ["order_amount"], "order_count"), "delta")
+    now = deltas.applied(daily, delta, day_keys, ["order_amount"], "order_count")
+    return deltas.restated(to_date, now, delta, keys, sums, "first_day", "last_day", ORDERS_AS_OF)
 
 
 def days_of_orders(w: TableWarehouse) -> DataFrame:
@@ -204,6 +262,11 @@ def days_of_orders(w: TableWarehouse) -> DataFrame:
 QUERIES = {
     "sink_append": appended_orders,
     "source_load_file": loaded_file,
+    "source_preview": preview,
+    "source_nullsafe_values": keyed_records,
+    "keyword_function": keyword_function,
+    "event_user_bitmaps": user_bitmaps,
+    "province_td_corrected": corrected_to_date,
     "order_day_range": days_of_orders,
     "scd2_rank": history_by_rank,
     "scd2_compare": history_by_compare,

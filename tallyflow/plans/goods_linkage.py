@@ -12,6 +12,7 @@ from tallyflow.functions.ratios import ratio
 from tallyflow.functions.times import day, days_before, within
 from tallyflow.operators.dims import enrich
 from tallyflow.operators.history import history_init
+from tallyflow.operators.distinct import horizon_profile
 from tallyflow.operators.horizons import HORIZONS, explode_horizons
 from tallyflow.operators.ranking import best_row, percent_rank_whole, rank_whole, top_rows
 from tallyflow.session import materialise
@@ -140,11 +141,12 @@ def user_core(users: DataFrame) -> DataFrame:
 
 
 def user_behavior(log: DataFrame, as_of: str, days: Sequence[int] = HORIZONS) -> DataFrame:
-    return explode_horizons(log, as_of, days).groupBy("recent_days", "user_id").agg(
-        times("view").alias("view_count"), times("favor").alias("favor_count"), times("cart").alias("cart_count"),
-        ratio(F.sum("stay_duration"), rows()).alias("avg_stay_duration"),
-        F.countDistinct("goods_id").alias("distinct_goods_count"), F.countDistinct("session_id").alias("distinct_session_count"),
-    )
+    is_kind = lambda kind: (F.col("behavior_type") == kind).cast("bigint")
+    sums = {"view_count": is_kind("view"), "favor_count": is_kind("favor"), "cart_count": is_kind("cart"), "stay": F.col("stay_duration"), "n": F.lit(1)}
+    out = horizon_profile(log, as_of, ["user_id"], sums, {"distinct_goods_count": "goods_id", "distinct_session_count": "session_id"}, days)
+    return out.select(
+        "recent_days", "user_id", "view_count", "favor_count", "cart_count", ratio("stay", "n").alias("avg_stay_duration"), "distinct_goods_count", "distinct_session_count"
+    )
 
 
 def _paid_lines(lines: DataFrame, trade: DataFrame) -> DataFrame:

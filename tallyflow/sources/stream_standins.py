@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyflow.session import scratch_path
-from tallyflow.sources.standins import Tables, money
+from tallyflow.sources.standins import Tables, detail_id, money
 from tallyflow.streaming.run import file_stream
 
 
@@ -117,15 +117,17 @@ class Streams(Tables):
             F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("status"), money("o_totalprice").alias("amount"), at.alias("od_ts")
         )
 
-    def order_lines(self) -> DataFrame:
-        """Two lines per order, at the time of the order."""
-        n = F.explode(F.array(F.lit(1), F.lit(2)))
-        lines = self.order_events().withColumn("n", n)
-        return lines.select(F.concat_ws("-", text(F.col("order_id")), text(F.col("n"))).alias("id"), F.col("order_id").alias("od_order_id"), (F.col("amount") / F.col("n")).cast("decimal(16,2)").alias("split_amount"), "od_ts")
+    def order_lines(self, files: int = 8) -> DataFrame:
+        """Every line of every order as an event at the time of the order, replayed in slices of the order day."""
+        at = F.timestamp_millis(F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 86_400 * 1000)
+        placed = self.raw("orders").select("o_orderkey", "o_orderdate", F.col("o_custkey").alias("od_user_id"), money("o_totalprice").alias("od_amount"), at.alias("od_ts"))
+        lines = self.raw("lineitem").join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        made = lines.select(detail_id().alias("id"), F.col("l_orderkey").alias("od_order_id"), "od_user_id", "od_amount", money("l_extendedprice").alias("split_amount"), "od_ts", "o_orderdate")
+        return self.replay(made, F.unix_micros(F.col("o_orderdate").cast("timestamp")), files, self.span("orders", "o_orderdate"), "order-lines").drop("o_orderdate")
 
-    def later(self, status: str | None, seconds: Column, prefix: str) -> DataFrame:
+    def later(self, status: str | None, seconds: Column, prefix: str, files: int | None = None) -> DataFrame:
         """Follow-up events of orders (payments, cancels, refunds, comments), some seconds after the order."""
-        rows = self.order_events()
+        rows = self.order_events(files)
         rows = rows if status is None else rows.where(F.col("status") == status)
         at = F.timestamp_millis(F.unix_millis("od_ts") + seconds * 1000)
         return rows.select(F.col("order_id").alias(f"{prefix}_order_id"), F.col("user_id").alias(f"{prefix}_user_id"), at.alias(f"{prefix}_ts"))
