@@ -26,10 +26,10 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -39,19 +39,20 @@ from tallyflow.llm.wordcache import WordCache
 
 B_BITS = 24
 B_MASK = (1 << B_BITS) - 1
-BLOCK_CHARS = 6_000_000
-CACHED = 200_000
+BLOCK_CHARS = 2_000_000
+CACHED = 300_000
 
-_ODD = re.compile(r"[^\S \n]| [ \n]|\n |^ | $")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-
-DOC, BLOCK, PAIR, SAME = 0, 1, 2, 3
-_FIELDS = {
-    "kind": pa.int32(), "block": pa.int64(), "doc_id": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups_sha256": pa.string(),
-    "units": pa.binary(), "same": pa.binary(), "same_ends": pa.binary(), "pairs": pa.binary(), "pair_ends": pa.binary(), "key": pa.int64(), "n": pa.int64(),
-}
-_SCHEMA = pa.schema(list(_FIELDS.items()))
-PARTS = ", ".join(f"{k} {({pa.int32(): 'int', pa.int64(): 'long', pa.string(): 'string', pa.binary(): 'binary'})[t]}" for k, t in _FIELDS.items())
+#: Every white-space character but space and line feed.
+_OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+_ASCII_SPACE = [c for c in _OTHER_SPACE if c.isascii()]
+
+BLOCK, PAIR, SAME = 0, 1, 2
+_LISTS = ["units", "same", "n_same", "pairs", "n_pairs"]
+_SCHEMA = pa.schema(
+    [("kind", pa.int32()), ("block", pa.int64()), ("docs", pa.binary()), *[(c, pa.binary()) for c in _LISTS], ("key", pa.int64()), ("n", pa.int64())]
+)
+PARTS = f"kind int, block long, docs binary, {', '.join(f'{c} binary' for c in _LISTS)}, key long, n long"
 RESULT = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
@@ -59,7 +60,10 @@ def units(text: str) -> list[str]:
     """The text cut at lone spaces between two characters that are no white space."""
     if not text:
         return []
-    return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+    odd = "  " in text or text[0] == " " or text[-1] == " " or " \n" in text or "\n " in text
+    if odd or any([c in text for c in (_ASCII_SPACE if text.isascii() else _OTHER_SPACE)]):
+        return _CUT.split(text)
+    return text.split(" ")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -91,76 +95,80 @@ class Aligner:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.b_path, self.pieces = b_path, model(b_path)
-        self.cutting, self.plain = Tokenizer.from_file(a_path), Tokenizer.from_file(a_path)
-        for t in (self.cutting, self.plain):
-            t.no_padding()
-            t.no_truncation()
-        self.plain.encode_special_tokens = True
-        self.special = next(((i, x.content) for i, x in sorted(self.cutting.get_added_tokens_decoder().items()) if x.special), None)
-        letters, vocabulary = byte_alphabet(), self.cutting.get_vocab(with_added_tokens=True)
+        self.b_path, self.pieces, self.tokenizer = b_path, model(b_path), Tokenizer.from_file(a_path)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.special = next(((i, x.content) for i, x in sorted(self.tokenizer.get_added_tokens_decoder().items()) if x.special), None)
+        letters, vocabulary = byte_alphabet(), self.tokenizer.get_vocab(with_added_tokens=True)
         entries = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             entries[i] = bytes([letters[c] for c in token]) if all(c in letters for c in token) else token.encode()
         self.a = Side(entries, ",", "|")
         self.b = Side(list(self.pieces.out), ",", ";")
         self.same = identity(self.a.entries, self.b.entries, self.pieces.byte_id)
-        self.cache = WordCache(self.values, CACHED)
-
-    def a_ids(self, parts: list[str]) -> list[np.ndarray]:
-        """Ids of each unit behind a space; many units go through the library at once, a special token between them."""
-        out: list[np.ndarray | None] = [None] * len(parts)
-        marker = self.special[1] if self.special else None
-        quick = [k for k, p in enumerate(parts) if marker and "<" not in p and len(p) < 1000]
-        for at in range(0, len(quick), 4000):
-            some = quick[at : at + 4000]
-            ids = np.array(self.cutting.encode_batch_fast([marker.join([" " + parts[k] for k in some])], add_special_tokens=False)[0].ids, np.int64)
-            for k, x in zip(some, np.split(ids, np.flatnonzero(ids == self.special[0])), strict=True):
-                out[k] = x[1:] if k != some[0] else x
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, e in zip(rest, self.plain.encode_batch_fast([" " + parts[k] for k in rest], add_special_tokens=False), strict=True):
-            out[k] = np.array(e.ids, np.int64)
-        return out
 
-    def b_ids(self, parts: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(parts)
-        words = [k for k, p in enumerate(parts) if " " not in p and MARK not in p]
-        for k, x in zip(words, self.pieces.encode_words([MARK + parts[k] for k in words]), strict=True):
-            out[k] = np.frombuffer(x, self.pieces.dtype).astype(np.int64)
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, x in zip(rest, encode_batch([parts[k] for k in rest], self.b_path, 20_000), strict=True):
-            out[k] = x.astype(np.int64)
-        return out
+    def a_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units, each behind a space, and how many each has: a special token between units is cut out before anything else."""
+        self.tokenizer.encode_special_tokens = False
+        number, marker = self.special
+        flat, counts = [], []
+        for at in range(0, len(parts), 4000):
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + (marker + " ").join(parts[at : at + 4000])], add_special_tokens=False)[0].ids, np.int64)
+            between = ids == number
+            edge = np.concatenate([[-1], np.flatnonzero(between), [len(ids)]])
+            flat.append(ids[~between])
+            counts.append(np.diff(edge) - 1)
+        return np.concatenate(flat), np.concatenate(counts)
 
     def values(self, parts: list[str]) -> list[tuple | None]:
         """For each unit: groups as text, identity links (A ids), other links (pair keys), n_a, n_b, n_groups; None where bytes differ."""
-        a, b, raw = self.a_ids(parts), self.b_ids(parts), [(" " + p).encode() for p in parts]
         out: list[tuple | None] = [None] * len(parts)
-        fits = []
-        for k, (x, y, r) in enumerate(zip(a, b, raw, strict=True)):
-            if int(self.a.size[x].sum()) == len(r) == int(self.b.size[y].sum()):
-                fits.append(k)
-        if not fits:
-            return out
-        text = np.frombuffer(b"".join([raw[k] for k in fits]), np.uint8)
-        flat_a, flat_b = np.concatenate([a[k] for k in fits]), np.concatenate([b[k] for k in fits])
-        unit_end = np.cumsum([len(raw[k]) for k in fits])
-        wrong = (self.a.bytes_of(flat_a) != text) | (self.b.bytes_of(flat_b) != text)
-        bad = np.add.reduceat(wrong, np.concatenate([[0], unit_end[:-1]]), dtype=np.int64) > 0
-        groups, same, pairs, counts = self.align(flat_a, flat_b, unit_end)
-        for j, k in enumerate(fits):
-            if not bad[j]:
-                out[k] = (groups[j], same[j], pairs[j], len(a[k]), len(b[k]), counts[j])
+        plain = [k for k, p in enumerate(parts) if self.special and "<" not in p and " " not in p and MARK not in p and len(p) < 1000]
+        for at in range(0, len(plain), 50_000):
+            some = plain[at : at + 50_000]
+            words = [parts[k] for k in some]
+            pieces = self.pieces.encode_words([MARK + w for w in words])
+            width = self.pieces.dtype.itemsize
+            b = np.frombuffer(b"".join(pieces), self.pieces.dtype).astype(np.int64), np.fromiter(map(len, pieces), np.int64, len(pieces)) // width
+            self._fill(out, some, words, self.a_ids(words), b)
+        rest = sorted(set(range(len(parts))).difference(plain))
+        if rest:
+            self.tokenizer.encode_special_tokens = True
+            words = [parts[k] for k in rest]
+            a = [e.ids for e in self.tokenizer.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+            b = list(encode_batch(words, self.b_path, 20_000))
+            flat = lambda x: (np.concatenate([np.asarray(i, np.int64) for i in x]), np.array([len(i) for i in x], np.int64))
+            self._fill(out, rest, words, flat(a), flat(b))
         return out
 
+    def _fill(self, out: list[tuple | None], at: list[int], words: list[str], a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> None:
+        """Values of units from their flat ids; units that either side does not reproduce are left None."""
+        raw = [(" " + w).encode() for w in words]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        (flat_a, n_a), (flat_b, n_b) = a, b
+        held = lambda side, flat, n: between(side.size[flat], np.cumsum(n) - n, np.cumsum(n))
+        good = (held(self.a, flat_a, n_a) == size) & (held(self.b, flat_b, n_b) == size)
+        text = np.frombuffer(b"".join([r for r, ok in zip(raw, good.tolist(), strict=True) if ok]), np.uint8)
+        flat_a, flat_b, at = flat_a[np.repeat(good, n_a)], flat_b[np.repeat(good, n_b)], [k for k, ok in zip(at, good.tolist(), strict=True) if ok]
+        if not at:
+            return
+        size, n_a, n_b = size[good], n_a[good], n_b[good]
+        end = np.cumsum(size)
+        wrong = between((self.a.bytes_of(flat_a) != text) | (self.b.bytes_of(flat_b) != text), end - size, end)
+        groups, same, pairs, counts = self.align(flat_a, flat_b, end)
+        for k, bad, *value in zip(at, wrong.tolist(), groups, same, pairs, n_a.tolist(), n_b.tolist(), counts, strict=True):
+            if not bad:
+                out[k] = tuple(value)
+
     def align(self, flat_a: np.ndarray, flat_b: np.ndarray, unit_end: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes], list[int]]:
         """Groups and links of units that lie side by side; every unit's end is the end of a token on both sides."""
         end_a, end_b = np.cumsum(self.a.size[flat_a]), np.cumsum(self.b.size[flat_b])
-        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
-        group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        common = end_b[np.searchsorted(end_b, end_a)] == end_a
+        cuts = end_a[common]
+        group_a, group_b = np.cumsum(common) - common, np.searchsorted(cuts, end_b)
         n_a, n_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
         # one elementary interval for each pair of overlapping tokens
-        ends = np.union1d(end_a, end_b)
+        ends = np.sort(np.concatenate([end_a[~common], end_b]), kind="stable")
         link_a, link_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
         x, y, group = flat_a[link_a], flat_b[link_b], group_a[link_a]
         one = (n_a[group] == 1) & (n_b[group] == 1) & (self.same[x] == y)
@@ -183,37 +191,37 @@ class Aligner:
             np.diff(groups_end, prepend=0).tolist(),
         )
 
-    def block(self, ids: list[int | None], texts: list[str], number: int) -> Iterator[pa.RecordBatch]:
+    def block(self, ids: list[int | None], texts: list[str], number: int, cache: WordCache) -> Iterator[pa.RecordBatch]:
         """Rows of one block: its documents, its units, its distinct pairs, and its vector of identity links."""
         cut = [units(t) for t in texts]
-        known = self.cache.fill(set().union(*cut))
-        cut = [u if all([known[w] is not None for w in u]) else [] for u in cut]
-        place: dict[str, int] = {}
-        at = np.array([place.setdefault(w, len(place)) for u in cut for w in u], np.int64)
-        often = np.bincount(at, minlength=len(place))
-        by = np.argsort(-often, kind="stable")  # frequent units get small numbers
-        rank = np.empty(len(by), np.int64)
+        distinct_units = list(set().union(*cut))
+        known = cache.fill(set(distinct_units))
+        value = [known[w] for w in distinct_units]
+        place = dict(zip(distinct_units, range(len(distinct_units)), strict=True))
+        row_size = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), np.int64, int(row_size.sum()))
+        del cut, place, known, distinct_units
+        # a document with a unit that is not reproduced has no units
+        bad = np.fromiter((v is None for v in value), bool, len(value))
+        lost = between(bad[at], np.cumsum(row_size) - row_size, np.cumsum(row_size)) > 0
+        at, row_size = at[np.repeat(~lost, row_size)], np.where(lost, 0, row_size)
+        often = np.bincount(at, minlength=len(value))
+        by = np.argsort(-often, kind="stable")[: np.count_nonzero(often)]  # frequent units get small numbers
+        rank = np.zeros(len(value), np.int64)
         rank[by] = np.arange(len(by))
-        words = list(place)
-        value = [known[words[k]] for k in by.tolist()]
-        at, often = rank[at], often[by]
-        dtype = np.dtype("<u2" if len(value) <= 1 << 16 else "<u4")
-        row_end = np.cumsum([len(u) for u in cut])
-        row_start = np.concatenate([[0], row_end[:-1]]) if len(row_end) else row_end
+        value, at, often = [value[k] for k in by.tolist()], rank[at], often[by]
+        row_end = np.cumsum(row_size)
+        row_start = row_end - row_size
+        texts_of = [v[0] for v in value]
         same, pairs = (np.frombuffer(b"".join([v[c] for v in value]), t).astype(np.int64) for c, t in ((1, "<u4"), (2, "<i8")))
         n_same, n_pairs = (np.array([len(v[c]) // w for v in value], np.int64) for c, w in ((1, 4), (2, 8)))
         sums = lambda per_unit: between(np.asarray(per_unit, np.int64)[at], row_start, row_end)
-        digests = [hashlib.sha256(b"".join([known[w][0] for w in u])[:-1]).hexdigest() if u else "" for u in cut]
-        n, raw = len(ids), at.astype(dtype).tobytes()
-        yield _rows(
-            kind=np.full(n, DOC), block=np.full(n, number), doc_id=ids, n_a=sums([v[3] for v in value]), n_b=sums([v[4] for v in value]), n_groups=sums([v[5] for v in value]),
-            n_links=sums(n_same + n_pairs), groups_sha256=digests, units=[raw[s * dtype.itemsize : e * dtype.itemsize] for s, e in zip(row_start.tolist(), row_end.tolist(), strict=True)],
-        )
+        docs = {"doc_id": pa.array(ids, pa.int64()), "size": pa.array(row_size)}
+        docs |= {c: pa.array(sums(per_unit)) for c, per_unit in (("n_a", [v[3] for v in value]), ("n_b", [v[4] for v in value]), ("n_groups", [v[5] for v in value]), ("n_links", n_same + n_pairs))}
+        digest = lambda s, e: hashlib.sha256(b"".join(map(texts_of.__getitem__, at[s:e].tolist()))[:-1]).digest() if e > s else None
+        docs["groups"] = pa.array([digest(s, e) for s, e in zip(row_start.tolist(), row_end.tolist(), strict=True)], pa.binary())
         distinct, where = np.unique(pairs, return_inverse=True)
-        yield _rows(
-            kind=[BLOCK], block=[number], units=[dtype.str.encode()], same=[same.astype("<u4").tobytes()], same_ends=[np.cumsum(n_same).astype("<u4").tobytes()],
-            pairs=[where.astype("<u4").tobytes()], pair_ends=[np.cumsum(n_pairs).astype("<u4").tobytes()],
-        )
+        yield _rows(kind=[BLOCK], block=[number], docs=[_written(pa.table(docs))], **{c: [squeezed(x)] for c, x in zip(_LISTS, (at, same, n_same, where, n_pairs), strict=True)})
         if len(distinct):
             times = np.bincount(where, np.repeat(often, n_pairs), len(distinct)).astype(np.int64)
             yield _rows(kind=np.full(len(distinct), PAIR), block=np.full(len(distinct), number), key=distinct, n=times)
@@ -223,6 +231,28 @@ class Aligner:
             yield _rows(kind=np.full(len(used), SAME), block=np.full(len(used), number), key=(used << B_BITS) | self.same[used], n=vector[used])
 
 
+def squeezed(x: np.ndarray) -> bytes:
+    """Whole numbers below 2^32, first bytes first, compressed: frequent small numbers leave long runs of zeros."""
+    import zstandard
+
+    planes = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1, write_content_size=True).compress(planes.tobytes())
+
+
+def unsqueezed(raw: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+def _written(table: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
 def between(x: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Sums of the runs ``x[start:end]``, which may be empty."""
     total = np.concatenate([[0], np.cumsum(x)])
@@ -252,7 +282,7 @@ def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_
     counts = written(pair_counts(parts), "pair-counts")
     same_total, best = _vectors(counts, aligner(a_path, b_path))
     known = parts.where(F.col("kind") == PAIR).select(F.col("block").alias("in_block"), "key").join(counts, "key")
-    own = parts.where(F.col("kind") <= BLOCK).select("kind", "block", "units", "same", "same_ends", "pairs", "pair_ends", *[c for c in RESULT if c not in ("n_best", "count_sum")])
+    own = parts.where(F.col("kind") == BLOCK).select("block", "docs", *_LISTS)
     same = aligner(a_path, b_path).same
 
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
@@ -263,6 +293,7 @@ def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_
 
 def _blocks(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
     one, number = aligner(a_path, b_path), TaskContext.get().partitionId() << 32
+    cache = WordCache(one.values, CACHED)  # it goes with the task: idle workers hold no words
     ids, texts, size = [], [], 0
     for b in batches:
         for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
@@ -270,10 +301,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iter
             texts.append(t)
             size += len(t)
             if size >= BLOCK_CHARS:
-                yield from one.block(ids, texts, number)
+                yield from one.block(ids, texts, number, cache)
                 ids, texts, size, number = [], [], 0, number + 1
     if ids:
-        yield from one.block(ids, texts, number)
+        yield from one.block(ids, texts, number, cache)
 
 
 def pair_counts(parts: DataFrame) -> DataFrame:
@@ -295,19 +326,18 @@ def _vectors(counts: DataFrame, one: Aligner) -> tuple[np.ndarray, np.ndarray]:
 
 def _scored(rows: pa.Table, found: pa.Table, same_total: np.ndarray, best: np.ndarray, same: np.ndarray) -> pa.Table:
     """Sums per unit of a block, then per document."""
-    docs, block = rows.filter(pc.equal(rows.column("kind"), DOC)), rows.filter(pc.equal(rows.column("kind"), BLOCK)).to_pylist()[0]
-    dtype, u4 = np.dtype(block["units"].decode()), lambda c: np.frombuffer(block[c], "<u4").astype(np.int64)
+    block = rows.to_pylist()[0]
+    docs = pa.ipc.open_stream(block["docs"]).read_all()
     key = found.column("key").to_numpy()
     by = np.argsort(key)
     count = found.column("count").to_numpy()[by]
     is_best = (count == best[key[by] & B_MASK]).astype(np.int64)
-    start = lambda e: np.concatenate([[0], e[:-1]]) if len(e) else e
-    same_id, same_end, pair, pair_end = u4("same"), u4("same_ends"), u4("pairs"), u4("pair_ends")
-    per_unit = lambda x, y: between(x, start(same_end), same_end) + between(y, start(pair_end), pair_end)
+    flat, same_id, n_same, pair, n_pairs = (unsqueezed(block[c]) for c in _LISTS)
+    same_end, pair_end, size = np.cumsum(n_same), np.cumsum(n_pairs), docs.column("size").to_numpy()
+    per_unit = lambda x, y: between(x, same_end - n_same, same_end) + between(y, pair_end - n_pairs, pair_end)
     sums = per_unit(same_total[same_id], count[pair])
     bests = per_unit((same_total[same_id] == best[same[same_id]]).astype(np.int64), is_best[pair])
-    raw = docs.column("units").to_pylist()
-    flat = np.frombuffer(b"".join(raw), dtype)
-    end = np.cumsum([len(x) // dtype.itemsize for x in raw])
-    new = {"n_best": between(bests[flat], start(end), end), "count_sum": between(sums[flat], start(end), end)}
-    return pa.table({c: pa.array(new[c], pa.int64()) if c in new else docs.column(c) for c in RESULT})
+    end = np.cumsum(size)
+    new = {c: pa.array(between(x[flat], end - size, end)) for c, x in (("n_best", bests), ("count_sum", sums))}
+    new["groups_sha256"] = pa.array([g.hex() if g else "" for g in docs.column("groups").to_pylist()], pa.string())
+    return pa.table({c: new[c] if c in new else docs.column(c) for c in RESULT})
