@@ -12,6 +12,7 @@ from tallyflow.plans import parcel_facts as facts
 from tallyflow.plans import parcel_reports as reports
 from tallyflow.plans import parcel_summaries as sums
 from tallyflow.operators.align import align_join
+from tallyflow.session import materialise
 from tallyflow.sources.parcel_standins import Parcel
 from tallyflow.sources.standins import ORDERS_AS_OF as AS_OF
 
@@ -20,9 +21,15 @@ CARGO_KEYS = ["org_id", "org_name", "city_id", "city_name", "cargo_type", "cargo
 
 
 class ParcelWarehouse(Parcel):
+    """Layers over the source tables. Region and depot dimensions are stored once: every report looks them up several times."""
+
+    @cached_property
+    def region_info(self) -> DataFrame:
+        return materialise(Parcel.region_info.func(self), "regions")
+
     @cached_property
     def organs(self) -> DataFrame:
-        return dims.organs(self.organ_base, self.region_info)
+        return materialise(dims.organs(self.organ_base, self.region_info), "organs")
 
     @cached_property
     def shifts(self) -> DataFrame:
@@ -35,8 +42,10 @@ class ParcelWarehouse(Parcel):
     def event(self, name: str) -> DataFrame:
         return facts.waybill_event(self.cargo, self.waybill, self.dictionary, facts.EVENTS[name])
 
-    def orders(self, name: str) -> DataFrame:
-        return facts.event_orders(self.cargo, self.waybill, facts.EVENTS[name])
+    def orders(self, name: str, recent: bool = False) -> DataFrame:
+        """Orders of an event; ``recent`` reads only what the last 30 days can need."""
+        made = facts.loaded_for(self.waybill, AS_OF, 30) if recent else self.waybill
+        return facts.event_orders(self.cargo, made, facts.EVENTS[name])
 
     @cached_property
     def trips(self) -> DataFrame:
@@ -60,7 +69,11 @@ class ParcelWarehouse(Parcel):
 
     @cached_property
     def dispatch_nd(self) -> DataFrame:
-        return sums.recent(self.dispatch_1d, AS_OF, [], ["order_count", "order_amount"])
+        return sums.recent(self.dispatch_recent, AS_OF, [], ["order_count", "order_amount"])
+
+    @cached_property
+    def dispatch_recent(self) -> DataFrame:
+        return sums.order_count_amount(self.orders("dispatch", True))
 
     @cached_property
     def finish_1d(self) -> DataFrame:
@@ -69,17 +82,29 @@ class ParcelWarehouse(Parcel):
     @cached_property
     def receive(self) -> tuple[DataFrame, DataFrame]:
         daily = sums.station_orders_1d(self.orders("receive"), self.organs, self.region_info, True)
-        return daily, sums.recent(daily, AS_OF, sums.DEPOT, ["order_count", "order_amount"])
+        return daily, sums.recent(self.receive_recent, AS_OF, sums.DEPOT, ["order_count", "order_amount"])
+
+    @cached_property
+    def receive_recent(self) -> DataFrame:
+        return sums.station_orders_1d(self.orders("receive", True), self.organs, self.region_info, True)
+
+    @cached_property
+    def deliver_recent(self) -> DataFrame:
+        return sums.station_orders_1d(self.orders("deliver", True), self.organs, self.region_info, False)
 
     @cached_property
     def deliver(self) -> tuple[DataFrame, DataFrame]:
         daily = sums.station_orders_1d(self.orders("deliver"), self.organs, self.region_info, False)
-        return daily, sums.recent(daily, AS_OF, sums.DEPOT, ["order_count"])
+        return daily, sums.recent(self.deliver_recent, AS_OF, sums.DEPOT, ["order_count"])
 
     @cached_property
     def sort(self) -> tuple[DataFrame, DataFrame]:
         daily = sums.org_sort_1d(self.sorts, self.organs, self.region_info)
-        return daily, sums.recent(daily, AS_OF, sums.DEPOT, ["sort_count"])
+        return daily, sums.recent(self.sort_recent, AS_OF, sums.DEPOT, ["sort_count"])
+
+    @cached_property
+    def sort_recent(self) -> DataFrame:
+        return sums.org_sort_1d(facts.bound(facts.loaded_for(self.org_bound, AS_OF, 30), "sort"), self.organs, self.region_info)
 
     @cached_property
     def trip_1d(self) -> DataFrame:
@@ -90,7 +115,7 @@ class ParcelWarehouse(Parcel):
         return sums.shift_trips_nd(self.trips, self.organs, self.region_info, self.shifts, self.trucks, AS_OF)
 
     def express(self, keys: list[str], how: str = "union") -> DataFrame:
-        return reports.express(self.receive, self.deliver, self.sort, keys, AS_OF, how)
+        return reports.express(self.receive_recent, self.deliver_recent, self.sort_recent, keys, AS_OF, how)
 
 
 def _placed(w: ParcelWarehouse) -> tuple[DataFrame, DataFrame]:
@@ -162,6 +187,6 @@ QUERIES = {
     "parcel_order_stats": lambda w: reports.cargo_orders(w.cargo_1d, w.cargo_nd, [], AS_OF),
     "parcel_order_cargo_type_stats": lambda w: reports.cargo_orders(w.cargo_1d, w.cargo_nd, ["cargo_type", "cargo_type_name"], AS_OF),
     "parcel_trip_stats": lambda w: reports.trips_overall(w.trip_1d, w.shift_nd, AS_OF),
-    "parcel_receive_dispatch_stats": lambda w: reports.receive_and_dispatch(w.receive, (w.dispatch_1d, w.dispatch_nd), AS_OF),
+    "parcel_receive_dispatch_stats": lambda w: reports.receive_and_dispatch(w.receive_recent, w.dispatch_recent, AS_OF),
     "parcel_open_balance_td": lambda w: reports.open_balance(sums.to_date(w.dispatch_1d, AS_OF), sums.to_date(w.finish_1d, AS_OF), AS_OF),
 }

@@ -42,6 +42,11 @@ class RetailWarehouse(Retail):
     def views(self) -> DataFrame:
         return facts.page_view(self.z_log)
 
+    def recent_views(self, as_of: str, days: int) -> DataFrame:
+        """Page views of the last days: the log's own day, with a day on either side for zones, prunes before a line is parsed."""
+        log = self.z_log.where(F.col("dt").between(F.date_sub(F.lit(as_of).cast("date"), days), F.date_add(F.lit(as_of).cast("date"), 1)))
+        return facts.page_view(log)
+
     @cached_property
     def logins(self) -> DataFrame:
         return facts.user_login(self.views)
@@ -149,11 +154,11 @@ QUERIES = {
     "order_stats_by_cate": lambda w: reports.order_stats_by(w.user_sku_1d, reports.CATEGORY, ORDERS_AS_OF),
     "order_stats_by_tm": lambda w: reports.order_stats_by(w.user_sku_1d, ["tm_id", "tm_name"], ORDERS_AS_OF),
     "order_to_pay_interval_avg": lambda w: reports.order_to_pay_interval_avg(w.flow(ORDERS_AS_OF), ORDERS_AS_OF),
-    "page_path_edges": lambda w: reports.page_path(w.views, EVENTS_AS_OF, days=30),
+    "page_path_edges": lambda w: reports.page_path(w.recent_views(EVENTS_AS_OF, 30), EVENTS_AS_OF, days=30),
     "repeat_purchase_by_tm": lambda w: reports.repeat_purchase_by_tm(w.user_sku_nd, ORDERS_AS_OF),
     "sku_cart_num_top3_by_cate": lambda w: reports.sku_cart_num_top3_by_cate(facts.cart_snapshot(w.cart_info), w.sku, EVENTS_AS_OF, days=30),
     "sku_favor_count_top3_by_tm": lambda w: reports.sku_favor_count_top3_by_tm(w.favor_1d, EVENTS_AS_OF),
-    "traffic_by_channel": lambda w: reports.traffic_by_channel(sums.session_1d(w.views), EVENTS_AS_OF),
+    "traffic_by_channel": lambda w: reports.traffic_by_channel(sums.session_1d(w.recent_views(EVENTS_AS_OF, 30)), EVENTS_AS_OF),
     "user_action_funnel": lambda w: reports.user_action(
         sums.page_visitor_1d(w.views), w.shopping_days("view"), w.shopping_days("purchase"),
         w.events.where("event_type = 'purchase' and value >= 20").groupBy("user_id", "dt").count(), EVENTS_AS_OF, "view", "click"),

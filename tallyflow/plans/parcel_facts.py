@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.functions.clean import hash_sensitive, mask_name
-from tallyflow.functions.times import OPEN_END, day, from_epoch_ms, iso_text
+from tallyflow.functions.times import OPEN_END, day, days_before, from_epoch_ms, iso_text
 from tallyflow.operators.dims import dictionary_roles, enrich
 from tallyflow.operators.history import event_from_open
 
@@ -64,10 +64,19 @@ def _names(orders: DataFrame) -> DataFrame:
 def waybill_event(cargo: DataFrame, orders: DataFrame, dictionary: DataFrame, event: Event) -> DataFrame:
     """Cargo lines of the orders in the event's states, with masked names and four dictionary names."""
     picked = _names(event.rows(orders)).withColumnRenamed("id", "order_id").withColumn(event.time, iso_text(event.source))
-    lines = cargo.join(picked.drop("create_time", "update_time", "is_deleted"), "order_id")
+    lines = cargo.join(picked.drop("create_time", "update_time", "is_deleted", "ds"), "order_id")
     return dictionary_roles(lines, dictionary, ROLES).withColumn("dt", F.to_date(event.time))
 
 
+#: Days from the load of a waybill to its last change, at most.
+LIFE_DAYS = 5
+
+
+def loaded_for(orders: DataFrame, as_of: str, days: int) -> DataFrame:
+    """Waybills that can have an event in the ``days`` days up to ``as_of``, by their load day, which prunes the scan."""
+    return orders.where(F.col("ds").between(days_before(as_of, days - 1 + LIFE_DAYS), day(as_of)))
+
+
 def event_orders(cargo: DataFrame, orders: DataFrame, event: Event) -> DataFrame:
     """One row per order with cargo: what the summaries count."""
     picked = event.rows(orders).select(
@@ -83,7 +92,7 @@ def order_process(cargo: DataFrame, orders: DataFrame, dictionary: DataFrame) ->
     dated = live.withColumn("start_date", F.to_date(iso_text("create_time"))).withColumn(
         "end_date", F.when(closed, F.to_date(iso_text("update_time"))).otherwise(day(OPEN_END))
     )
-    lines = cargo.join(dated.drop("create_time", "update_time", "is_deleted"), "order_id")
+    lines = cargo.join(dated.drop("create_time", "update_time", "is_deleted", "ds"), "order_id")
     return dictionary_roles(lines, dictionary, ROLES).withColumn("dt", F.col("end_date"))
 
 

@@ -11,6 +11,7 @@ from tallyflow.functions.ratios import ratio
 from tallyflow.functions.times import day
 from tallyflow.operators.align import align_join, align_union, signed_balance
 from tallyflow.operators.dims import enrich, region_chain
+from tallyflow.operators.horizons import explode_horizons
 from tallyflow.plans.parcel_summaries import TRIP
 
 
@@ -34,6 +35,15 @@ def horizons(daily: DataFrame, nd: DataFrame, as_of: str, keys: Sequence[str], m
     return every.join(summed, "recent_days", "left")
 
 
+def recent_rows(daily: DataFrame, as_of: str, keys: Sequence[str], measures: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """Sums of the daily layer for 1, 7 and 30 days in one pass; a report without keys has a row for every horizon."""
+    summed = explode_horizons(daily, as_of).groupBy("recent_days", *keys).agg(*[F.sum(m).alias(n) for m, n in zip(measures, names or measures)])
+    if keys:
+        return summed
+    every = daily.sparkSession.range(1).select(F.explode(F.array(F.lit(1), F.lit(7), F.lit(30))).alias("recent_days"))
+    return every.join(summed, "recent_days", "left")
+
+
 def trip_means(df: DataFrame) -> DataFrame:
     return df.withColumn("avg_trans_finish_distance", ratio(TRIP[1], TRIP[0], None)).withColumn("avg_trans_finish_dur_sec", ratio(TRIP[2], TRIP[0], None))
 
@@ -55,12 +65,12 @@ def orders_and_trips(order_1d: DataFrame, order_nd: DataFrame, trip_1d: DataFram
     return dated(align([orders, trips], ["recent_days", *keys]), as_of)
 
 
-def express(receive: tuple[DataFrame, DataFrame], deliver: tuple[DataFrame, DataFrame], sort: tuple[DataFrame, DataFrame], keys: Sequence[str], as_of: str, how: str = "union") -> DataFrame:
+def express(receive: DataFrame, deliver: DataFrame, sort: DataFrame, keys: Sequence[str], as_of: str, how: str = "union") -> DataFrame:
     """Received, delivered and sorted parcels side by side per city, depot, province or overall."""
     parts = [
-        horizons(*receive, as_of, keys, ["order_count", "order_amount"], ["receive_order_count", "receive_order_amount"]),
-        horizons(*deliver, as_of, keys, ["order_count"], ["deliver_suc_count"]),
-        horizons(*sort, as_of, keys, ["sort_count"]),
+        recent_rows(receive, as_of, keys, ["order_count", "order_amount"], ["receive_order_count", "receive_order_amount"]),
+        recent_rows(deliver, as_of, keys, ["order_count"], ["deliver_suc_count"]),
+        recent_rows(sort, as_of, keys, ["sort_count"]),
     ]
     align = align_union if how == "union" else align_join
     return dated(align(parts, ["recent_days", *keys]), as_of)
@@ -95,10 +105,10 @@ def trips_overall(trip_1d: DataFrame, shift_nd: DataFrame, as_of: str) -> DataFr
     return dated(horizons(trip_1d, shift_nd, as_of, [], TRIP), as_of)
 
 
-def receive_and_dispatch(receive: tuple[DataFrame, DataFrame], dispatch: tuple[DataFrame, DataFrame], as_of: str) -> DataFrame:
+def receive_and_dispatch(receive: DataFrame, dispatch: DataFrame, as_of: str) -> DataFrame:
     parts = [
-        horizons(*receive, as_of, [], ["order_count", "order_amount"], ["receive_order_count", "receive_order_amount"]),
-        horizons(*dispatch, as_of, [], ["order_count", "order_amount"], ["dispatch_order_count", "dispatch_order_amount"]),
+        recent_rows(receive, as_of, [], ["order_count", "order_amount"], ["receive_order_count", "receive_order_amount"]),
+        recent_rows(dispatch, as_of, [], ["order_count", "order_amount"], ["dispatch_order_count", "dispatch_order_amount"]),
     ]
     return dated(align_union(parts, ["recent_days"]), as_of)
 

@@ -95,6 +95,7 @@ class Parcel(Tables):
                 (key % 1000).alias("distance"),
                 iso(made).alias("create_time"),
                 iso(changed).alias("update_time"),
+                F.to_date("o_orderdate").alias("ds"),
                 F.when(key % 50 == 0, "1").otherwise("0").alias("is_deleted"),
             )
         )
@@ -122,6 +123,7 @@ class Parcel(Tables):
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
             F.col("l_orderkey").alias("order_id"),
             place.alias("org_id"),
+            F.to_date("l_shipdate").alias("ds"),
             at.alias("inbound_time"),
             F.col("l_suppkey").alias("inbound_emp_id"),
             F.when(line % 3 != 0, at + hours(F.lit(2))).alias("sort_time"),

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from tallyflow.functions import clean
 from tallyflow.functions.ratios import percent, rate
 from tallyflow.functions.times import day, day_range, epoch_any
-from tallyflow.operators import history, todate
+from tallyflow.operators import deltas, history, todate
 from tallyflow.operators.align import align_join, align_union
+from tallyflow.operators.distinct import bitmap_horizons, daily_bitmaps, horizon_profile
 from tallyflow.operators.horizons import explode_horizons, horizon_rows, horizon_sums
 from tallyflow.operators.ordered import consecutive_by_islands, consecutive_by_lead, consecutive_by_mask, number_and_next
 from tallyflow.operators.ranking import percent_rank_whole, rank_whole, top_with_ties
-from tallyflow.operators.rangejoin import link_points
+from tallyflow.operators.rangejoin import crowded_slices, link_points
 
 
 def tuples(df, *cols):
@@ -67,6 +68,50 @@ def test_link_points_equals_theta_join_across_slices(spark):
     assert sorted((r.j, r.i) for r in link_points(a, b, ["u"], "at", "s", "e").collect()) == want
 
 
+def test_link_points_of_a_crowded_hour(spark):
+    """A key with most rows in one hour, many of them at one moment, and a few elsewhere."""
+    rng, start = random.Random(3), datetime(2024, 1, 1)
+    at = lambda s: start + timedelta(seconds=s)
+    points = [("hot", k, at(rng.choice((600, 601.5, rng.uniform(0, 3599))))) for k in range(3000)] + [("cold", k, at(rng.uniform(0, 9000))) for k in range(200)]
+    points += points[:5]
+    spans = [(u, k, at(s), at(s + rng.uniform(0, d))) for k, (u, s, d) in enumerate([("hot", rng.uniform(-100, 3600), 400) for _ in range(60)] + [("cold", rng.uniform(0, 9000), 9000) for _ in range(40)] + [("hot", 600, 0)])]
+    p, i = spark.createDataFrame(points, "u string, j int, at timestamp"), spark.createDataFrame(spans, "u string, i int, s timestamp, e timestamp")
+    want = sorted((j, i_) for u, j, t in points for v, i_, s, e in spans if u == v and s <= t <= e)
+    for most in (50, 100_000):
+        assert sorted((r.j, r.i) for r in link_points(p, i, ["u"], "at", "s", "e", most=most).collect()) == want
+    sliced = p.withColumn("_slice", F.date_trunc("HOUR", "at")).withColumn("_us", F.unix_micros("at"))
+    [cuts] = crowded_slices(sliced, ["u", "_slice"], 500).collect()
+    assert cuts.u == "hot" and len(cuts["_cuts"]) > 50 and max(cuts["_copies"]) >= 2
+
+
+def test_distincts_of_nested_horizons(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(("a", "a", "a", "b", None)), rng.choice((None, *range(40))), rng.choice("xyz"), rng.randint(1, 9), date(2024, 1, rng.randint(1, 31))) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v int, w string, n int, dt date")
+    as_of = "2024-01-20"
+    got = horizon_profile(df, as_of, ["k"], {"n": F.col("n")}, {"vs": "v", "ws": "w"}, (1, 3, 7, 15))
+    want = explode_horizons(df, as_of, (1, 3, 7, 15)).groupBy("recent_days", "k").agg(F.sum("n").alias("n"), F.countDistinct("v").alias("vs"), F.countDistinct("w").alias("ws"))
+    cols = ["recent_days", "k", "n", "vs", "ws"]
+    assert tuples(got, *cols) == tuples(want, *cols)
+    numbers = df.withColumn("v", F.col("v") * 5000)
+    bits = bitmap_horizons(daily_bitmaps(numbers, ["k"], "v"), as_of, ["k"], "vs", (1, 3, 7, 15))
+    assert tuples(bits, "recent_days", "k", "vs") == tuples(want.where("vs > 0"), "recent_days", "k", "vs")
+
+
+def test_signed_changes_equal_a_rebuild(spark):
+    rng = random.Random(6)
+    a = [(rng.randint(0, 30), rng.randint(1, 5), rng.randint(1, 100)) for _ in range(400)]
+    b = [(k, rng.randint(0, 3)) for k in range(31)]
+    new_a = [r for r in a if rng.random() > 0.1] + [(rng.randint(0, 30), 3, 7) for _ in range(20)] + a[:3]
+    new_b = [(k, v if k % 7 else 3) for k, v in b]
+    frame = lambda rows, s: spark.createDataFrame(rows, s)
+    left, left2 = frame(a, "k int, d int, n int"), frame(new_a, "k int, d int, n int")
+    right, right2 = frame(b, "k int, g int"), frame(new_b, "k int, g int")
+    total = lambda x, y: x.join(y, "k").groupBy("g", "d").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+    delta = deltas.summed_changes(deltas.joined_changes(left, deltas.changes_between(left, left2), right, deltas.changes_between(right, right2), ["k"]), ["g", "d"], ["n"], "c")
+    assert tuples(deltas.applied(total(left, right), delta, ["g", "d"], ["n"], "c"), "g", "d", "c", "n") == tuples(total(left2, right2), "g", "d", "c", "n")
+
+
 def test_three_consecutive_day_forms_agree(spark):
     rng = random.Random(5)
     as_of = date(2024, 1, 7)

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tallyflow.streaming import dedup, joins, logs, moderation, uniques
+from tallyflow.streaming import dedup, joins, logs, lookups, moderation, uniques
 from tallyflow.streaming.run import file_stream, start_files
 from tallyflow.streaming.windows import tumble, tumble_distinct
 
@@ -275,4 +275,70 @@ def test_keyword_function_in_sql(spark):
     from tallyflow.functions.udtf import register
 
     register(spark)
-    assert sorted(r.word for r in spark.sql("select word from values ('red, green  red') t(x), lateral keyword_udtf(x)").collect()) == ["green", "red", "red"]
+    got = spark.sql("select id, word from keyword_udtf(table(select * from values (1, 'red, green  red'), (2, null), (3, ''), (4, 'été!x') t(id, text)))").collect()
+    assert sorted(map(tuple, got)) == [(1, "green"), (1, "red"), (1, "red"), (4, "x"), (4, "été")]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_lookup_takes_the_version_of_the_time(spark, folder, files):
+    """Versions change between and inside batches; facts before the first version get the default."""
+    facts = [(n, f"k{n % 3}", at(0, 10 * n), n / 4) for n in range(60)] + [(99, None, at(0, 5), None), (100, "end", at(0, 9000), 1.0)]
+    versions = [("k0", "a", at(0, 0)), ("k0", "b", at(0, 200)), ("k0", "c", at(0, 395)), ("k1", "z", at(0, 300)), ("k2", None, at(0, 100)), ("k2", "y", at(0, 50))]
+
+    def replay(rows, schema, name, when):
+        f = Feed(spark, f"{folder}/{name}", schema)
+        for k in range(files):
+            part = [r for r in rows if min(int(when(r) / 600 * files), files - 1) == k]
+            f.add(*part)
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/{name}/in")
+
+    since = lambda t: (t - START).total_seconds()
+    left = replay(facts, "n int, k string, ts timestamp, x double", "facts", lambda r: since(r[2]))
+    right = replay(versions, "code string, name string, ts timestamp", "versions", lambda r: since(r[2]))
+    out = lookups.lookup_as_of(left, right, "k", "code", ["name"], "ts", "ts", "N/A", buckets=2, salts=2)
+    start_files(out, f"{folder}/out").awaitTermination()
+    got = {r.n: (r.name, r.x, r.ts) for r in spark.read.schema(out.schema).parquet(f"{folder}/out/data").collect()}
+
+    def name(k, t):
+        known = [(v[2], v[1]) for v in versions if v[0] == k and v[2] <= t]
+        return (max(known)[1] if known else None) or "N/A"
+
+    assert {n: v[0] for n, v in got.items()} == {n: name(k, t) for n, k, t, _ in facts if n != 100}
+    assert got[7][1:] == (1.75, at(0, 70)) and got[99][1] is None
+
+
+def test_rules_fill_back_and_drop(spark, folder):
+    """A rule that arrives after the changes it counts for, one that ends, and one that starts again."""
+    from tallyflow.streaming import cdc, dimsync
+
+    change = lambda i, ms, op="c": (op, {"id": str(i)} if op == "d" else None, {"id": str(i), "name": f"n{ms}"} if op != "d" else None, {"table": "shop"}, ms)
+    changes, rules = Feed(spark, f"{folder}/c", cdc.ENVELOPE), Feed(spark, f"{folder}/r", dimsync.RULES)
+    rule = lambda op, sink, ms, back=False: (op, "shop", sink, "id", "id,name", ms, back)
+    changes.add(change(1, 10), change(2, 11))
+    rules.add(rule("c", "first", 0))
+    changes.add(change(1, 20), change(3, 21))
+    rules.add(rule("c", "all", 20, True), rule("c", "late", 15))
+    changes.add(change(4, 30), change(2, 31, "d"))
+    rules.add(rule("d", "first", 30))
+    changes.add(change(5, 40), change(1, 41))
+    rules.add(rule("c", "first", 40))
+    read = lambda f: spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 1).parquet(f"{f.folder}/in")
+    dimsync.sync_with_rules(read(changes), read(rules), f"{folder}/dim").awaitTermination()
+    got = {(r.sink_table, r["info"]["id"], r["info"]["name"]) for r in dimsync.current_under_rules(spark, f"{folder}/dim").collect()}
+    assert got == {
+        ("all", "1", "n41"), ("all", "3", "n21"), ("all", "4", "n30"), ("all", "5", "n40"),
+        ("late", "1", "n41"), ("late", "3", "n21"), ("late", "4", "n30"), ("late", "5", "n40"), ("first", "5", "n40"), ("first", "1", "n41"),
+    }
+
+
+def test_windows_of_the_clock_lose_nothing(feed):
+    from tallyflow.streaming.run import run_clock
+    from tallyflow.streaming.windows import tumble_clock
+
+    f = feed("k string, n int")
+    for b in range(3):
+        f.add(*[("a" if i % 3 else None, i) for i in range(50)])
+    stream = f.spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 1).parquet(f"{f.folder}/in")
+    out = run_clock(tumble_clock(stream, 1000, ["k"], ["n"]), "clock-test", 1000).collect()
+    assert {k: sum(r.n for r in out if r.k == k) for k in ("a", None)} == {k: 3 * sum(i for i in range(50) if bool(i % 3) == (k == "a")) for k in ("a", None)}
+    assert all(r.stt < r.edt for r in out)
