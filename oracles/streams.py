@@ -214,3 +214,12 @@ SQL["stream_rule_changes"] = st(
 ---
 SELECT sink sink_table, md5(key) row_key, CASE WHEN sink <> 'dim_shop_info' THEN cast(k AS varchar) END id, CASE WHEN sink = 'dim_shop_info' THEN cast(u AS varchar) END user_id,
  CASE WHEN sink = 'dim_order_info' THEN st END order_status, CASE WHEN sink <> 'dim_order_info' THEN amt END total_amount FROM newest WHERE rn = 1""")
+
+SQL["stream_rolled_files"] = SQL["stream_bucketed_files"]
+SQL["stream_state_after_timers"] = st(
+    """SELECT user_id, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) rn FROM ev)
+       WHERE rn = 1 AND epoch_us(ts) // 1000 + 5000 > (SELECT epoch_us(max(ts)) // 1000 FROM ev)""", seconds="ts")
+# a mark goes when the watermark is a day past the end of its day
+SQL["stream_state_after_restart"] = st(
+    """SELECT DISTINCT cast(user_id AS varchar) user_id, strftime(dt, '%Y-%m-%d') AS day FROM ev
+       WHERE epoch_ms(dt::timestamp) + 2 * 86400000 > (SELECT epoch_us(max(ts)) // 1000 FROM ev)""")

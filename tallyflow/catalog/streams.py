@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from tallyflow.operators.dims import dictionary_roles, enrich
 from tallyflow.session import scratch_path
-from tallyflow.sources import sinks
+from tallyflow.sources import rolled, sinks
 from tallyflow.sources.readers import json_table
 from tallyflow.sources.standins import Retail, money
 from tallyflow.sources.stream_standins import Streams
-from tallyflow.streaming import cdc, dedup, dimsync, joins, logs, lookups, moderation, uniques
+from tallyflow.streaming import cdc, dedup, dimsync, inspect, joins, logs, lookups, moderation, uniques
 from tallyflow.streaming.run import drain, run_clock, start_files
 from tallyflow.streaming.windows import tumble, tumble_clock, tumble_distinct
 
@@ -379,6 +379,37 @@ def stamped(w: StreamWarehouse) -> DataFrame:
     return out.groupBy("op").agg(rows().alias("changes"), F.count_if(F.col("process_time") >= began).alias("stamped"))
 
 
+def rolled_files(w: StreamWarehouse) -> DataFrame:
+    """The lines of the day folders through the rolling sink, in eight batches and files of at most 64 KB: lines per day."""
+    ms = F.unix_millis("ts").cast("string")
+    at = F.when(F.col("k") % 3 == 0, ms).when(F.col("k") % 3 == 1, F.substring(ms, 1, 10)).otherwise("soon")
+    lines = w.events(files=FILES).select(F.to_json(F.struct("event_id", at.alias("at"))).alias("value"))
+    path = scratch_path(w.spark, "rolled")
+    rolled.write_rolled(sinks.bucketed_text(lines, "at"), path, 64 << 10).awaitTermination()
+    return rolled.read_rolled(w.spark, path)
+
+
+def held_after_timers(w: StreamWarehouse) -> DataFrame:
+    """Users whose last event is still held back when the stream has ended, and that event's time, read from the state itself."""
+    held = dedup.hold_back(w.events(files=FILES).select("user_id", "event_id", "ts"), "user_id", "ts", 5000)
+    path = scratch_path(w.spark, "held")
+    start_files(held, path).awaitTermination()
+    return inspect.held_keys(w.spark, path, "held").select("key.user_id", "value.event_id", "value.ts")
+
+
+def held_after_restart(w: StreamWarehouse) -> DataFrame:
+    """Marks of first visits that are still kept after the stream was stopped half-way and started again: users and days."""
+    spark, path, log = w.spark, scratch_path(w.spark, "restart"), w.raw("events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    low, high = w.span("events", "ts")
+    half = F.unix_micros("ts") < (low + high) // 2
+    for part in (half, ~half):
+        log.where(part).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(log.schema).parquet(f"{path}/in")
+        start_files(uniques.first_per_day(stream, "user_id"), path).awaitTermination()
+    marks = inspect.held_keys(spark, path, "seen").select(F.col("key.key").alias("user_id"), F.explode("value.marks").alias("mark"))
+    return marks.select("user_id", F.substring("mark", 1, 10).alias("day"))
+
+
 def tombstones(w: StreamWarehouse) -> DataFrame:
     """Change log as a topic of JSON values, deletes as empty payloads; parsed back to envelopes without the tombstones."""
     e = w.order_changes()
@@ -425,4 +456,7 @@ QUERIES = {
     "stream_upsert_latest": upsert_latest,
     "stream_olap_json": olap_json,
     "stream_bucketed_files": bucketed_files,
+    "stream_rolled_files": rolled_files,
+    "stream_state_after_timers": held_after_timers,
+    "stream_state_after_restart": held_after_restart,
 }

@@ -42,16 +42,18 @@ class FirstPerDay(StatefulProcessor):
         held = set(state[0]) if state else set()
         fresh = [m for m in first if m not in held]
         if fresh:
-            self.seen.update((sorted(held.union(fresh)),))
-            self.handle.registerTimer(max(self.end_ms(m) for m in fresh))
+            marks = sorted(held.union(fresh))
+            self.seen.update((marks,))
+            self.handle.registerTimer(min(self.end_ms(m) for m in marks))
         for mark in fresh:
             yield first[mark]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         state = self.seen.get()
-        live = [m for m in state[0] if self.end_ms(m) > expiredTimerInfo.getExpiryTimeInMs()] if state else []
+        live = [m for m in state[0] if self.end_ms(m) > timerValues.getCurrentWatermarkInMs()] if state else []
         if live:
             self.seen.update((live,))
+            self.handle.registerTimer(min(self.end_ms(m) for m in live))
         else:
             self.seen.clear()
         return iter(())

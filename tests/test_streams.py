@@ -342,3 +342,33 @@ def test_windows_of_the_clock_lose_nothing(feed):
     out = run_clock(tumble_clock(stream, 1000, ["k"], ["n"]), "clock-test", 1000).collect()
     assert {k: sum(r.n for r in out if r.k == k) for k in ("a", None)} == {k: 3 * sum(i for i in range(50) if bool(i % 3) == (k == "a")) for k in ("a", None)}
     assert all(r.stt < r.edt for r in out)
+
+
+def test_rolled_files_are_bounded_and_count_once(spark, folder):
+    """A batch that failed in the middle is written again; every line is there once, in files of bounded size."""
+    import os
+
+    from tallyflow.sources import rolled
+
+    f = Feed(spark, folder, "value string, day string")
+    for b in range(3):
+        f.add(*[(f"{b}-{i}" + "x" * (i % 50), f"d{i % 2}") for i in range(300)])
+    stream = lambda: spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    broken = F.udf(lambda v: 1 / 0 if v.startswith("2-299") and not os.path.exists(f"{folder}/go") else v)
+    build = lambda: stream().select(broken("value").alias("value"), "day")
+    with pytest.raises(Exception):
+        rolled.write_rolled(build(), f"{folder}/t", 2000).awaitTermination()
+    assert rolled.read_rolled(spark, f"{folder}/t").count() == 600
+    open(f"{folder}/go", "w").close()
+    rolled.write_rolled(build(), f"{folder}/t", 2000).awaitTermination()
+    got = sorted(map(tuple, rolled.read_rolled(spark, f"{folder}/t").collect()))
+    assert got == sorted((f"{b}-{i}" + "x" * (i % 50), f"d{i % 2}") for b in range(3) for i in range(300))
+    sizes = [n for _, n, _ in rolled.batches(f"{folder}/t")]
+    assert max(sizes) <= 2000 and len(sizes) > 6 and sum(k for _, _, k in rolled.batches(f"{folder}/t")) == 900
+    # the same batch committed once more replaces its files
+    writer = rolled.RolledWriter(f"{folder}/t/data", 2000)
+    import pyarrow as pa
+
+    again = writer.write(iter([pa.RecordBatch.from_pydict({"value": ["only"], "day": ["d0"]})]))
+    writer.commit([again, None], 2)
+    assert rolled.read_rolled(spark, f"{folder}/t").count() == 601
