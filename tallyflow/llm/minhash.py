@@ -8,9 +8,9 @@ verified on the full sets, read again from the texts.
 
 A list may hold any number of documents, so no list is expanded into all its pairs. In each of ``PIVOT_ROUNDS`` rounds every list
 pairs one member with the members that are not yet in its component: groups of near copies grow together in a few rounds. What is
-then still apart inside a list is paired exhaustively, but only across components, only by the rarest quarter of the full sets
-(two documents that are similar enough share one of those), and the largest component of a list is never paired with itself. No
-candidate is dropped.
+then still apart inside a list is paired exhaustively, but only across components, only by the lists of the rarest values of each sketch
+(of 40 values that share 16, two documents share one of their 25 rarest), each pair once, at the first such value; parity bits of
+the full sets rule out most pairs on the spot, and the largest component of a list is never paired with itself. No candidate is dropped.
 
 Defined results: a null text counts as empty; an empty set links with nothing; texts are read whole; equal rows are one class and
 link with each other; rows with a null id are counted, link with nothing and are kept; an empty table gives an empty result;
@@ -91,7 +91,7 @@ def links(docs: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
             known = connected_components(linked).withColumnRenamed("node", "doc")
             lists = shared.join(known, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         if turn == PIVOT_ROUNDS:
-            pairs = _remaining_pairs(lists, sets, similarity)
+            pairs = _remaining_pairs(lists, sketch, sets, similarity)
         else:
             pairs = _pivot_pairs(lists, turn)
         pairs = pairs.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
@@ -99,7 +99,7 @@ def links(docs: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        likely = pairs if turn == PIVOT_ROUNDS else written(_likely(pairs, sketch), "likely")
+        likely = written(_likely(pairs, sketch), "likely")
         good = written(_verified(likely, sets, similarity), "links")
         linked = good if linked is None else linked.unionByName(good)
     return linked
@@ -113,36 +113,34 @@ def _pivot_pairs(lists: DataFrame, turn: int) -> DataFrame:
     return lists.join(pivot, "v").where("component <> theirs").select("doc", "other")
 
 
-def _remaining_pairs(lists: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Every pair across components that can still be linked, by the rarest members of the full sets.
+def _remaining_pairs(lists: DataFrame, sketch: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Every pair across components that can still be linked, once, by the rarest values of the sketches.
 
-    In one order of all members, two sets that reach the similarity t share one of the rarest n - ceil(t n) + 1 members of the
-    larger set, and it is among the rarest n - ceil(2 t / (1 + t) n) + 1 of the smaller one. So a line that many documents hold
-    pairs only those that consist of little else. What meets so is compared by parity bits: common members cancel out, so two
-    sets differ in at least as many members as their parities in bits; more than (1 - t) / (1 + t) of both sizes rules a pair out.
+    Sketches of m values that must share c hold a common value among their m - c + 1 rarest, in one order of all values. Values that no
+    other sketch holds are rarer still and use up the first places. A pair comes out at the first value its rare values have in common.
+    Common members of the full sets cancel out in their parities, so two sets differ in at least as many members as their parities in
+    bits; more than (1 - t) / (1 + t) of both sizes rules a pair out.
     """
-    mixed = lists.groupBy("v").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("v")
-    apart = lists.join(mixed, "v", "left_semi").select("doc", "component").distinct()
-    members = sets.join(apart, "doc").select("doc", "component", F.size("members").alias("n"), F.explode("members").alias("v"))
-    members = written(members, "members")
-    df = members.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    shared = members.join(df, "v").groupBy("doc", "component", "n").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared"))
-    # members that no other set holds are rarer still: they use up the first places
-    alone = F.col("n") - F.size("shared")
-    far = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1 - alone
-    near = F.col("n") - F.ceil(F.col("n") * (2 * similarity / (1 + similarity)) - 1e-9).cast("int") + 1 - alone
-    places = F.posexplode(F.slice("shared", F.lit(1), far)).alias("place", "x")
-    rare = shared.where(far > 0).select("doc", "component", "n", near.alias("near"), places)
-    rare = written(rare.select("doc", "component", "n", (F.col("place") < F.col("near")).alias("near"), F.col("x.v").alias("v")), "rare")
-    count = rare.groupBy("v", "component").agg(F.count("*").alias("c")).groupBy("v").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("k")).where("k > 1")
-    met = written(rare.join(count.select("v", "main"), "v").join(sets.select("doc", "parity"), "doc"), "met")
-    one = met.where("component <> main").select("v", *[F.col(c).alias(c + "1") for c in ("doc", "component", "n", "near", "parity")])
-    sizes = (F.col("n") >= F.col("n1") * similarity) & (F.col("n1") >= F.col("n") * similarity) & (F.col("component") != F.col("component1"))
-    smaller = F.when(F.struct("n1", "doc1") < F.struct("n", "doc"), F.col("near1")).otherwise(F.col("near"))
+    lists = written(lists, "lists-of-components")
+    per_value = lists.groupBy("v").agg(F.count("*").alias("df"), F.min("component").alias("low"), F.max("component").alias("high"))
+    apart = lists.join(per_value.where("low < high").select("v"), "v", "left_semi").select("doc").distinct()
+    held = lists.join(apart, "doc", "left_semi").join(per_value.select("v", "df"), "v")
+    # at most WHOLE values a document
+    own = held.groupBy("doc", "component").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("held"))
+    sized = own.join(sketch.select("doc", "n", F.size("sketch").alias("m")), "doc").join(sets.select("doc", "parity"), "doc")
+    places = F.col("m") - least_overlap(F.col("n"), similarity) + 1 - (F.col("m") - F.size("held"))
+    rare = sized.where(places > 0).select("doc", "component", "n", "parity", F.slice("held.v", F.lit(1), places).alias("rare"))
+    rare = written(rare.withColumn("v", F.explode("rare")), "rare")
+    main = rare.groupBy("v", "component").agg(F.count("*").alias("c")).groupBy("v").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("k")).where("k > 1")
+    met = rare.join(main.select("v", "main"), "v")
+    one = met.where("component <> main").select("v", *[F.col(c).alias(c + "1") for c in ("doc", "component", "n", "parity", "rare")])
+    two = met.withColumnRenamed("v", "v2")
+    sizes = (F.col("n") >= F.col("n1") * similarity) & (F.col("n1") >= F.col("n") * similarity)
+    once = (F.col("component") != F.col("component1")) & ((F.col("component") == F.col("main")) | (F.col("doc1") < F.col("doc")))
     differ = sum((F.bit_count(F.get("parity", k).bitwiseXOR(F.get("parity1", k))) for k in range(PARITY)), F.lit(0))
     close = differ <= (F.col("n") + F.col("n1")) * ((1 - similarity) / (1 + similarity)) + 1e-9
-    two = met.drop("main").withColumnRenamed("v", "v2")
-    return one.join(two, (F.col("v") == F.col("v2")) & sizes & smaller & close).select("doc", F.col("doc1").alias("other"))
+    first = F.get(F.array_intersect("rare", "rare1"), 0) == F.col("v")
+    return one.join(two, (F.col("v") == F.col("v2")) & once & sizes & close & first).select("doc", F.col("doc1").alias("other"))
 
 
 def _likely(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
