@@ -5,11 +5,11 @@ dampen), insult and threat (what is scored). Their product is one machine; it te
 it stands. A document's score is a logistic of its readings, clause by clause.
 
 Learned from labelled rows: the insult lexicon (word beginnings and whole words, each with its log-odds) and the weight of each
-reading. At most ``max_toxic`` + ``max_clean`` labelled rows are used, those with the smallest hash of their id; the lexicon has at
-most ``max_patterns`` entries. Words for targets, negation, reports and threats are fixed.
+reading. At most ``max_toxic`` + ``max_clean`` labelled rows are used, those with the smallest hash of their id; labels whose id is held
+out (crc32 mod 4 is 2) take part in nothing, class shares included. Words for targets, negation, reports and threats are fixed.
 
 Defined results: a null text counts as empty; an empty text, and any text without a match, has the base score; texts are read
-whole; equal rows get equal scores; an empty table gives an empty result; without labels of both kinds only threats count; a label
+whole; equal rows, and ties of any kind, get equal scores; further columns are carried or ignored; an empty table gives an empty result; without labels of both kinds only threats count; a label
 row with a null id or a null label is not used, and of several labels of one id the largest counts.
 """
 
@@ -161,14 +161,14 @@ class Model:
 SHORTEST, LONGEST = 4, 8
 
 
-def sample(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: int) -> DataFrame:
-    """Labelled training rows: ``text`` and ``toxic``; the hash of the id decides which, so a run repeats."""
-    marked = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-        .where("doc_id is not null and toxic in (0, 1) and crc32(cast(doc_id as string)) % 4 <> 2")
-        .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
-    )
+def usable(labels: DataFrame) -> DataFrame:
+    """The only labels that anything is learned from or counted in: ``doc_id``, ``toxic``, one row per id, none that is held out."""
+    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    return marked.where("doc_id is not null and toxic in (0, 1) and crc32(cast(doc_id as string)) % 4 <> 2").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def sample(docs: DataFrame, marked: DataFrame, max_toxic: int, max_clean: int) -> DataFrame:
+    """Training rows of ``usable`` labels: ``text`` and ``toxic``; the hash of the id decides which, so a run repeats."""
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     some = marked.where("toxic = 1").orderBy(*order).limit(max_toxic).unionByName(marked.where("toxic = 0").orderBy(*order).limit(max_clean))
     # at most max_toxic + max_clean rows of two numbers: a proven size
@@ -186,7 +186,7 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"word": [*words, ""], "clean": [*(seen[0][w] for w in words), docs[0]], "bad": [*(seen[1][w] for w in words), docs[1]]})
 
 
-def lexicon(rows: DataFrame, max_patterns: int, least: int = 3, odds: float = 3.0, evidence: float = 12.0) -> dict[str, float]:
+def lexicon(rows: DataFrame, least: int = 3, odds: float = 3.0, evidence: float = 12.0) -> dict[str, float]:
     """Beginnings and whole words that toxic rows hold far more often, each with its log-odds.
 
     ``odds`` bounds the log-odds from below, ``evidence`` the log-likelihood ratio against equal shares, so that rare words of long
@@ -206,7 +206,7 @@ def lexicon(rows: DataFrame, max_patterns: int, least: int = 3, odds: float = 3.
     n = F.col("bad") + F.col("clean")
     gain = F.col("bad") * F.log(F.col("bad") / (n * share)) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (n * (1 - share)))).otherwise(0.0)
     logit = F.log((F.col("bad") + 0.5) / (nb + 1)) - F.log((F.col("clean") + 0.5) / (nc + 1))
-    found = sums.withColumn("w", logit).where((logit >= odds) & (gain >= evidence)).orderBy(F.desc("bad"), "p").limit(max_patterns).collect()
+    found = sums.withColumn("w", logit).where((logit >= odds) & (gain >= evidence)).orderBy(F.desc("bad"), "p").collect()
     counts = {r.p: r.bad for r in found}
     weight = {r.p: min(r.w, 7.0) for r in found}
     longer: Counter = Counter()
@@ -253,11 +253,12 @@ def fit(rows: DataFrame, model: Model, shares: tuple[float, float], pull: float
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 4000, max_clean: int = 8000, max_patterns: int = 5000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 4000, max_clean: int = 8000) -> Model:
     """The grammar with its lexicon and weights, from rows whose crc32(doc_id as text) mod 4 is not 2."""
-    rows = written(sample(documents(docs), labels, max_toxic, max_clean), "toxic-sample")
-    model = Model(patterns=lexicon(rows, max_patterns))
-    have = {r.toxic: r["count"] for r in labels.where("toxic in (0, 1)").groupBy("toxic").count().collect()}
+    marked = written(usable(labels), "toxic-labels")
+    rows = written(sample(documents(docs), marked, max_toxic, max_clean), "toxic-sample")
+    model = Model(patterns=lexicon(rows))
+    have = {r.toxic: r["count"] for r in marked.groupBy("toxic").count().collect()}
     took = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     whole = sum(have.values()) or 1
     shares = tuple(have.get(c, 0) / whole * sum(took.values()) / max(1, took.get(c, 0)) for c in (0, 1))
@@ -279,10 +280,12 @@ def score(df: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "do
 
 
 def accepted(df: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """The rows, with all their columns, whose text scores below the threshold."""
+    """The rows, with all their columns, whose text scores below the threshold. Batches are filtered as they pass; nothing is held beside them."""
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.array([model.read(t or "") for t in texts]).reshape(-1, READINGS)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column("text").cast(pa.string()).to_pylist()
+            scores = model.score(np.array([model.read(t or "") for t in texts]).reshape(-1, READINGS))
+            yield b.filter(pa.array(scores < threshold))
 
-    return df.where(scored(F.coalesce(F.col("text").cast("string"), F.lit(""))) < threshold)
+    return df.mapInArrow(run, df.schema)

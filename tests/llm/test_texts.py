@@ -48,6 +48,25 @@ def test_toxicity_learns_and_generalises(spark):
     assert toxicity.accepted(docs, model).columns == docs.columns
 
 
+def test_held_out_labels_change_no_score(spark):
+    from tallyflow.llm.frames import table
+
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    flipped = labels.selectExpr("doc_id", "quality", "if(crc32(cast(doc_id as string)) % 4 = 2, 1 - toxic, toxic) as toxic")
+    a, b = toxicity.train(docs, labels), toxicity.train(docs, flipped)
+    assert a.patterns == b.patterns and a.bias == b.bias and (a.weights == b.weights).all()
+
+
+def test_accepted_rows_keep_their_columns(spark):
+    from tallyflow.llm.frames import table
+
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    model = toxicity.train(docs, table(spark, "/root/testdata/sf0.001", "labels"))
+    want = {r.doc_id for r in toxicity.score(docs, model).where("predicted = 0").collect()}
+    got = toxicity.accepted(docs, model)
+    assert got.schema == docs.schema and {r.doc_id for r in got.collect()} == want
+
+
 def test_toxicity_of_awkward_rows(spark):
     docs, labels = labelled(spark)
     rows = awkward()
