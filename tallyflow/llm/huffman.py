@@ -8,11 +8,13 @@ so the lengths alone rebuild them. A file is a Parquet part whose rows are block
     lanes               bits that each run of ``LANE`` ids takes: their running sums are the bit offsets of the checkpoints
     total, ahead        ids of the block, and of the blocks before it in the same part
 
-Every block is decoded alone, and inside a block all checkpoints at once: one table look-up of 16 bits per lane and step.
+Beside ``blocks`` lies ``lengths``: the code length of each id, from which the codes are rebuilt. Any later process decodes the files
+from their path alone. Every block is decoded alone, and inside a block all checkpoints at once: one table look-up of 16 bits per lane
+and step.
 
 Defined results: a null text counts as empty and has the end id only; a document of any length is one block at most; rows with
 equal ids stand side by side in the order of their content; an empty table gives no files and an empty result; rows without an
-id come first.
+id come first; rows with equal ids and equal texts are equal and keep a place each; columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -24,10 +26,11 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyflow.llm.frames import documents, shuffle_partitions, written
 from tallyflow.llm.wordcache import WordCache
+from tallyflow.session import scratch_path
 
 LIMIT = 16
 LANE = 64
@@ -50,6 +53,8 @@ def _tokenizer(path: str):
     t.no_truncation()
     dtype = np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4")
 
+    space = np.zeros(t.get_vocab_size(), bool)  # ids of tokens that begin with a space
+    space[[i for token, i in t.get_vocab().items() if token[0] == "Ġ"]] = True
     special = next(((i, a.content) for i, a in sorted(t.get_added_tokens_decoder().items()) if a.special), None)
 
     def whole(texts: list[str]) -> list[bytes]:
@@ -68,7 +73,23 @@ def _tokenizer(path: str):
             out += [raw[a * width : b * width] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True)]
         return out
 
-    return whole, dtype, WordCache(encode, 100_000), WordCache(lambda words: encode([" " + w for w in words]), 600_000)
+    def spaced(words: list[str]) -> list[bytes]:
+        """Words without white space, each behind a space, in one text: a token that begins with a space begins the next word."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 40_000):
+            ids = np.array(t.encode_batch_fast([" " + " ".join(words[at : at + 40_000])], add_special_tokens=False)[0].ids, dtype)
+            start = np.flatnonzero(space[ids]) * dtype.itemsize
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip(start.tolist(), [*start[1:].tolist(), len(raw)], strict=True)]
+        return out
+
+    return whole, dtype, WordCache(encode, 100_000), WordCache(spaced, 600_000)
+
+
+def vocabulary_size(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values()) + 1
 
 
 def ids_of(texts: list[str], path: str, end_id: int) -> Iterator[bytes]:
@@ -219,7 +240,8 @@ def id_counts(tokens: DataFrame, vocabulary: int, dtype: str) -> np.ndarray:
         total = np.zeros(vocabulary, np.int64)
         for b in batches:
             for x in b["ids"]:
-                total += np.bincount(_unpack(x, np.dtype(dtype)), minlength=vocabulary)[:vocabulary] if len(x) > 4000 else 0
+                if len(x) > 4000:
+                    total += np.bincount(_unpack(x, np.dtype(dtype)), minlength=vocabulary)
             small = [_unpack(x, np.dtype(dtype)) for x in b["ids"] if len(x) <= 4000]
             if small:
                 total += np.bincount(np.concatenate(small), minlength=vocabulary)
@@ -232,8 +254,9 @@ def id_counts(tokens: DataFrame, vocabulary: int, dtype: str) -> np.ndarray:
     return out
 
 
-def write_files(tokens: DataFrame, vocabulary: int, dtype: str) -> tuple[DataFrame, np.ndarray]:
-    """Blocks in ascending ``doc_id`` order as a table of the shared folder, and the code lengths that read them."""
+def write_files(tokens: DataFrame, vocabulary: int, dtype: str, path: str) -> None:
+    """``path/blocks`` in ascending ``doc_id`` order and ``path/lengths``. An id beyond the vocabulary is an error."""
+    spark = tokens.sparkSession
     lengths = code_lengths(id_counts(tokens, vocabulary, dtype))
     codes = canonical_codes(lengths)[0]
 
@@ -258,16 +281,20 @@ def write_files(tokens: DataFrame, vocabulary: int, dtype: str) -> tuple[DataFra
         types = (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], ["doc_ids", "n_tokens", "payload", "lanes", "total", "ahead"])
 
-    parts = tokens.repartitionByRange(shuffle_partitions(tokens.sparkSession), "doc_id").sortWithinPartitions("doc_id", "ids")
+    spark.createDataFrame([(lengths.tobytes(),)], "lengths binary").coalesce(1).write.parquet(f"{path}/lengths")
+    parts = tokens.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "ids")
     blocks = parts.select("doc_id", "ids").mapInArrow(run, BLOCK).withColumn("part", F.spark_partition_id())
-    return written(blocks, "huffman"), lengths
+    blocks.write.parquet(f"{path}/blocks")
 
 
-def read_files(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
+def read_files(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` of every document, decoded from the files alone.
 
-    ``start`` needs the ids before each part: their totals (as many rows as parts) come to the driver.
+    ``start`` needs the ids before each part: their totals (as many rows as parts) come to the driver, as do the code lengths (a byte
+    for each id of the vocabulary).
     """
+    blocks = spark.read.schema(f"{BLOCK}, part int").parquet(f"{path}/blocks")
+    lengths = np.frombuffer(spark.read.schema("lengths binary").parquet(f"{path}/lengths").first()[0], np.uint8)
     ahead: dict[int, int] = {}
     run_total = 0
     for part, t in sorted((r["part"], r["t"]) for r in blocks.groupBy("part").agg(F.sum("total").alias("t")).collect()):
@@ -289,7 +316,8 @@ def read_files(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
     return blocks.select("doc_ids", "n_tokens", "payload", "lanes", "total", "part", "ahead").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def encode_and_read(df: DataFrame, path: str, vocabulary: int, end_id: int = 0) -> DataFrame:
-    dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    tokens = written(tokenized(df, path, end_id), "tokens")
-    return read_files(*write_files(tokens, vocabulary, dtype))
+def encode_and_read(df: DataFrame, path: str, end_id: int = 0) -> DataFrame:
+    spark, vocabulary = df.sparkSession, vocabulary_size(path)
+    folder = scratch_path(spark, "llm-huffman")
+    write_files(written(tokenized(df, path, end_id), "tokens"), vocabulary, _tokenizer(path)[1].str, folder)
+    return read_files(spark, folder)

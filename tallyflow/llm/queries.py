@@ -16,7 +16,7 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return huffman.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 50257)
+    return huffman.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op3_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

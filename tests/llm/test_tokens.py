@@ -95,12 +95,49 @@ def test_ids_equal_the_library():
 def test_files_of_awkward_rows(spark):
     t = Tokenizer.from_file(BYTES)
     rows = [(i, x) for i, x in awkward() if i is not None]
-    got = sorted(map(tuple, huffman.encode_and_read(documents(spark, rows), BYTES, 50257).collect()))
+    got = sorted(map(tuple, huffman.encode_and_read(documents(spark, rows), BYTES).collect()))
     at, want = 0, []
     for i, x in sorted(rows, key=lambda r: r[0]):
         ids = np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], "<u4")
         want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
     assert got == want
-    assert huffman.encode_and_read(documents(spark, []), BYTES, 50257).count() == 0
-    assert huffman.encode_and_read(documents(spark, [(None, "a"), (None, None), (3, "b")]), BYTES, 50257).count() == 3
+    assert huffman.encode_and_read(documents(spark, []), BYTES).count() == 0
+    assert huffman.encode_and_read(documents(spark, [(None, "a"), (None, None), (3, "b")]), BYTES).count() == 3
+
+
+def test_files_are_read_by_another_process(spark, tmp_path):
+    """Only the path is handed over; many blocks in a part."""
+    import json
+    import subprocess
+    import sys
+
+    rows = [(i, x) for i, x in awkward() if i is not None and i != 59]
+    huffman_blocks, huffman.BLOCK_TOKENS = huffman.BLOCK_TOKENS, 500
+    try:
+        tokens = huffman.tokenized(documents(spark, rows), BYTES)
+        huffman.write_files(tokens, huffman.vocabulary_size(BYTES), "<u2", str(tmp_path / "files"))
+        want = sorted(map(list, huffman.read_files(spark, str(tmp_path / "files")).collect()))
+    finally:
+        huffman.BLOCK_TOKENS = huffman_blocks
+    program = """
+import json, sys
+from tallyflow.llm.huffman import read_files
+from tallyflow.session import build_session
+print(json.dumps(sorted(map(list, read_files(build_session("local[1]", **{"spark.ui.enabled": "false"}), sys.argv[1]).collect()))))
+"""
+    done = subprocess.run([sys.executable, "-c", program, str(tmp_path / "files")], capture_output=True, text=True, timeout=300)
+    assert json.loads(done.stdout.strip().splitlines()[-1]) == want and len(want) == len(rows)
+    t, at = Tokenizer.from_file(BYTES), 0
+    for (i, x), got in zip(sorted(rows), want, strict=True):
+        ids = np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], "<u4")
+        assert got == [i, at, len(ids), zlib.crc32(ids.tobytes())]
+        at += len(ids)
+
+
+def test_words_in_one_text_equal_words_alone():
+    t = Tokenizer.from_file(BYTES)
+    rng = random.Random(9)
+    words = list({"".join(rng.choice("abTé\n.-'s1漢ß😀") for _ in range(rng.randint(1, 9))).strip() for _ in range(5000)} - {""})
+    spaced = huffman._tokenizer(BYTES)[3].encode
+    assert [np.frombuffer(x, "<u2").tolist() for x in spaced(words)] == [e.ids for e in t.encode_batch([" " + w for w in words], add_special_tokens=False)]
