@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyflow.session import materialise
@@ -27,6 +28,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of a few rows, without copies: what is made of a part is gone before the next one."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once: the optimizer would copy a plain column into every place that uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyflow.llm.components import connected_components
-from tallyflow.llm.frames import documents, written
+from tallyflow.llm.frames import documents, slices, written
 from tallyflow.llm.shingles import set_key, shingle_sets
 
 K = 40
@@ -43,14 +43,14 @@ def sketches(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``s1``, ``s2`` (key of the set), ``sketch`` (ascending)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             n, s1, s2, sketch = [], [], [], []
             for s in shingle_sets(b.column("text")):
                 n.append(len(s))
                 key = set_key(s)
                 s1.append(key[0])
                 s2.append(key[1])
-                sketch.append(s if len(s) <= WHOLE else s[:K])
+                sketch.append(s if len(s) <= WHOLE else s[:K].copy())
             cols = [b.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, s1, s2)), pa.array(sketch, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "s1", "s2", "sketch"])
 
@@ -61,7 +61,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
     """``doc``, ``members``, ``parity``: the whole shingle sets, and for each bit whether an odd number of members falls on it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             sets = list(shingle_sets(b.column("text")))
             odd = [np.packbits(np.bincount(s & (64 * PARITY - 1), minlength=64 * PARITY) & 1).view(np.int64) for s in sets]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))], ["doc", "members", "parity"])

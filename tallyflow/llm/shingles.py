@@ -22,7 +22,7 @@ _VALUE[65:91] = _VALUE[97:123]
 _VALUE[_SEP] = 0
 _PLACES = [np.uint64(pow(0xA0761D6478BD642F, k + 1, 1 << 64) | 1) for k in range(WORDS)]
 #: Bytes that are hashed at a time, unless one text is longer.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -81,7 +81,7 @@ def _sets(raw: np.ndarray, off: np.ndarray) -> Iterator[np.ndarray]:
     edge = edge[edge > 0] - 1
     ends[edge] = inside[edge]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    size = 1 << max(21, int(len(raw) + 1).bit_length())
+    size = 1 << max(20, int(len(raw) + 1).bit_length())
     power, inverse = _powers(size)
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_VALUE[raw] * power[: len(raw)], out=total[1:])

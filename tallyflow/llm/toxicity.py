@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyflow.llm.frames import documents, written
+from tallyflow.llm.frames import documents, slices, written
 
 # The words of the closed classes, in English, German, French and Spanish.
 TARGETS = "you your yours u ya du dich dir dein deine deiner ihr euch sie ihnen tu te toi ton ta tes vous votre vos tú ti usted ustedes vosotros su sus".split()
@@ -186,11 +186,11 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"word": [*words, ""], "clean": [*(seen[0][w] for w in words), docs[0]], "bad": [*(seen[1][w] for w in words), docs[1]]})
 
 
-def lexicon(rows: DataFrame, least: int = 3, odds: float = 3.0, evidence: float = 12.0) -> dict[str, float]:
+def lexicon(rows: DataFrame, least: int = 3, odds: float = 3.0, chance: float = 0.001) -> dict[str, float]:
     """Beginnings and whole words that toxic rows hold far more often, each with its log-odds.
 
-    ``odds`` bounds the log-odds from below, ``evidence`` the log-likelihood ratio against equal shares, so that rare words of long
-    rows do not enter by chance. Of a chain of beginnings that stand for the same rows the longest is kept, and a longer one below
+    ``odds`` bounds the log-odds from below. The log-likelihood ratio against equal shares must exceed the logarithm of the number of
+    patterns compared over ``chance``, so that none of them, however many there are, is likely to enter by chance. Of a chain of beginnings that stand for the same rows the longest is kept, and a longer one below
     a kept one only if it says clearly more.
     """
     words = rows.mapInPandas(_word_counts, "word string, clean long, bad long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
@@ -206,6 +206,8 @@ def lexicon(rows: DataFrame, least: int = 3, odds: float = 3.0, evidence: float
     n = F.col("bad") + F.col("clean")
     gain = F.col("bad") * F.log(F.col("bad") / (n * share)) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (n * (1 - share)))).otherwise(0.0)
     logit = F.log((F.col("bad") + 0.5) / (nb + 1)) - F.log((F.col("clean") + 0.5) / (nc + 1))
+    sums = written(sums, "patterns")
+    evidence = float(np.log(max(1, sums.count()) / chance))
     found = sums.withColumn("w", logit).where((logit >= odds) & (gain >= evidence)).orderBy(F.desc("bad"), "p").collect()
     counts = {r.p: r.bad for r in found}
     weight = {r.p: min(r.w, 7.0) for r in found}
@@ -283,9 +285,10 @@ def accepted(df: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows, with all their columns, whose text scores below the threshold. Batches are filtered as they pass; nothing is held beside them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column("text").cast(pa.string()).to_pylist()
-            scores = model.score(np.array([model.read(t or "") for t in texts]).reshape(-1, READINGS))
-            yield b.filter(pa.array(scores < threshold))
+        for batch in batches:
+            for b in slices(batch):
+                texts = b.column("text").cast(pa.string()).to_pylist()
+                scores = model.score(np.array([model.read(t or "") for t in texts]).reshape(-1, READINGS))
+                yield b.filter(pa.array(scores < threshold))
 
     return df.mapInArrow(run, df.schema)
