@@ -33,7 +33,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes pseudonyms; ``n_chars`` follows the new text."""
-    out = pii.cleaned(docs, spark.conf.get(PII_KEY, "unset"))
+    out = pii.cleaned(docs, pii.key_of(spark, PII_KEY))
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

@@ -27,12 +27,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-#: A production run takes its key from the session; results repeat where it is unset.
+#: A production run sets the key; where it is unset, one is drawn for the session.
 PII_KEY = "spark.llm.pii.key"
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymized(table(spark, sf_dir, "documents"), spark.conf.get(PII_KEY, "unset"))
+    return pii.pseudonymized(table(spark, sf_dir, "documents"), pii.key_of(spark, PII_KEY))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,6 +170,58 @@ def test_pseudonyms_are_a_bijection(spark):
     assert moved.distinct().count() == days.count() and moved.where("p between '1900-01-01' and '2099-12-31'").count() == days.count()
 
 
+def test_letters_of_all_scripts_and_national_forms(spark):
+    hexed = "0123456789abcdef" * 9
+    texts = [
+        "иван@example.com, élodie@example.fr", "联系我zhang@example.com 用户@例子.广告", "--" + "x1y" * 40 + "@example.org", f"{hexed} {hexed.upper()}", "aB3D" * 10, "ruf 0171 2345678 an", "06 12 34 56 78 ou 06.12.34.56.78", "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeKKF2Q",
+        "password: hunter22secret. next", "Mot de passe = 'Sesam1234'", "at 2001:db8::8a2e:370:7334 and 2001:0DB8:0:0:0:8a2e:0370:7334.", "3/4/1987 and 03/04/1987, 5.6.1990", "de89 3704 0044 0532 0130 00 DE89370400440532013000", "teléfono 612 345 678",
+    ]
+    out = {r.doc_id: r for r in pii.pseudonymized(documents(spark, list(enumerate(texts))), "key").collect()}
+    new = [out[k].text for k in range(len(texts))]
+    assert [out[k].n_found for k in range(len(texts))] == [2, 2, 1, 2, 1, 1, 2, 1, 1, 1, 2, 3, 2, 1]
+    a, b = re.fullmatch(r"([\u0400-\u04ff]{4})@example\.com, (\S{6})@example\.fr", new[0]).groups()
+    assert a != "иван" and b[0] != "é" and b[0] > "\x7f" and b[0].islower() and not set("lodie") >= set(b[1:])
+    assert re.fullmatch(r"联系我[a-z]{5}@example\.com [一-鿿]{2}@例子\.广告", new[1]) and "zhang" not in new[1] and "用户" not in new[1]
+    assert re.fullmatch(r"--(?:[a-z]\d[a-z]){40}@example\.org", new[2]) and "x1yx1y" not in new[2]
+    low, high = new[3].split()
+    assert high == low.upper() and len(low) == 144 and low != hexed and re.fullmatch("[0-9a-f]+", low)
+    assert re.fullmatch(r"(?:[a-f][A-F]\d[A-F]){10}", new[4]) and new[4] != texts[4]
+    assert re.fullmatch(r"ruf \d{4} \d{7} an", new[5]) and new[5] != texts[5]
+    x, y = new[6].split(" ou ")
+    assert x.replace(" ", ".") == y != "06.12.34.56.78" and re.fullmatch(r"\d\d(\.\d\d){4}", y)
+    assert re.fullmatch(r"eyJ\w{9}\.\w{12}\.\w{16}", new[7]) and new[7] != texts[7]
+    assert re.fullmatch(r"password: [a-z]{6}\d\d[a-z]{6}\. next", new[8]) and "hunter" not in new[8]
+    assert re.fullmatch(r"Mot de passe = '[A-Z][a-z]{4}\d{4}'", new[9]) and "Sesam" not in new[9]
+    v, w = re.fullmatch(r"at (\S+) and (\S+)\.", new[10]).groups()
+    assert v == w and re.fullmatch(r"2001(?::[0-9a-f]{4}){7}", v) and "370:7334" not in v
+    s, t, u = re.split(",? (?:and )?", new[11])
+    assert [int(p) for p in s.split("/")] == [int(p) for p in t.split("/")] != [3, 4, 1987] and len(t) == 10 and u != "5.6.1990"
+    m, n = new[12][:27], new[12][28:]
+    assert m.replace(" ", "").upper() == n != "DE89370400440532013000" and m == m.lower()
+    assert re.fullmatch(r"teléfono \d{3} \d{3} \d{3}", new[13]) and new[13] != texts[13]
+    clean = ["std::vector a::b 12:30:45 at 3:4", "password: required", "1 051 240 000 of 2 612 345", "version 1.2.3, 10.000.000", "the secret: a good night's sleep", "tel aviv 2019", "x" * 300_000 + " 1", "a-" * 100_000 + " 1"]
+    assert [r.text for r in pii.pseudonymized(documents(spark, list(enumerate(clean))), "key").orderBy("doc_id").collect()] == clean
+
+
+def test_letters_beyond_ascii_are_a_bijection(spark):
+    from pyspark.sql import functions as F
+
+    letters = "".join(chr(c) for c in range(0x430, 0x450))
+    words = spark.createDataFrame([(a + b,) for a in letters for b in letters], "s string")
+    moved = words.repartition(8).select(pii.feistel_text(F.col("s"), "k", "t").alias("p"))
+    assert moved.distinct().count() == len(letters) ** 2 == moved.where(r"p rlike '^\\p{Ll}{2}$'").count()
+
+
+def test_clashing_names_and_the_key(spark):
+    df = spark.createDataFrame([(1, "mail a.b@example.com", "mine", "yours", 3)], "doc_id long, text string, _text string, _made string, made_ int")
+    r = pii.cleaned(df, "k").first()
+    assert (r["_text"], r["_made"], r["made_"]) == ("mine", "yours", 3) and r.text != "mail a.b@example.com"
+    name = "spark.llm.pii.testkey"
+    key = pii.key_of(spark, name)
+    assert len(key) == 64 and pii.key_of(spark, name) == key
+    spark.conf.unset(name)
+
+
 def test_pseudonyms_of_awkward_rows(spark):
     rows = awkward()
     df = documents(spark, rows)
