@@ -6,13 +6,14 @@ weighted by the inverse document frequency among the templates (short notices, f
 texts that are too long to be held here), and are joined to the templates term by term. The best cosine at or above ``threshold``
 on the widest level that has one names the licence a file declares, as a whole header tells licences apart that share sentences. A file that bears a licence file's name, or that consists of notices for at least
 ``mostly`` of its words, grants its licence to its directory. A file without a declaration takes the grant of the nearest
-directory above it, found by a join on the paths of its ancestors.
+directory above it, found by a join of the folders with the paths of their ancestors. Equal units are scored once.
 
 The templates are a fixed table of this module, so what is broadcast is bounded by it.
 
 Defined results: a null or empty text declares nothing; a null path has no directory and inherits nothing; texts are read whole;
 of equal cosines the first licence in alphabetical order counts; of several grants in a directory the one with the highest
-cosine, then the first in alphabetical order; equal rows get equal results; an empty table gives an empty result; further columns
+cosine, then the first in alphabetical order; rows that share id and path but not the text stand for themselves; a unit that
+denies a licence declares none; equal rows get equal results; an empty table gives an empty result; further columns
 are not read.
 """
 
@@ -115,6 +116,8 @@ TEMPLATES += [
 ]
 SPDX = sorted({name for name, _ in TEMPLATES})
 NOTICE = r"(?i)licen[cs]e|copyright|spdx-|public domain|permission (?:is|to)|redistribut|creative commons|endorse or promote"
+# What turns a notice round.
+DENIED = r"(?iU)\b(?:not|never|no longer|nicht|pas|no est[áa])\s+(?:\w+\s+){0,2}(?:re)?(?:licen[cs]ed|lizenziert|distributed|distribué|released|available|distribuido)\s+(?:\w+\s+){0,2}(?:under|unter|sous|bajo)\b"
 FILE_NAME = r"(?i)(?:^|/)(?:licen[cs]e|copying|unlicense|notice)(?:[.\-_][^/]*)?$"
 
 
@@ -142,13 +145,14 @@ WHOLE, BLOCK, PARAGRAPH, SENTENCE, LINE = range(5)
 
 
 def notices(files: DataFrame, mostly: float) -> DataFrame:
-    """``id``, ``path``, ``share``, ``level``, ``place``, ``words``: the units of each level that hold a notice word.
+    """``id``, ``path``, ``file``, ``share``, ``level``, ``place``, ``unit``, ``words``: the units of each level that hold a notice word.
 
-    ``share`` is the part of all words that stands in lines and sentences with a notice word.
+    ``share`` is the part of all words that stands in lines and sentences with a notice word; ``unit`` is a digest of the words. A unit
+    that says it is not licensed so declares nothing.
     """
 
     def units(texts: Column, level: int) -> Column:
-        return F.transform(F.filter(texts, lambda t: t.rlike(NOTICE)), lambda t: F.struct(F.lit(level).alias("level"), terms(t).alias("words")))
+        return F.transform(F.filter(texts, lambda t: t.rlike(NOTICE) & ~t.rlike(DENIED)), lambda t: F.struct(F.lit(level).alias("level"), F.array_join(terms(t), " ").alias("words")))
 
     def of_paragraph(paragraph: Column) -> Column:
         sentences, lines = F.split(F.regexp_replace(paragraph, r"\s+", " "), r"(?<=[.;!?]) "), F.split(paragraph, r"\n|(?<=[.;!?])\s+")
@@ -175,28 +179,40 @@ def notices(files: DataFrame, mostly: float) -> DataFrame:
         return F.aggregate(noticed, F.lit(0), lambda n, t: n + F.size(terms(t))) / F.greatest(F.size(terms(text)), F.lit(1))
 
     given = F.struct("text", "path", shared(F.col("text")).alias("share"))
-    return files.where(F.col("text").rlike(NOTICE)).select("id", "path", F.inline(let(given, of_text)))
+    each = files.where(F.col("text").rlike(NOTICE)).select("id", "path", "file", F.inline(let(given, of_text)))
+    return each.select("id", "path", "file", "share", "level", "place", F.unhex(F.md5("words")).alias("unit"), "words")
+
+
+def scored(units: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """``unit``, ``license``, ``score``: the best template of every distinct unit that reaches the threshold.
+
+    Notices are the most repeated of all texts, so each distinct one is scored once. Its words travel as digests of eight bytes.
+    """
+    vectors = vectors.withColumn("h", F.xxhash64("term")).drop("term")
+    rare = F.log(F.lit((len(TEMPLATES) + len(SPDX) + 1) / 1.0)) + 1  # a term of no template
+    tf = units.select("unit", F.explode(F.transform(F.split("words", " "), lambda w: F.xxhash64(w))).alias("h")).groupBy("unit", "h").agg(F.count("*").alias("tf"))
+    tf = tf.join(F.broadcast(vectors.groupBy("h").agg(F.first("idf").alias("idf"), F.collect_list(F.struct("template", "w")).alias("templates"))), "h", "left")
+    x = F.col("tf") * F.coalesce("idf", rare)
+    # the row of template -1 carries the square of the length
+    square = F.array(F.struct(F.lit(-1).alias("template"), x.alias("w")))
+    parts = F.transform(F.col("templates"), lambda t: F.struct(t["template"].alias("template"), t["w"].alias("w")))
+    each = tf.select("unit", x.alias("x"), F.inline(F.concat(square, F.coalesce(parts, F.array().cast("array<struct<template:int,w:double>>")))))
+    sums = each.groupBy("unit", "template").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
+    names = F.broadcast(vectors.select("template", "license").distinct())
+    ranked = sums.join(names, "template", "left").groupBy("unit")
+    ranked = ranked.agg(F.max(F.when(F.col("template") == -1, F.sqrt("dot"))).alias("norm"), F.max(F.when(F.col("template") >= 0, F.struct(F.round("dot", 9).alias("dot"), _reversed("license").alias("k"), "license"))).alias("b"))
+    return ranked.select("unit", F.col("b.license").alias("license"), F.round(F.col("b.dot") / F.col("norm"), 9).alias("score")).where(F.col("score") >= threshold)
 
 
 def declared(files: DataFrame, threshold: float, mostly: float) -> DataFrame:
-    """``id``, ``path``, ``license``, ``score``, ``grants``: files that declare a licence."""
+    """``id``, ``path``, ``file``, ``license``, ``score``, ``grants``: files that declare a licence."""
     vectors = written(template_vectors(files.sparkSession), "templates")
     found = written(notices(files, mostly), "notices")
-    idf = vectors.select("term", "idf").distinct()
-    rare = F.log(F.lit((len(TEMPLATES) + len(SPDX) + 1) / 1.0)) + 1  # a term of no template
-    tf = found.select("id", "path", F.struct("level", "place").alias("place"), F.explode("words").alias("term")).groupBy("id", "path", "place", "term").agg(F.count("*").alias("tf"))
-    tf = tf.join(F.broadcast(idf), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", rare)).drop("idf")
-    norms = tf.groupBy("id", "path", "place").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = tf.join(F.broadcast(vectors.drop("idf")), "term").groupBy("id", "path", "place", "template", "license").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
-    norms = norms.withColumnsRenamed({"id": "nid", "path": "npath", "place": "nplace"})
-    same = F.col("id").eqNullSafe(F.col("nid")) & F.col("path").eqNullSafe(F.col("npath")) & (F.col("place") == F.col("nplace"))
-    cosine = dots.join(norms, same).select("id", "path", "place", "license", F.round(F.col("dot") / F.col("norm"), 9).alias("score"))
-    best = cosine.where(F.col("score") >= threshold).groupBy("id", "path").agg(F.max(F.struct((-F.col("place.level")).alias("wide"), "score", _reversed("license").alias("k"), "license")).alias("b"))
-    share = found.groupBy("id", "path").agg(F.max("share").alias("share"))
-    share = share.withColumnsRenamed({"id": "sid", "path": "spath"})
-    both = F.col("id").eqNullSafe(F.col("sid")) & F.col("path").eqNullSafe(F.col("spath"))
+    units = scored(found.groupBy("unit").agg(F.first("words").alias("words")), vectors, threshold)
+    best = found.drop("words").join(units, "unit").groupBy("id", "path", "file")
+    widest = F.max(F.struct((-F.col("level")).alias("wide"), "score", _reversed("license").alias("k"), "license")).alias("b")
     grants = F.col("path").rlike(FILE_NAME) | (F.col("share") >= mostly)
-    return best.join(share, both).select("id", "path", F.col("b.license").alias("license"), F.col("b.score").alias("score"), F.coalesce(grants, F.lit(False)).alias("grants"))
+    return best.agg(widest, F.max("share").alias("share")).select("id", "path", "file", F.col("b.license").alias("license"), F.col("b.score").alias("score"), F.coalesce(grants, F.lit(False)).alias("grants"))
 
 
 def _reversed(name: str) -> Column:
@@ -208,23 +224,23 @@ def _folder(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*?)/?[^/]*$", 1)
 
 
-def _ancestors(path: Column) -> Column:
-    """The folders above a path, nearest first, each with its distance."""
-    parts = F.split(_folder(path), "/")
-    return let(parts, lambda p: F.transform(F.sequence(F.lit(0), F.size(p)), lambda k: F.struct(k.alias("up"), F.array_join(F.slice(p, F.lit(1), F.size(p) - k), "/").alias("folder"))))
+def _ancestors(folder: Column) -> Column:
+    """A folder and those above it, nearest first, each with its distance."""
+    return let(F.split(folder, "/"), lambda p: F.transform(F.sequence(F.lit(0), F.size(p)), lambda k: F.struct(k.alias("up"), F.array_join(F.slice(p, F.lit(1), F.size(p) - k), "/").alias("folder"))))
 
 
 def scan(df: DataFrame, threshold: float = 0.6, mostly: float = 0.5, id_col: str = "id", path_col: str = "path", text_col: str = "text") -> DataFrame:
     """``id``, ``path``, ``license``, ``score``, ``origin`` (declared, inherited or none) for every row."""
     files = df.select(F.col(id_col).cast("long").alias("id"), F.col(path_col).cast("string").alias("path"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    files = files.withColumn("file", F.xxhash64("text"))  # rows that share id and path are told apart by their texts
     own = written(declared(files, threshold, mostly), "declared")
     granted = own.where("grants and path is not null").select(_folder(F.col("path")).alias("folder"), "license", "score")
     granted = granted.groupBy("folder").agg(F.max(F.struct("score", _reversed("license").alias("k"), "license")).alias("b")).select("folder", F.col("b.license").alias("theirs"))
-    names = files.select("id", "path").distinct()
-    above = names.where("path is not null").select("id", "path", F.inline(_ancestors(F.col("path")))).join(granted, "folder")
-    nearest = above.groupBy("id", "path").agg(F.min_by("theirs", "up").alias("theirs")).withColumnsRenamed({"id": "nid", "path": "npath"})
-    own = own.drop("grants").withColumnsRenamed({"id": "oid", "path": "opath"})
-    out = files.select("id", "path").join(own, F.col("id").eqNullSafe(F.col("oid")) & F.col("path").eqNullSafe(F.col("opath")), "left")
-    out = out.join(nearest, F.col("id").eqNullSafe(F.col("nid")) & F.col("path").eqNullSafe(F.col("npath")), "left")
+    folders = files.where("path is not null").select(_folder(F.col("path")).alias("base")).distinct()
+    above = folders.select("base", F.inline(_ancestors(F.col("base")))).join(granted, "folder")
+    nearest = above.groupBy("base").agg(F.min_by("theirs", "up").alias("theirs"))
+    own = own.drop("grants").withColumnsRenamed({"id": "oid", "path": "opath", "file": "ofile"})
+    same = F.col("id").eqNullSafe(F.col("oid")) & F.col("path").eqNullSafe(F.col("opath")) & (F.col("file") == F.col("ofile"))
+    out = files.select("id", "path", "file").join(own, same, "left").join(nearest, _folder(F.col("path")) == F.col("base"), "left")
     origin = F.when(F.col("license").isNotNull(), "declared").when(F.col("theirs").isNotNull(), "inherited").otherwise("none")
     return out.select("id", "path", F.coalesce("license", "theirs").alias("license"), "score", origin.alias("origin"))

@@ -253,6 +253,14 @@ def test_licences_and_their_folders(spark):
     assert licenses.scan(df).count() == len(rows) and licenses.scan(df.limit(0)).count() == 0
 
 
+def test_denials_and_rows_of_one_name(spark):
+    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    rows = [(1, "a/x.py", "This file is not licensed under the MIT license."), (2, "b/x.py", f"It is not licensed under the MIT license.\n\n{gpl}"), (3, "c/x.py", mit), (3, "c/x.py", gpl)]
+    rows += [(k, f"d/{k}.py", mit) for k in range(10, 210)]
+    got = sorted((r.id, r.license or "") for r in licenses.scan(spark.createDataFrame(rows, "id long, path string, text string")).collect())
+    assert got == [(1, ""), (2, "GPL-3.0"), (3, "GPL-3.0"), (3, "MIT"), *[(k, "MIT") for k in range(10, 210)]]
+
+
 def test_wrapped_headers_and_licence_files(spark):
     import textwrap
 
