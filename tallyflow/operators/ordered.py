@@ -17,7 +17,8 @@ def number_and_next(
 ) -> DataFrame:
     """row_number() and lead(value) over (partition by keys order by order).
 
-    ``slice_by`` must not decrease along ``order``. ``order`` should be unique per key.
+    ``slice_by`` must not decrease along ``order``. ``order`` should be unique per key. There may be as many slices as rows, and behind
+    a parsed log their size is guessed far too small, so the join back is a sort merge by hint and never a broadcast.
     """
     sliced = df.withColumn("_slice", slice_by)
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
@@ -35,7 +36,7 @@ def number_and_next(
         F.lead("_first").over(along)[value].alias("_next_first"),
     )
     same = [local[k].eqNullSafe(edges[k]) for k in [*keys, "_slice"]]
-    joined = local.join(edges, same, "inner")
+    joined = local.join(edges.hint("merge"), same, "inner")
     return joined.select(
         *[local[c] for c in df.columns],
         (F.col("_rn") + F.col("_before")).alias(step),

@@ -44,6 +44,15 @@ def test_percent_rank_of_one_row(spark):
     assert percent_rank_whole(df, "v", "p").first().p == 0.0
 
 
+def test_number_and_next_never_broadcasts_its_slices(spark):
+    """Columns parsed from a text make Spark guess the slices far too small."""
+    log = spark.range(50).select(F.to_json(F.struct((F.col("id") % 7).alias("k"), F.timestamp_seconds("id").alias("at"), F.col("id").alias("page"))).alias("log"))
+    df = log.select(F.from_json("log", "k int, at timestamp, page bigint").alias("l")).select("l.*")
+    got = number_and_next(df, ["k"], ["at"], F.date_trunc("HOUR", "at"), "page")
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 50
+
+
 def test_number_and_next_equals_window_for_a_hot_key(spark):
     start = datetime(2024, 1, 1)
     rows = [("hot", start + timedelta(minutes=7 * i), f"p{i % 9}") for i in range(700)]
