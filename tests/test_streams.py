@@ -5,8 +5,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tallyflow.sources.stream_standins import Streams
 from tallyflow.streaming import dedup, joins, logs, lookups, moderation, uniques
-from tallyflow.streaming.run import file_stream, start_files
+from tallyflow.streaming.run import file_stream, start_files, state_settings
 from tallyflow.streaming.windows import tumble, tumble_distinct
 
 START = datetime(2024, 1, 1)
@@ -78,6 +79,19 @@ def test_new_flag_is_kept_on_the_first_day_only(feed):
     assert got == [(1, "1"), (2, "0"), (3, "1"), (4, "0"), (5, "0")]
 
 
+def test_new_flag_has_no_more_answers_than_rows(feed):
+    """The answer goes to the salts that have rows of the visitor and day, and each row meets it once."""
+    f = feed("mid string, ts timestamp, is_new string")
+    rows = [("a", at(seconds=i), "1") for i in range(40)] + [("b", at(seconds=1), "0")]
+    f.add(*rows)
+    f.add(("a", at(1), "1"), ("b", at(1), "1"))
+    out = f.run(lambda s: uniques.fix_is_new(s, "mid"))
+    got = sorted((r.mid, r.day, r.is_new, r.fixed_is_new) for r in out.collect())
+    assert got == sorted([("a", "2024-01-01", "1", "1")] * 40 + [("b", "2024-01-01", "0", "0"), ("a", "2024-01-02", "1", "0"), ("b", "2024-01-02", "1", "0")])
+    plan = uniques.fix_is_new(f.spark.readStream.schema(f.schema).parquet(f"{f.folder}/in"), "mid")._jdf.queryExecution().logical().toString()
+    assert "explode" not in plan.lower()
+
+
 def test_retract_replaces_earlier_version_in_window(feed):
     f = feed("id string, k string, ts timestamp, amount double")
     build = lambda s: dedup.retract(s, "id", "ts", ["amount"], "1 hour")
@@ -257,6 +271,29 @@ def test_file_stream_reads_named_file(spark):
     assert file_stream(spark, "/root/testdata/sf0.001", "events.parquet").isStreaming
 
 
+def test_state_is_cut_to_the_cores_and_not_counted(spark):
+    """A session with very many shuffle partitions does not open a store for each of them in every batch."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "600")
+    try:
+        with state_settings(spark):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
+            assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "600"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_replayed_slices_come_in_files_of_several_tasks(spark, folder):
+    """A slice of 250,000 rows is read by three tasks, and a table replayed twice is written once."""
+    spark.range(250_000).select(F.col("id").alias("event_id"), F.lit(START).cast("timestamp_ntz").alias("ts")).write.parquet(f"{folder}/events.parquet")
+    streams = Streams(spark, folder)
+    streams.replayed("events", "ts", 1)
+    streams.replayed("events", "ts", 1)
+    ((path, each),) = streams.feeds.values()
+    assert each == 3 and spark.read.parquet(path).count() == 250_000 and len(spark.read.parquet(path).inputFiles()) == 3
+
+
 def test_dimension_keeps_known_columns_and_drops_deleted_rows(spark, feed, folder):
     from tallyflow.streaming import cdc, dimsync
 
