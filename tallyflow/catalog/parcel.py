@@ -21,7 +21,14 @@ CARGO_KEYS = ["org_id", "org_name", "city_id", "city_name", "cargo_type", "cargo
 
 
 class ParcelWarehouse(Parcel):
-    """Layers over the source tables. Region and depot dimensions are stored once: every report looks them up several times."""
+    """Layers over the source tables. Region and depot dimensions are stored once: every report looks them up several times.
+
+    So is the code dictionary: stored, its size is known, and facts are not dealt to the few tasks that its codes would make.
+    """
+
+    @cached_property
+    def dictionary(self) -> DataFrame:
+        return materialise(Parcel.dictionary.func(self), "codes")
 
     @cached_property
     def region_info(self) -> DataFrame:

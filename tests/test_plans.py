@@ -39,3 +39,8 @@ def test_express_report_shuffles_little(spark):
 def test_log_rows_are_shuffled_once_for_distincts(spark):
     p = plan(entry.queries()["user_behavior_horizons"](spark, SF_DIR))
     assert "Expand" not in p and p.count("FileScan") == 1
+
+
+def test_parcels_are_not_dealt_by_their_few_codes(spark):
+    p = plan(entry.queries()["parcel_cargo_type_1d"](spark, SF_DIR))
+    assert "hashpartitioning(order_id" in p and "hashpartitioning(cargo_type" not in p
