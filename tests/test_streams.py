@@ -409,3 +409,16 @@ def test_rolled_files_are_bounded_and_count_once(spark, folder):
     again = writer.write(iter([pa.RecordBatch.from_pydict({"value": ["only"], "day": ["d0"]})]))
     writer.commit([again, None], 2)
     assert rolled.read_rolled(spark, f"{folder}/t").count() == 601
+
+
+def test_changes_are_not_dealt_by_their_few_tables(spark):
+    from tallyflow.streaming import dimsync
+
+    change = "op string, before map<string,string>, after map<string,string>, source map<string,string>, ts_ms bigint"
+    rows = [("c", None, {"id": str(n)}, {"table": "a"}, n) for n in range(10)]
+    one = spark.createDataFrame(rows, change).coalesce(1)
+    parts = dimsync.dealt(one, 3)
+    assert parts.rdd.getNumPartitions() == 4 and sorted(r.ts_ms for r in parts.collect()) == list(range(10))
+    cells = dimsync.to_cells(parts, spark.createDataFrame([("a", "dim_a", "id", "id")], dimsync.CONFIG))
+    assert "hashpartitioning(source_table" not in cells._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.text for r in cells.collect()) == sorted(str(n) for n in range(10))
