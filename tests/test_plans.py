@@ -44,3 +44,12 @@ def test_log_rows_are_shuffled_once_for_distincts(spark):
 def test_parcels_are_not_dealt_by_their_few_codes(spark):
     p = plan(entry.queries()["parcel_cargo_type_1d"](spark, SF_DIR))
     assert "hashpartitioning(order_id" in p and "hashpartitioning(cargo_type" not in p
+
+
+def test_window_rows_meet_names_once(spark, monkeypatch):
+    """Product, brand and category names are looked up on the goods, not on the windows."""
+    from tallyflow.catalog import streams
+
+    monkeypatch.setattr(streams, "drain", lambda stream, name: stream)
+    p = streams.sku_window(streams.StreamWarehouse(spark, SF_DIR))._jdf.queryExecution().analyzed().toString()
+    assert p[: p.index("Aggregate [")].count("Join LeftOuter") == 1 and p.count("Join LeftOuter") >= 6
