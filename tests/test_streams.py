@@ -422,3 +422,21 @@ def test_changes_are_not_dealt_by_their_few_tables(spark):
     cells = dimsync.to_cells(parts, spark.createDataFrame([("a", "dim_a", "id", "id")], dimsync.CONFIG))
     assert "hashpartitioning(source_table" not in cells._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.text for r in cells.collect()) == sorted(str(n) for n in range(10))
+
+
+def test_state_of_visits_and_logins_is_one_entry_a_bucket(spark, feed, folder):
+    from tallyflow.streaming import inspect
+
+    f = feed("u int, ts timestamp")
+    f.add(*[(u, at(0, u)) for u in range(9)], (None, at(0, 9)))
+    f.add(*[(u, at(8, u)) for u in range(12)])
+    first = f.run(lambda s: uniques.first_per_day(s, "u", buckets=2))
+    assert first.count() == 22
+    assert inspect.held_keys(spark, f"{folder}/out", "seen").count() <= 2
+    logins = feed("u int, ts timestamp")
+    logins.folder = f"{folder}/logins"
+    logins.add(*[(u, at(0, u)) for u in range(9)])
+    logins.add(*[(u, at(8, u)) for u in range(12)])
+    got = sorted((int(r.key), r.day, r.back_ct) for r in logins.run(lambda s: uniques.login_return(s, "u", 8, buckets=2)).collect())
+    assert got == sorted([(u, "2024-01-01", 0) for u in range(9)] + [(u, "2024-01-09", int(u < 9)) for u in range(12)])
+    assert inspect.held_keys(spark, f"{folder}/logins/out", "last").count() <= 2
