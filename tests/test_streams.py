@@ -243,6 +243,61 @@ def test_interval_join_over_batches(spark, folder, feed):
     assert [r.p_id for r in f.run(build).collect()] == [1]
 
 
+def test_near_joins_keep_tables_in_place_of_a_row_store(spark, folder, feed):
+    """Two joins in a row over batches, a stop and a repeated batch: pairs of a batch and across batches once each, no state store."""
+    import os
+    import random
+
+    f = feed("n int, id int, kind string, ts timestamp")
+    side = lambda s, kind: s.where(F.col("kind") == kind).select(F.col("id").alias(f"{kind}_id"), F.col("n").alias(f"{kind}_n"), F.col("ts").alias(f"{kind}_ts"))
+    rng, rows = random.Random(3), []
+    for b in range(6):
+        rows.append([(100 * b + i, rng.choice([1, 2, 3, None]), rng.choice(["a", "b", "c"]), None if i % 20 == 7 else at(0, 1000 * b + rng.randrange(1000))) for i in range(40)])
+    last: list = []
+
+    class Twice(joins.NearJoins):
+        def __call__(self, batch, number):
+            last.append(number)
+            super().__call__(batch, number)
+            super().__call__(batch, number)
+
+    def run():
+        stream = spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        steps = [joins.Near(side(stream, "b"), {"a_id": "b_id"}, "a_ts", "b_ts", "10 minutes", "15 minutes"), joins.Near(side(stream, "c"), {"a_id": "c_id"}, "a_ts", "c_ts", "1 minute", "20 minutes")]
+        near = Twice(side(stream, "a"), steps, f"{folder}/out", "5 seconds", lambda j: j.select("a_n", "b_n", "c_n"))
+        near.run()
+        return sorted(tuple(r) for r in near.read().collect())
+
+    f.add(*rows[0])
+    f.add(*rows[1])
+    run()
+    for r in rows[2:]:
+        f.add(*r)
+    got = run()
+    of = lambda kind: [(n, i, t) for r in rows for n, i, k, t in r if k == kind and i is not None and t is not None]
+    near = lambda x, y, before, after: x[1] == y[1] and -before <= (y[2] - x[2]).total_seconds() <= after
+    want = sorted((a[0], b[0], c[0]) for a in of("a") for b in of("b") if near(a, b, 600, 900) for c in of("c") if near(a, c, 60, 1200))
+    assert got == want and len(want) > 100 and last == list(range(6))
+    assert not os.path.exists(f"{folder}/out/checkpoint/state")
+    assert len(os.listdir(f"{folder}/out/arrived")) < 6
+
+
+def test_near_joins_leave_out_what_bounded_leaves_out(spark, folder, feed):
+    """A row not after the watermark of the batch before is late; a row within the lateness still finds its partner."""
+    f = feed("id int, kind string, ts timestamp")
+    side = lambda s, kind, p: s.where(F.col("kind") == kind).select(F.col("id").alias(f"{p}_id"), F.col("ts").alias(f"{p}_ts"))
+    pair = lambda i, t: [(i, "order", t), (i, "pay", t)]
+    f.add(*pair(1, at(0, 100)))
+    f.add(*pair(2, at(0, 5000)))
+    f.add(*pair(3, at(0, 9000)), *pair(4, at(0, 90)), *pair(5, at(0, 97)))
+    f.add(*pair(6, at(0, 4990)), *pair(7, at(0, 4999)), (2, "pay", at(0, 5001)))
+    old = f.run(lambda s: joins.bounded(side(s, "pay", "p"), side(s, "order", "o"), {"p_id": "o_id"}, "p_ts", "o_ts", "30 minutes", "5 seconds"))
+    stream = spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    new = joins.drain_near(side(stream, "pay", "p"), [joins.Near(side(stream, "order", "o"), {"p_id": "o_id"}, "p_ts", "o_ts", "30 minutes", "5 seconds")], "near", lambda j: j.select("p_id", "o_ts"))
+    assert sorted((r.p_id, r.o_ts) for r in new.collect()) == sorted((r.p_id, r.o_ts) for r in old.collect())
+    assert {5, 7} <= {r.p_id for r in new.collect()} and not {4, 6} & {r.p_id for r in new.collect()}
+
+
 def test_split_log_kinds(spark):
     lines = ['{"common":{"mid":"m"},"err":{"c":1},"start":{"e":"x"},"ts":1}', '{"common":{"mid":"m"},"page":{"page_id":"p"},"displays":[{"i":1},{"i":2}],"actions":[{"a":1}],"ts":2}']
     out = logs.split_log(spark.createDataFrame([(x,) for x in lines], "log string"))
