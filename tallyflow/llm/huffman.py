@@ -19,13 +19,15 @@ id come first; rows with equal ids and equal texts are equal and keep a place ea
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyflow.llm.frames import documents, shuffle_partitions, written
@@ -35,6 +37,7 @@ from tallyflow.session import scratch_path
 LIMIT = 16
 LANE = 64
 BLOCK_TOKENS = 1 << 16
+SLICE_BYTES = 8 << 20
 BLOCK = "doc_ids array<long>, n_tokens array<int>, payload binary, lanes binary, total long, ahead long"
 
 
@@ -52,9 +55,6 @@ def _tokenizer(path: str):
     t.no_padding()
     t.no_truncation()
     dtype = np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4")
-
-    space = np.zeros(t.get_vocab_size(), bool)  # ids of tokens that begin with a space
-    space[[i for token, i in t.get_vocab().items() if token[0] == "Ġ"]] = True
     special = next(((i, a.content) for i, a in sorted(t.get_added_tokens_decoder().items()) if a.special), None)
 
     def whole(texts: list[str]) -> list[bytes]:
@@ -73,17 +73,24 @@ def _tokenizer(path: str):
             out += [raw[a * width : b * width] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True)]
         return out
 
-    def spaced(words: list[str]) -> list[bytes]:
-        """Words without white space, each behind a space, in one text: a token that begins with a space begins the next word."""
-        out: list[bytes] = []
-        for at in range(0, len(words), 40_000):
-            ids = np.array(t.encode_batch_fast([" " + " ".join(words[at : at + 40_000])], add_special_tokens=False)[0].ids, dtype)
-            start = np.flatnonzero(space[ids]) * dtype.itemsize
-            raw = ids.tobytes()
-            out += [raw[a:b] for a, b in zip(start.tolist(), [*start[1:].tolist(), len(raw)], strict=True)]
-        return out
+    def behind(lead: str, symbol: str) -> Callable[[list[str]], list[bytes]]:
+        """Words, each behind a space or a line feed that they do not hold, in one text: a token that begins with it begins the next word."""
+        first = np.zeros(t.get_vocab_size(), bool)
+        first[[i for token, i in t.get_vocab().items() if token[0] == symbol]] = True
 
-    return whole, dtype, WordCache(encode, 100_000), WordCache(spaced, 600_000)
+        def encode_words(words: list[str]) -> list[bytes]:
+            out: list[bytes] = []
+            for at in range(0, len(words), 40_000):
+                ids = np.array(t.encode_batch_fast([lead + lead.join(words[at : at + 40_000])], add_special_tokens=False)[0].ids, dtype)
+                start = np.flatnonzero(first[ids]) * dtype.itemsize
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in zip(start.tolist(), [*start[1:].tolist(), len(raw)], strict=True)]
+            return out
+
+        return encode_words
+
+    spaced, lined = behind(" ", "Ġ"), behind("\n", "Ċ")
+    return whole, dtype, WordCache(encode, 100_000), WordCache(spaced, 500_000), WordCache(lined, 100_000), _uncut(t)
 
 
 def vocabulary_size(path: str) -> int:
@@ -92,36 +99,104 @@ def vocabulary_size(path: str) -> int:
     return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values()) + 1
 
 
-def ids_of(texts: list[str], path: str, end_id: int) -> Iterator[bytes]:
+def ids_of(texts: list[str] | pa.Array, path: str, end_id: int) -> Iterator[bytes]:
     """Little-endian ids of each text with the end id behind them.
 
-    A byte-level tokenizer never joins characters across a lone space between two other characters, as its pattern starts a new
-    part there; so texts are cut at these spaces and each distinct part goes through the library once. Texts with other runs of
-    white space, or with a special token's string, go through it whole.
+    The pattern of a byte-level tokenizer starts a new part wherever ``_CUT`` says so, whatever stands around; so texts are cut there,
+    and each distinct part goes through the library once. Texts with white space beyond ASCII, or with a special token's string, go
+    through it whole.
     """
-    encode_whole, dtype, starts, inner = _tokenizer(path)
+    encode_whole, dtype, _, _, _, uncut = _tokenizer(path)
     end = np.array([end_id], dtype).tobytes()
-    for at in range(0, len(texts), 400):
-        part = texts[at : at + 400]
-        split = [_parts(t) for t in part]
-        head = starts.fill({x[0] for x in split if x})
-        known = inner.fill(set().union(*[x[1:] for x in split if x]))
-        whole = iter(encode_whole([t for t, x in zip(part, split, strict=True) if x is None]))
-        for x in split:
-            yield (next(whole) if x is None else b"".join([head[x[0]], *[known[w] for w in x[1:]]]) if x else b"") + end
+    column = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "").cast(pa.large_string())
+    for part in _slices(column):
+        odd = pc.match_substring_regex(part, uncut)
+        whole, cut = iter(encode_whole(part.filter(odd).to_pylist())), iter(_cut_ids(part.filter(pc.invert(odd)), path))
+        for is_odd in odd.to_pylist():
+            yield next(whole if is_odd else cut) + end
+
+
+def _cut_ids(texts: pa.Array, path: str) -> list[bytes]:
+    """Ids of texts that may be cut: their parts are views of one buffer, told apart by a dictionary, and ids are gathered by it."""
+    _, dtype, starts, spaced, lined, _ = _tokenizer(path)
+    offsets, raw = _offsets(texts), np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    raw, edges = raw[offsets[0] : offsets[-1]], offsets - offsets[0]
+    if not len(raw):
+        return [b""] * len(texts)
+    kind = _KIND[raw]
+    new = np.concatenate([[True], _CUT[kind[:-1] * 6 + kind[1:]]])
+    new[edges[:-1][edges[:-1] < len(raw)]] = True
+    at = np.flatnonzero(new)
+    parts = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(np.append(at, len(raw))), pa.py_buffer(raw)]).dictionary_encode()
+
+    # distinct parts by what they begin with, and the ids of all of them in one row
+    distinct, lead = parts.dictionary, np.array([_lead(x) for x in _strings(pc.utf8_slice_codeunits(parts.dictionary, 0, 2))], np.uint8)
+    order, encoded = [], []
+    for k, cache in enumerate((starts, spaced, lined)):
+        some = distinct.filter(pa.array(lead == k))
+        words = _strings(pc.utf8_slice_codeunits(some, 1) if k else some)
+        encoded += map(cache.fill(set(words)).__getitem__, words)
+        order.append(np.flatnonzero(lead == k))
+    size = np.fromiter(map(len, encoded), np.int64, len(encoded)) // dtype.itemsize
+    begin, length = np.zeros((2, len(size)), np.int64)
+    begin[by := np.concatenate(order)], length[by] = np.cumsum(size) - size, size
+
+    code = parts.indices.to_numpy()
+    n = length[code]
+    ends = np.cumsum(n)
+    where = np.repeat(begin[code] - (ends - n), n)
+    where += np.arange(len(where))
+    ids = np.frombuffer(b"".join(encoded), dtype)[where].tobytes()
+    cuts = np.append(0, ends)[np.searchsorted(at, edges)] * dtype.itemsize
+    return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def _lead(begin: str) -> int:
+    """1 or 2 for a part whose first character is a lone space or line feed before another kind of character."""
+    return 0 if begin[1:] in _ASCII_SPACE else 1 if begin[0] == " " else 2 if begin[0] == "\n" else 0
+
+
+def _offsets(texts: pa.Array) -> np.ndarray:
+    return np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+
+
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of at most ``SLICE_BYTES``, of one text at least."""
+    offsets, at = _offsets(texts), 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
+        yield texts.slice(at, to - at)
+        at = to
+
+
+def _uncut(t) -> str:
+    """Pattern of the texts that must not be cut: all of them where the tokenizer has other rules than the plain byte-level ones."""
+    import json
+
+    if t.normalizer is not None or t.pre_tokenizer is None or json.loads(t.pre_tokenizer.__getstate__()) != _BYTE_LEVEL:
+        return ""
+    return "|".join([f"[{''.join(_OTHER_SPACE)}]", r"<\|", *(re.escape(a.content) for a in t.get_added_tokens_decoder().values())])
+
+
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 
+_ASCII_SPACE = ("", " ", "\t", "\n", "\v", "\f", "\r")
 
-def _parts(text: str) -> list[str] | None:
-    """The text cut at its spaces, which belong to the part behind them; None where that would not be exact."""
-    if not text:
-        return []
-    if "  " in text or " \n" in text or "\n " in text or "<|" in text or text[-1].isspace() or any(c in text for c in _OTHER_SPACE):
-        return None
-    return text.split(" ")
+#: Every other white-space character.
+_OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in _ASCII_SPACE]
 
+#: Kinds of bytes: 0 beyond ASCII, 1 letter, 2 digit, 3 other sign, 4 apostrophe, 5 white space.
+_KIND = np.array([0 if c > 127 else 5 if chr(c) in _ASCII_SPACE else 4 if c == 39 else 2 if chr(c).isdigit() else 1 if chr(c).isalpha() else 3 for c in range(256)], np.uint8)
 
-#: Every white-space character but space and line feed.
-_OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+#: Kinds between which a new part starts for certain: letters, digits, signs and white space are never joined, but for white space
+#: before something, an apostrophe before a letter, and characters beyond ASCII, which may be of any kind but white space.
+_CUT = np.zeros((6, 6), bool)
+_CUT[1, [2, 3, 4, 5]] = _CUT[2, [1, 3, 4, 5]] = _CUT[3, [1, 2, 5]] = _CUT[[0, 4], 5] = True
+_CUT = _CUT.reshape(-1)
 
 
 def tokenized(df: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -130,7 +205,7 @@ def tokenized(df: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = _tokenizer(path)[1].itemsize
         for b in batches:
-            raw = list(ids_of(b.column("text").to_pylist(), path, end_id))
+            raw = list(ids_of(b.column("text"), path, end_id))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([len(x) // width for x in raw], pa.int64()), pa.array([_pack(x) for x in raw], pa.binary())], ["doc_id", "n", "ids"]
             )

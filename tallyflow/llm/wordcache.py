@@ -19,7 +19,7 @@ class WordCache:
 
     def fill(self, words: set[str]) -> dict[str, object]:
         """A dict that holds every word of ``words``."""
-        new = words - self.young.keys()
+        new = words.difference(self.young)
         if len(self.young) + len(new) > self.limit and self.young:
             self.old, self.young = self.young, {}
             new = words

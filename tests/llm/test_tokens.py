@@ -141,3 +141,35 @@ def test_words_in_one_text_equal_words_alone():
     words = list({"".join(rng.choice("abTé\n.-'s1漢ß😀") for _ in range(rng.randint(1, 9))).strip() for _ in range(5000)} - {""})
     spaced = huffman._tokenizer(BYTES)[3].encode
     assert [np.frombuffer(x, "<u2").tolist() for x in spaced(words)] == [e.ids for e in t.encode_batch([" " + w for w in words], add_special_tokens=False)]
+
+
+def test_parts_beside_signs_go_through_the_library_once(monkeypatch):
+    """However a word is followed up, it is one word to the library; texts are cut alike in slices of any size."""
+    t = Tokenizer.from_file(BYTES)
+    words = ["quomble" + "".join(random.Random(i).choices("bdfgklmnprst", k=6)) for i in range(200)]
+    texts = [" ".join([f"({w}", w + ".", w + ",", w + "!!", w + "-9", w + "'s", w + "\n" + w, w, w + "$$$"]) for w in words]
+    seen = []
+    for cache in [x for x in huffman._tokenizer(BYTES) if isinstance(x, huffman.WordCache)]:
+        encode = cache.encode
+        monkeypatch.setattr(cache, "encode", lambda some, encode=encode: (seen.extend(some), encode(some))[1])
+    want = [[*x.ids, 0] for x in t.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in huffman.ids_of(texts, BYTES, 0)] == want
+    assert sum("quomble" in x for x in seen) <= 3 * len(words)  # behind a space, a line feed and a sign
+
+    rng = random.Random(11)
+    odd = ["".join(rng.choice("abs'tld 19.,_-\n\t é\u00a0漢½\x1c") for _ in range(rng.randint(0, 30))) for _ in range(4000)] + ["", "a <|endoftext|> b"]
+    want = [[*x.ids, 0] for x in t.encode_batch(odd, add_special_tokens=False)]
+    for size in (1, 300, 8 << 20):
+        monkeypatch.setattr(huffman, "SLICE_BYTES", size, raising=False)
+        assert [np.frombuffer(x, "<u2").tolist() for x in huffman.ids_of(odd, BYTES, 0)] == want
+
+
+def test_texts_stay_whole_for_other_rules(tmp_path):
+    from tokenizers import pre_tokenizers
+
+    t = Tokenizer.from_file(BYTES)
+    t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    t.save(path := str(tmp_path / "other.json"))
+    texts = ["hello, the world. of", "", "a.b\nc", "x <|endoftext|>y"]
+    want = [[*x.ids, 0] for x in t.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in huffman.ids_of(texts, path, 0)] == want
