@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyflow.sources.stream_standins import Streams
-from tallyflow.streaming import dedup, joins, logs, lookups, moderation, uniques
+from tallyflow.streaming import dedup, joins, logs, lookups, moderation, tables, uniques
 from tallyflow.streaming.run import file_stream, start_files, state_settings
 from tallyflow.streaming.windows import tumble, tumble_distinct
 
@@ -104,6 +104,48 @@ def test_retract_replaces_earlier_version_in_window(feed):
     assert sums == {"p": 5.0, "q": 7.0}
 
 
+def test_retraction_on_tables_equals_retraction_in_a_store(spark, folder, feed):
+    """Late rows, rows no longer held, rows held to the last moment, nulls and a restart; each batch is run twice."""
+    import os
+    import random
+
+    f = feed("id string, k string, ts timestamp, amount double")
+    rng, keep_ms = random.Random(4), 1_000_000
+    rows = [[(rng.choice([*"abcdef", None]), rng.choice(["p", "q", None]), at(0, 600 * b + 0.25 * (7 * i + rng.randrange(7)) * 20), rng.choice([None, 0.0, 1.5, float(i)])) for i in range(40)] for b in range(5)]
+    rows[0] += [("x", "p", at(0, 10.5), 3.0), ("y", "p", at(0, 11), 4.0)]
+    seen = [max(r[2] for b in rows[: n + 1] for r in b) for n in range(5)]
+    # what is held to the very watermark of the batch before, and one millisecond less or more
+    for n, gap in ((2, 0.0), (2, 0.001), (2, -0.001)):
+        rows[0].append((f"edge{gap}", "p", seen[n] - timedelta(seconds=30 + keep_ms / 1000 + gap), 5.0))
+    for n in (3, 4):
+        rows[n] += [(f"edge{gap}", "q", seen[n] - timedelta(seconds=n), 6.0 + n) for gap in (0.0, 0.001, -0.001)]
+    rows[4].append(("x", "q", seen[4] - timedelta(seconds=1), 7.0))
+    sums = lambda kept: tumble(kept, "ts", "10 seconds", ["k"], [F.sum("amount").alias("s"), F.count(F.lit(1)).alias("n")])
+    numbers: list = []
+
+    class Twice(tables.HeldWindows):
+        def __call__(self, batch, number):
+            numbers.append(number)
+            super().__call__(batch, number)
+            super().__call__(batch, number)
+
+    def run():
+        stream = spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        step = lambda rows, past: dedup.retract(rows, "id", "ts", ["amount"], "30 seconds", keep_ms, past)
+        new = Twice(stream, "ts", "10 seconds", step, sums, f"{folder}/tables", "30 seconds", keep_ms)
+        new.run()
+        return sorted(map(str, (tuple(r) for r in new.read().select("stt", "edt", "cur_date", "k", "s", "n").collect())))
+
+    build = lambda s: sums(dedup.retract(s, "id", "ts", ["amount"], "30 seconds", keep_ms))
+    for part in (rows[:2], rows[2:]):
+        for r in part:
+            f.add(*r)
+        want = sorted(map(str, (tuple(r) for r in f.run(build).select("stt", "edt", "cur_date", "k", "s", "n").collect())))
+        assert run() == want and len(want) > 10
+    assert run() == want and numbers == list(range(5))
+    assert not os.path.exists(f"{folder}/tables/checkpoint/state") and len(os.listdir(f"{folder}/tables/kept")) < 5
+
+
 def test_newest_only_over_batches(feed):
     f = feed("k string, v int, ts long")
     f.add(("a", 1, 10), ("a", 2, 12))
