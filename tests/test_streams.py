@@ -340,6 +340,54 @@ def test_near_joins_leave_out_what_bounded_leaves_out(spark, folder, feed):
     assert {5, 7} <= {r.p_id for r in new.collect()} and not {4, 6} & {r.p_id for r in new.collect()}
 
 
+def test_near_left_joins_equal_left_joins_of_streams(spark, folder, feed):
+    """Lines that found no partner come out when it can come no more; late rows, nulls, a restart, each batch run twice."""
+    import os
+    import random
+
+    f = feed("n int, id int, kind string, ts timestamp")
+    side = lambda s, k: s.where(F.col("kind") == k).select(F.col("n").alias(f"{k}_n"), F.col("id").alias(f"{k}_id"), F.col("ts").alias(f"{k}_ts"))
+    rng = random.Random(5)
+    rows = [[(1000 * b + i, rng.choice([*range(3), None]), rng.choice("aabcd"), at(0, 1000 * b + rng.randrange(1000))) for i in range(60)] for b in range(5)]
+    rows[4] += [(9000 + i, i, kind, at(0, 100)) for i, kind in enumerate("abcd")]
+
+    def stored(s):
+        one = joins.bounded(side(s, "a"), side(s, "b"), {"a_id": "b_id"}, "a_ts", "b_ts", "1 minute", "4 minutes").drop("b_ts")
+        c, d = side(s, "c").withWatermark("c_ts", "5 seconds"), side(s, "d").withWatermark("d_ts", "5 seconds")
+        two = one.join(c, (F.col("a_id") == F.col("c_id")) & F.expr("c_ts >= a_ts and c_ts <= a_ts + interval 2 minutes"), "left").drop("c_ts")
+        three = two.join(d, (F.col("a_id") == F.col("d_id")) & F.expr("d_ts >= a_ts and d_ts <= a_ts + interval 90 seconds"), "left")
+        return three.select("a_n", "b_n", "c_n", "d_n")
+
+    class Twice(joins.NearJoins):
+        def __call__(self, batch, number):
+            super().__call__(batch, number)
+            super().__call__(batch, number)
+
+    def run():
+        stream = spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        near = lambda k, before, after, how="inner": joins.Near(side(stream, k), {"a_id": f"{k}_id"}, "a_ts", f"{k}_ts", before, after, how)
+        steps = [near("b", "1 minute", "4 minutes"), near("c", "0 seconds", "2 minutes", "left"), near("d", "0 seconds", "90 seconds", "left")]
+        new = Twice(side(stream, "a"), steps, f"{folder}/tables", "5 seconds", lambda j: j.select("a_n", "b_n", "c_n", "d_n"))
+        new.run()
+        return sorted((tuple(r) for r in new.read().collect()), key=repr)
+
+    for part in (rows[:2], rows[2:]):
+        for r in part:
+            f.add(*r)
+        want = sorted((tuple(r) for r in f.run(stored).collect()), key=repr)
+        assert run() == want and len(want) > 10
+    assert run() == want and len({(r[2] is None, r[3] is None) for r in want}) == 4
+    assert not os.path.exists(f"{folder}/tables/checkpoint/state") and len(os.listdir(f"{folder}/tables/arrived")) < 4
+
+
+def test_a_replay_leaves_one_copy_of_its_rows(spark):
+    import os
+
+    folder, _ = Streams(spark, "/root/testdata/sf0.001").feed(spark.range(100), F.col("id"), 4, (0, 99), "one-copy")
+    assert spark.read.parquet(folder).count() == 100
+    assert os.listdir(os.path.dirname(folder.removeprefix("file:"))) == ["feed"]
+
+
 def test_split_log_kinds(spark):
     lines = ['{"common":{"mid":"m"},"err":{"c":1},"start":{"e":"x"},"ts":1}', '{"common":{"mid":"m"},"page":{"page_id":"p"},"displays":[{"i":1},{"i":2}],"actions":[{"a":1}],"ts":2}']
     out = logs.split_log(spark.createDataFrame([(x,) for x in lines], "log string"))
